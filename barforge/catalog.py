@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions import month_key, typical_price, week_key
-from barforge.operators import bars, indicators as ind, staging
+from barforge.operators import bars, incremental as inc, indicators as ind, staging
+from barforge.operators.upsert import upsert
+from barforge.schemas import BRONZE, conform
 from barforge.sources import fixtures as fx
+from barforge.sources.landing import normalize_landing, table_stats
+from barforge.sources.master import master_symbols
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +74,65 @@ def _silver_gold() -> dict[str, Query]:
     return q
 
 
+def _run(spark, sf) -> inc.IncrementalRun:
+    """The incremental-load fixture run: first pass over the landing files,
+    retry over landing plus late landing."""
+    land = normalize_landing(fx.landing(spark, sf))
+    late = normalize_landing(fx.landing(spark, sf, late=True))
+    return inc.plan_run(fx.master(spark, sf), fx.control(spark, sf), land, fx.RUN_DATE,
+                        retry_landing_norm=land.unionByName(late))
+
+
+def _wm(spark, sf):
+    return inc.read_watermarks(fx.control(spark, sf))
+
+
+def _bronze_cols(df):
+    return df.select(*[f.name for f in BRONZE.fields])
+
+
+def _incremental() -> dict[str, Query]:
+    return {
+        "watermarks": _wm,
+        "symbol_classification": lambda s, d: _run(s, d).classified,
+        "new_symbols": lambda s, d: inc.new_symbols(fx.master(s, d), _wm(s, d)),
+        "known_symbols": lambda s, d: inc.known_symbols(fx.master(s, d), _wm(s, d)),
+        "class_counts": lambda s, d: inc.class_counts(_run(s, d).classified),
+        "delta_start_date": lambda s, d: inc.delta_start_date(_run(s, d).classified),
+        "extract_plan": lambda s, d: _run(s, d).plan,
+        "extract_planned": lambda s, d: _run(s, d).extracted,
+        "extract_results": lambda s, d: _run(s, d).success.select(*inc.RESULT_COLUMNS),
+        "failed_results": lambda s, d: _run(s, d).failed.select(*inc.RESULT_COLUMNS),
+        "retry_plan": lambda s, d: _run(s, d).retry_plan,
+        "control_upsert": lambda s, d: inc.control_upsert(
+            fx.control(s, d), _run(s, d).first_pass_results, fx.RUN_ID, fx.RUN_TS),
+        "run_summary": lambda s, d: (lambda r: inc.run_summary(
+            r.classified, r.first_pass_results, r.extracted))(_run(s, d)),
+        "failed_symbols": lambda s, d: inc.failed_symbols(_run(s, d).first_pass_results),
+        "incremental_run": lambda s, d: _bronze_cols(staging.keep_first(
+            _bronze_cols(_run(s, d).all_extracted), ["symbol", "date"])),
+    }
+
+
+def _bronze() -> dict[str, Query]:
+    def upserted(s, d):
+        target, source = fx.upsert_pair(s, d)
+        return upsert(target, source, ["symbol", "date"])
+
+    return {
+        "scan_bronze": lambda s, d: conform(fx.trades(s, d).drop("stock_splits"), BRONZE),
+        "master_symbols": lambda s, d: master_symbols(fx.constituents(s, d)),
+        "landing_normalized": lambda s, d: normalize_landing(fx.landing(s, d)),
+        "nan_to_null": lambda s, d: normalize_landing(fx.landing_with_nan(s, d)),
+        "bronze_upsert": upserted,
+        "table_stats": lambda s, d: table_stats(upserted(s, d)),
+        "union_extracts": lambda s, d: _run(s, d).all_extracted,
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_bronze())
     out.update(_silver_gold())
+    out.update(_incremental())
     return out

@@ -139,3 +139,24 @@ def upsert_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     source = (stg.where(F.col("date") >= F.lit(UPSERT_SOURCE_FROM))
                  .withColumn("volume", F.col("volume") + 1))
     return target, source
+
+
+def landing_with_nan(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE) -> DataFrame:
+    """Landing rows where a feed glitch left NaN closes: every first of the
+    month for symbols with ``k % 7 = 3``."""
+    t = trades(spark, sf_dir, with_key=True).where(F.col("date") <= F.lit(run_date))
+    glitch = (F.col("k") % 7 == 3) & (F.dayofmonth("date") == 1)
+    t = t.withColumn("close", F.when(glitch, F.lit(float("nan"))).otherwise(F.col("close")))
+    return _to_landing(t)
+
+
+def constituents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A constituents list as published (header names verbatim); every
+    third symbol carries stray spaces."""
+    k = F.col("s_suppkey")
+    sym = F.concat(F.lit("S"), k.cast("string"))
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("Company Name"),
+        F.col("s_nationkey").cast("string").alias("Industry"),
+        F.when(k % 3 == 0, F.concat(F.lit(" "), sym, F.lit(" "))).otherwise(sym).alias("Symbol"),
+    )
