@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions import month_key, typical_price, week_key
-from barforge.operators import bars, incremental as inc, indicators as ind, staging
+from barforge.functions import bar_key
+from barforge.operators import bars, incremental as inc, indicators as ind, quality, staging
 from barforge.operators.upsert import upsert
 from barforge.schemas import BRONZE, conform
 from barforge.sources import fixtures as fx
@@ -130,9 +131,44 @@ def _bronze() -> dict[str, Query]:
     }
 
 
+def _layers(spark, sf) -> dict[str, DataFrame]:
+    stg = _stg(spark, sf)
+    weekly = bars.resample_bars(stg, "week")
+    return {"stg_daily_prices": stg, "weekly_prices": weekly,
+            "monthly_prices": bars.resample_bars(stg, "month"),
+            "weekly_technical_analysis": ind.weekly_technical_analysis(weekly)}
+
+
+def _checks() -> dict[str, Query]:
+    def not_null(s, d):
+        # The glitchy feed after NaN -> NULL: the close check has work to do.
+        raw = normalize_landing(fx.landing_with_nan(s, d))
+        return quality.layer_report("landing", raw, not_null=["date", "symbol", "close"])
+
+    def unique(s, d):
+        return (quality.layer_report("bronze", fx.prices(s, d), unique=[quality.BAR_KEY_EXPR])
+                .unionByName(quality.layer_report("stg_daily_prices", _stg(s, d),
+                                                  unique=[quality.BAR_KEY_EXPR])))
+
+    def accepted(s, d):
+        spec = quality.SUITE["weekly_technical_analysis"]["accepted_values"]
+        return quality.layer_report("weekly_technical_analysis",
+                                    ind.weekly_technical_analysis(_weekly(s, d)),
+                                    accepted_values=spec)
+
+    return {
+        "bar_key": lambda s, d: _stg(s, d).select("symbol", "date", bar_key().alias("bar_key")),
+        "check_not_null": not_null,
+        "check_unique": unique,
+        "check_accepted_values": accepted,
+        "quality_report": lambda s, d: quality.quality_report(_layers(s, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_bronze())
     out.update(_silver_gold())
     out.update(_incremental())
+    out.update(_checks())
     return out

@@ -370,9 +370,55 @@ def _bronze() -> dict[str, str]:
     }
 
 
+def _report(layer: str, table: str, not_null=(), unique=False, accepted=()) -> str:
+    parts = [f"SELECT '{layer}' AS layer, 'not_null' AS \"check\", '{c}' AS \"column\", "
+             f"COUNT(*) AS violations FROM {table} WHERE {c} IS NULL" for c in not_null]
+    parts += [f"SELECT '{layer}' AS layer, 'accepted_values' AS \"check\", '{c}' AS \"column\", "
+              f"COUNT(DISTINCT {c}) AS violations FROM {table} "
+              f"WHERE {c} IS NOT NULL AND {c} NOT IN (0, 1)" for c in accepted]
+    if unique:
+        parts.append(f"SELECT '{layer}' AS layer, 'unique' AS \"check\", "
+                     f"'symbol || ''-'' || date' AS \"column\", COUNT(*) AS violations FROM ("
+                     f"SELECT symbol || '-' || CAST(date AS VARCHAR) AS k FROM {table} "
+                     f"WHERE symbol || '-' || CAST(date AS VARCHAR) IS NOT NULL "
+                     f"GROUP BY 1 HAVING COUNT(*) > 1) u")
+    return "\nUNION ALL\n".join(parts)
+
+
+FLAGS = ["is_breakout_13w", "is_breakout_26w", "is_breakout_52w", "is_breakout_104w"]
+
+
+def _checks() -> dict[str, str]:
+    suite = "\nUNION ALL\n".join([
+        _report("stg_daily_prices", "stg", ["date", "symbol", "close"], True),
+        _report("weekly_prices", "weekly", ["date", "symbol", "close"], True),
+        _report("monthly_prices", "monthly", ["date", "symbol", "close"], True),
+        _report("weekly_technical_analysis", "gold", ["date", "symbol"], accepted=FLAGS),
+    ])
+    return {
+        "bar_key": with_("stg", """
+            SELECT symbol, date, symbol || '-' || CAST(date AS VARCHAR) AS bar_key FROM stg"""),
+        "check_not_null": with_("trades", """
+            SELECT 'landing' AS layer, 'not_null' AS "check", c AS "column", v AS violations
+            FROM (SELECT COUNT(*) FILTER (WHERE date IS NULL) AS d,
+                         COUNT(*) FILTER (WHERE symbol IS NULL) AS s,
+                         COUNT(*) FILTER (WHERE k % 7 = 3 AND dayofmonth(date) = 1) AS cl
+                  FROM trades WHERE date <= DATE '2001-10-01') x,
+                 (VALUES ('date'), ('symbol'), ('close')) AS t(c),
+                 LATERAL (SELECT CASE c WHEN 'date' THEN d WHEN 'symbol' THEN s ELSE cl END AS v) y"""),
+        "check_unique": with_("stg", "\nUNION ALL\n".join([
+            _report("bronze", "bronze", unique=True),
+            _report("stg_daily_prices", "stg", unique=True)])),
+        "check_accepted_values": with_("gold", _report(
+            "weekly_technical_analysis", "gold", accepted=FLAGS)),
+        "quality_report": with_("gold", suite),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_bronze())
     out.update(_silver_gold())
     out.update(_incremental())
+    out.update(_checks())
     return out
