@@ -194,11 +194,12 @@ class IncrementalRun:
     """Lazy frames of one run (first pass, retry, combined)."""
     classified: DataFrame
     plan: DataFrame
-    extracted: DataFrame
+    tagged: DataFrame          # every extracted row with its attempt number
+    extracted: DataFrame       # first attempt
     success: DataFrame
     failed: DataFrame
     retry_plan: DataFrame
-    retried_rows: DataFrame
+    retried_rows: DataFrame    # second attempt
     retried: DataFrame
     all_extracted: DataFrame
     results: DataFrame
@@ -213,19 +214,30 @@ def plan_run(master: DataFrame, control: DataFrame, landing_norm: DataFrame,
     wm = read_watermarks(control)
     classified = classify(master, wm, run_date)
     plan = extract_plan(classified, run_date, months)
-    extracted = extract(landing_norm, plan)
+    first = extract(landing_norm, plan)
+    failed0 = failed_results(plan, extract_results(first), run_date)
+    rplan = retry_plan(failed0, plan, run_date, months)
+    second = extract(retry_landing_norm if retry_landing_norm is not None else landing_norm,
+                     rplan)
+    tagged = union_extracts(first.withColumn("attempt", F.lit(1)),
+                            second.withColumn("attempt", F.lit(2)))
+    return from_tagged(classified, plan, rplan, tagged, run_date)
+
+
+def from_tagged(classified: DataFrame, plan: DataFrame, rplan: DataFrame,
+                tagged: DataFrame, run_date: dt.date) -> IncrementalRun:
+    """Every result of a run from the tagged extract. Pass a checkpointed
+    ``tagged`` and the landing data is joined only once for the bronze
+    write, the results and the summary together."""
+    extracted = tagged.where(F.col("attempt") == 1).drop("attempt")
+    retried_rows = tagged.where(F.col("attempt") == 2).drop("attempt")
     success = extract_results(extracted)
     failed = failed_results(plan, success, run_date)
-    rplan = retry_plan(failed, plan, run_date, months)
-    retried_rows = extract(retry_landing_norm if retry_landing_norm is not None else landing_norm,
-                           rplan)
     retried = extract_results(retried_rows)
     return IncrementalRun(
-        classified=classified, plan=plan, extracted=extracted, success=success,
-        failed=failed, retry_plan=rplan, retried_rows=retried_rows, retried=retried,
-        all_extracted=union_extracts(extracted, retried_rows),
+        classified=classified, plan=plan, tagged=tagged, extracted=extracted,
+        success=success, failed=failed, retry_plan=rplan, retried_rows=retried_rows,
+        retried=retried, all_extracted=tagged.drop("attempt"),
         results=combine_results(success, failed, retried),
         first_pass_results=combine_results(success, failed),
     )
-
-

@@ -23,6 +23,9 @@ def dedup_by_key(source: DataFrame, keys: Sequence[str],
     if order is None:
         return source
     order = [c for c in order if c in source.columns and c not in keys]
+    if not order:
+        raise ValueError("no column to choose between duplicate keys; pass order=None "
+                         "if the source is unique by key")
     return keep_first(source, list(keys), order)
 
 

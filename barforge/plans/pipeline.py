@@ -1,0 +1,24 @@
+"""The daily job: incremental load, then the transform, then the checks,
+in one Spark application (scheduling is left to the user)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from barforge.plans.incremental import run_incremental
+from barforge.plans.transform import TransformPaths, run_transform
+
+
+def run_pipeline(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
+                 root: str, run_date: dt.date, run_ts: dt.datetime | None = None,
+                 run_id: str | None = None,
+                 retry_landing_norm: DataFrame | None = None) -> dict[str, DataFrame | None]:
+    """``root`` holds ``bronze/``, ``control/``, ``silver/`` and ``gold/``."""
+    root = root.rstrip("/")
+    summary = run_incremental(spark, master, landing_norm, f"{root}/control", f"{root}/bronze",
+                              run_date, run_ts, run_id, retry_landing_norm)
+    report = run_transform(spark, f"{root}/bronze",
+                           TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"))
+    return {"summary": summary, "quality": report}
