@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only below this many rows (checked by counting it).
+# One row of a symbol plan is well under 100 bytes, so the bound keeps a
+# broadcast far below executor memory.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``
+    unchanged (the planner then picks a shuffle join, with AQE's skew
+    handling). Counting runs a job: use it on materialised (checkpointed)
+    frames, where the count reads a small stored copy."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

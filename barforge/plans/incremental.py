@@ -12,8 +12,10 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barforge.operators import incremental as inc
+from barforge.operators.joins import bounded_broadcast
 from barforge.schemas import CONTROL, LOOKBACK_MONTHS, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
@@ -40,15 +42,23 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run_id = run_id or uuid.uuid4().hex[:8]
     control = read_control(spark, control_path)
-    draft = inc.plan_run(master, control, landing_norm, run_date, retry_landing_norm, months)
-    # Materialise the plan and the fetched rows once, in the shared
-    # checkpoint folder: the bronze write, the results and the summary all
-    # read this copy instead of joining the landing data again.
-    plan = draft.plan.checkpoint(eager=True)
-    tagged = draft.tagged.checkpoint(eager=True)
+    # Small per-symbol frames are materialised in the shared checkpoint
+    # folder; the plan is broadcast to the landing scan only after its row
+    # count is checked.
+    classified = inc.classify(master, inc.read_watermarks(control), run_date).checkpoint(eager=True)
+    plan = inc.extract_plan(classified, run_date, months).checkpoint(eager=True)
+    # First attempt: one scan of the landing data, stored once; results,
+    # failures, the bronze write and the summary all read this copy.
+    first = inc.extract(landing_norm, bounded_broadcast(plan)).checkpoint(eager=True)
+    failed = inc.failed_results(plan, inc.extract_results(first), run_date)
+    rplan = inc.retry_plan(failed, plan, run_date, months).checkpoint(eager=True)
+    retry_src = retry_landing_norm if retry_landing_norm is not None else landing_norm
+    second = inc.extract(retry_src, bounded_broadcast(rplan)).checkpoint(eager=True)
+    tagged = inc.union_extracts(first.withColumn("attempt", F.lit(1)),
+                                second.withColumn("attempt", F.lit(2)))
     if tagged.isEmpty():
         return None
-    run = inc.from_tagged(draft.classified, plan, draft.retry_plan, tagged, run_date)
+    run = inc.from_tagged(classified, plan, rplan, tagged, run_date)
     storage.upsert_table(spark, to_bronze(run.all_extracted), bronze_path,
                          keys=("symbol", "date"), partitions=storage.month_partition())
     # One row; materialised now because it reads the control table that the

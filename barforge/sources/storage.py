@@ -108,10 +108,11 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str,
         target = target.join(touched, pcols, "left_semi")
     merged = upsert(target, src.select(*target.columns), keys, order=None)
     stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    _write(merged, stage, pcols, dynamic=False)
-    staged = spark.read.parquet(stage)
-    _write(staged.repartitionByRange(*(pcols + list(keys))) if pcols else staged,
-           path, pcols, dynamic=bool(pcols))
+    # The staged copy is laid out once (range-partitioned, so a hot month or
+    # symbol is split across tasks); the swap copies it file by file.
+    _write(merged.repartitionByRange(*(pcols + list(keys))) if pcols else merged,
+           stage, pcols, dynamic=False)
+    _write(spark.read.parquet(stage), path, pcols, dynamic=bool(pcols))
     delete_path(spark, stage)
     spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
