@@ -59,22 +59,28 @@ def trades(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFram
 def index_rows(spark: SparkSession, sf_dir: str, names=INDEX_NAMES) -> DataFrame:
     """Daily benchmark rows: quantity-weighted price over all suppliers
     (second name) and over suppliers with ``k % 10 = 0`` (first name).
-    Sums run over integer cents, so the value does not depend on order."""
+    Sums run over integer cents, so the value does not depend on order.
+    Both indices come from one aggregation pass over ``lineitem``."""
     li = table(spark, sf_dir, "lineitem")
     cents = F.round(F.col("l_extendedprice") * F.lit(100)).cast("bigint")
     qty = F.col("l_quantity").cast("bigint")
-
-    def one(df: DataFrame, name: str) -> DataFrame:
-        agg = (df.groupBy(F.col("l_shipdate").cast("date").alias("date"))
-                 .agg(F.sum(cents).alias("c"), F.sum(qty).alias("volume")))
-        price = (F.col("c") / F.lit(100.0)) / F.col("volume")
-        return agg.select("date", price.alias("open"), price.alias("high"),
-                          price.alias("low"), price.alias("close"), "volume",
-                          F.lit(0.0).alias("dividends"), F.lit(0.0).alias("stock_splits"),
-                          F.lit(name).alias("symbol"))
-
+    narrow_member = F.col("l_suppkey") % 10 == 0
+    agg = (li.groupBy(F.col("l_shipdate").cast("date").alias("date"))
+             .agg(F.sum(F.when(narrow_member, cents)).alias("c_narrow"),
+                  F.sum(F.when(narrow_member, qty)).alias("q_narrow"),
+                  F.count_if(narrow_member).alias("n_narrow"),
+                  F.sum(cents).alias("c_broad"), F.sum(qty).alias("q_broad")))
     narrow, broad = names
-    return one(li.where(F.col("l_suppkey") % 10 == 0), narrow).unionByName(one(li, broad))
+    rows = agg.select("date", F.inline(F.array(
+        F.struct(F.lit(narrow).alias("symbol"), F.col("c_narrow").alias("c"),
+                 F.col("q_narrow").alias("volume"), (F.col("n_narrow") > 0).alias("present")),
+        F.struct(F.lit(broad).alias("symbol"), F.col("c_broad").alias("c"),
+                 F.col("q_broad").alias("volume"), F.lit(True).alias("present")))))
+    price = (F.col("c") / F.lit(100.0)) / F.col("volume")
+    return rows.where("present").select(
+        "date", price.alias("open"), price.alias("high"), price.alias("low"),
+        price.alias("close"), "volume", F.lit(0.0).alias("dividends"),
+        F.lit(0.0).alias("stock_splits"), "symbol")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
