@@ -50,10 +50,17 @@ def build_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return stg, bars.fold_segments(seg, "week"), bars.fold_segments(seg, "month")
 
 
+# Default namespaces of the two derived layers.
+SILVER_SCHEMA = "silver"
+GOLD_SCHEMA = "gold"
+
+
 def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
-                  check_staging: bool = True) -> DataFrame:
+                  check_staging: bool = True, register: bool = False,
+                  silver_schema: str | None = None, gold_schema: str | None = None) -> DataFrame:
     """Rebuild silver and gold from the bronze table; return the quality
-    report of every layer (small, one row per check)."""
+    report of every layer (small, one row per check). With ``register``,
+    the written layers are also catalog tables in their namespaces."""
     ensure_checkpoint_dir(spark)
     bronze = read_bronze(spark, bronze_path)
     stg, weekly, monthly = build_silver(bronze)
@@ -62,6 +69,12 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     weekly_t = storage.read_layer(spark, paths.weekly)
     gold = indicators.weekly_technical_analysis(weekly_t)
     storage.write_layer(gold, paths.technical)
+    if register:
+        storage.register_tables(spark, {"weekly_prices": paths.weekly,
+                                        "monthly_prices": paths.monthly},
+                                storage.layer_name(silver_schema, SILVER_SCHEMA))
+        storage.register_tables(spark, {"weekly_technical_analysis": paths.technical},
+                                storage.layer_name(gold_schema, GOLD_SCHEMA))
     layers = {"weekly_prices": weekly_t,
               "monthly_prices": storage.read_layer(spark, paths.monthly),
               "weekly_technical_analysis": storage.read_layer(spark, paths.technical)}

@@ -138,6 +138,19 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str]) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{n}`")
 
 
+def register_tables(spark: SparkSession, tables: dict[str, str], namespace: str) -> list[str]:
+    """Expose stored layers as catalog tables ``namespace.name`` over their
+    paths (S11, S12), refreshing any cached listing (S13)."""
+    ensure_namespaces(spark, [namespace])
+    names = []
+    for name, path in tables.items():
+        full = f"`{namespace}`.`{name}`"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{namespace}.{name}")
+        names.append(f"{namespace}.{name}")
+    return names
+
+
 def register_layer(spark: SparkSession, df: DataFrame, name: str) -> None:
     """Expose a lazy layer under a name, like a view model or a named
     source (S5, S10)."""
