@@ -11,7 +11,7 @@ from barforge.plans.incremental import run_incremental
 from barforge.plans.transform import TransformPaths, run_transform
 
 
-def run_pipeline(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
+def run_daily_job(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
                  root: str, run_date: dt.date, run_ts: dt.datetime | None = None,
                  run_id: str | None = None,
                  retry_landing_norm: DataFrame | None = None) -> dict[str, DataFrame | None]:

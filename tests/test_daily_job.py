@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from barforge.plans.incremental import read_control
-from barforge.plans.pipeline import run_pipeline
+from barforge.plans.daily_job import run_daily_job
 from barforge.sources import fixtures as fx
 from barforge.sources.landing import normalize_landing, read_bronze, read_landing
 from barforge.sources.master import read_master, write_master
@@ -17,7 +17,7 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     master = read_master(spark, f"{scratch}/master")
     land = normalize_landing(read_landing(spark, f"{scratch}/landing"))
     late = normalize_landing(read_landing(spark, f"{scratch}/late"))
-    out = run_pipeline(spark, master, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS,
+    out = run_daily_job(spark, master, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS,
                        fx.RUN_ID, retry_landing_norm=land.unionByName(late))
     s = out["summary"].first()
     assert (s["new_symbols"], s["delta_symbols"], s["up_to_date_symbols"]) == (5, 2, 3)
@@ -29,7 +29,7 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     ctl = read_control(spark, f"{scratch}/lake/control")
     assert ctl.count() == 10 and ctl.where("last_run_id = 'testrun1'").count() == 7
     # second run over the same landing data: bronze unchanged, control updated
-    run_pipeline(spark, master, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS, "rerun",
+    run_daily_job(spark, master, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS, "rerun",
                  retry_landing_norm=land.unionByName(late))
     assert sorted(read_bronze(spark, f"{scratch}/lake/bronze").collect()) == bronze
     assert read_control(spark, f"{scratch}/lake/control").where("last_run_id = 'rerun'").count() > 0
