@@ -49,3 +49,16 @@ def to_trading_day(ts, field: T.DataType, exchange_tz: str, session_tz: str) ->
                                   c.cast(T.TimestampNTZType()))
         return F.to_date(wall)
     return F.to_date(c)
+
+
+def wall_clock(ts: dt.datetime) -> Column:
+    """A ``TIMESTAMP_NTZ`` literal with exactly this wall-clock value,
+    whatever the session or Python time zone."""
+    return F.to_timestamp_ntz(F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")))
+
+
+def utc_midnight(date="date") -> Column:
+    """The instant (``TIMESTAMP``) at 00:00 UTC of a calendar day."""
+    d = _col(date)
+    return F.make_timestamp(F.year(d), F.month(d), F.dayofmonth(d),
+                            F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barforge.functions import day_after, lookback_start
+from barforge.functions import day_after, lookback_start, wall_clock
 from barforge.operators.upsert import upsert
 from barforge.schemas import CONTROL, LOOKBACK_MONTHS, conform
 
@@ -141,7 +141,7 @@ def combine_results(success: DataFrame, failed: DataFrame,
 def control_rows(results: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
     """Results as control rows stamped with the run (C8). ``updated_at`` is
     the run time on both merge branches (set on update, default on insert)."""
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = wall_clock(run_ts)
     return conform(results.select(
         "symbol", "last_extract_date", "rows_extracted",
         F.lit(run_id).alias("last_run_id"), ts.alias("last_run_timestamp"),

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barforge.functions import utc_midnight, wall_clock
 from barforge.schemas import BRONZE, CONTROL, MASTER, conform
 
 # Fixed values of the incremental-load fixture.
@@ -107,16 +108,16 @@ def control(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE) -> D
         wm.alias("last_extract_date"),
         F.lit(0).cast("bigint").alias("rows_extracted"),
         F.lit("seed").alias("last_run_id"),
-        F.lit(SEED_TS).cast("timestamp_ntz").alias("last_run_timestamp"),
+        wall_clock(SEED_TS).alias("last_run_timestamp"),
         F.lit("FULL").alias("last_run_type"),
         F.when(k % 4 == 3, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("last_status"),
-        F.lit(SEED_TS).cast("timestamp_ntz").alias("updated_at"),
+        wall_clock(SEED_TS).alias("updated_at"),
     ), CONTROL)
 
 
 def _to_landing(df: DataFrame) -> DataFrame:
     return df.select(
-        F.col("date").cast("timestamp").alias("Date"),
+        utc_midnight("date").alias("Date"),
         F.col("open").alias("Open"), F.col("high").alias("High"),
         F.col("low").alias("Low"), F.col("close").alias("Close"),
         F.col("volume").cast("double").alias("Volume"),
