@@ -57,8 +57,36 @@ def check_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataF
 def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
                  unique: Sequence[str] = (),
                  accepted_values: Mapping[str, Sequence] | None = None) -> DataFrame:
-    """Violation counts of a layer's checks, one row per check (Q4)."""
-    accepted_values = accepted_values or {}
+    """Violation counts of a layer's checks, one row per check (Q4).
+
+    The layer is read once: with a uniqueness check, one grouping by the key
+    also counts the NULLs of each column (partial sums per key, then
+    summed); without one, a single global aggregate does the column checks.
+    Distinct-value checks cannot be summed over key groups, so they get a
+    pass of their own only when they meet a uniqueness check."""
+    accepted_values = dict(accepted_values or {})
+    unique = list(unique)
+    labels: list[tuple[str, str]] = []
+    parts: list[DataFrame] = []
+
+    def stacked(row: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(chk).alias("check"), F.lit(col).alias("column"),
+                     F.col(f"_v{i}").cast("bigint").alias("violations"))
+            for i, (chk, col) in enumerate(labels)])))
+
+    if unique:
+        first, rest = unique[0], unique[1:]
+        nn = [F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)]
+        g = df.groupBy(key_column(first).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), *nn)
+        aggs = [F.coalesce(F.sum(f"_nn{i}"), F.lit(0)).alias(f"_v{i}") for i in range(len(not_null))]
+        labels = [("not_null", c) for c in not_null]
+        aggs.append(F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias(f"_v{len(aggs)}"))
+        labels.append(("unique", first))
+        parts.append(stacked(g.agg(*aggs), labels))
+        not_null = []
+    else:
+        rest = []
     aggs, labels = [], []
     for c in not_null:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"_v{len(aggs)}"))
@@ -67,14 +95,9 @@ def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
         bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*vals), F.col(c))
         aggs.append(F.count_distinct(bad).alias(f"_v{len(aggs)}"))
         labels.append(("accepted_values", c))
-    parts = []
     if aggs:
-        row = df.agg(*aggs)
-        stack = ", ".join(f"'{chk}', '{col}', CAST(_v{i} AS BIGINT)"
-                          for i, (chk, col) in enumerate(labels))
-        parts.append(row.selectExpr(
-            f"stack({len(labels)}, {stack}) AS (check, column, violations)"))
-    for expr in unique:
+        parts.append(stacked(df.agg(*aggs), labels))
+    for expr in rest:
         v = check_unique(df, expr).agg(F.count(F.lit(1)).alias("violations"))
         parts.append(v.select(F.lit("unique").alias("check"), F.lit(expr).alias("column"),
                               "violations"))
