@@ -8,8 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.functions import month_key, typical_price, week_key
-from barforge.functions import bar_key
+from barforge.functions import bar_key, month_key, typical_price, week_key
 from barforge.operators import bars, incremental as inc, indicators as ind, quality, staging
 from barforge.operators.upsert import upsert
 from barforge.schemas import BRONZE, conform

@@ -14,11 +14,13 @@ from barforge.plans.transform import TransformPaths, run_transform
 def run_daily_job(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
                  root: str, run_date: dt.date, run_ts: dt.datetime | None = None,
                  run_id: str | None = None,
-                 retry_landing_norm: DataFrame | None = None) -> dict[str, DataFrame | None]:
+                 retry_landing_norm: DataFrame | None = None,
+                 bronze_layout: dict | None = None) -> dict[str, DataFrame | None]:
     """``root`` holds ``bronze/``, ``control/``, ``silver/`` and ``gold/``."""
     root = root.rstrip("/")
     summary = run_incremental(spark, master, landing_norm, f"{root}/control", f"{root}/bronze",
-                              run_date, run_ts, run_id, retry_landing_norm)
+                              run_date, run_ts, run_id, retry_landing_norm,
+                              bronze_layout=bronze_layout)
     report = run_transform(spark, f"{root}/bronze",
                            TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"))
     return {"summary": summary, "quality": report}

@@ -34,10 +34,14 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
                     control_path: str, bronze_path: str, run_date: dt.date,
                     run_ts: dt.datetime | None = None, run_id: str | None = None,
                     retry_landing_norm: DataFrame | None = None,
-                    months: int = LOOKBACK_MONTHS) -> DataFrame | None:
+                    months: int = LOOKBACK_MONTHS,
+                    bronze_layout: dict | None = None) -> DataFrame | None:
     """Load new landing rows into bronze and record the run in the control
     table. Returns the one-row run summary, or ``None`` when nothing was
-    fetched (bronze and control are then left untouched, C10)."""
+    fetched (bronze and control are then left untouched, C10).
+
+    ``bronze_layout`` is the partition spec of bronze (default: by month;
+    see ``storage.day_partition`` and ``storage.symbol_buckets``)."""
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run_id = run_id or uuid.uuid4().hex[:8]
@@ -60,7 +64,8 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
         return None
     run = inc.from_tagged(classified, plan, rplan, tagged, run_date)
     storage.upsert_table(spark, to_bronze(run.all_extracted), bronze_path,
-                         keys=("symbol", "date"), partitions=storage.month_partition())
+                         keys=("symbol", "date"),
+                         partitions=bronze_layout or storage.month_partition())
     # One row; materialised now because it reads the control table that the
     # next step replaces.
     summary = inc.run_summary(run.classified, run.results, run.all_extracted).checkpoint(eager=True)

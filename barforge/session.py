@@ -21,6 +21,21 @@ ENGINE_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB class), applied with
+# ``get_spark(conf=CLUSTER_CONF)``: AQE coalesces the many initial shuffle
+# partitions to ~256 MB each and splits skewed ones; scans read 256 MB
+# splits; a side is broadcast only when AQE measured it under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def get_spark(master: str | None = None, app: str = "barforge",
               shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Get or create a session with ``ENGINE_CONF`` applied."""

@@ -22,6 +22,18 @@ def month_partition() -> dict[str, Column]:
     return {"month": (F.year("date") * 100 + F.month("date")).cast("int")}
 
 
+def day_partition() -> dict[str, Column]:
+    """``day = yyyymmdd``: a daily delta rewrites only the days it touches."""
+    return {"day": (F.year("date") * 10000 + F.month("date") * 100
+                    + F.dayofmonth("date")).cast("int")}
+
+
+def symbol_buckets(n: int) -> dict[str, Column]:
+    """``bucket = pmod(hash(symbol), n)``: combined with a date partition, a
+    backfill of one symbol rewrites 1/n of each date partition it touches."""
+    return {"bucket": F.pmod(F.xxhash64("symbol"), F.lit(n)).cast("int")}
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

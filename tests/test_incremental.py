@@ -117,3 +117,14 @@ def test_partition_scoped_upsert_leaves_other_months(spark, scratch):
     assert jan == jan2  # January files untouched
     got = {r["date"]: r["volume"] for r in read_bronze(spark, path).collect()}
     assert got == {D("2024-01-05"): 1, D("2024-02-05"): 7, D("2024-02-06"): 7}
+
+
+def test_day_and_bucket_layout_upsert(spark, scratch):
+    path = f"{scratch}/bronze"
+    layout = {**storage.day_partition(), **storage.symbol_buckets(4)}
+    rows = [(D("2024-01-05"), 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, s) for s in "ABCDEFGH"]
+    storage.upsert_table(spark, spark.createDataFrame(rows, BRONZE), path, partitions=layout)
+    new = [(D("2024-01-05"), 2.0, 2.0, 2.0, 2.0, 9, 0.0, 0.0, "C")]
+    storage.upsert_table(spark, spark.createDataFrame(new, BRONZE), path, partitions=layout)
+    got = {r["symbol"]: r["volume"] for r in read_bronze(spark, path).collect()}
+    assert got == {**{s: 1 for s in "ABCDEFGH"}, "C": 9}
