@@ -31,9 +31,11 @@ def read_watermarks(control: DataFrame) -> DataFrame:
 
 def classify(master: DataFrame, watermarks: DataFrame, run_date: dt.date) -> DataFrame:
     """NEW (no watermark), DELTA (watermark before run_date) or UP_TO_DATE
-    (C2, J5). One row per master symbol."""
+    (C2, J5). One row per distinct, non-NULL master symbol: a symbol listed
+    twice is planned and fetched once."""
     wm = watermarks.select("symbol", "last_extract_date", F.lit(True).alias("_known"))
-    j = master.select("symbol").join(wm, on="symbol", how="left")
+    symbols = master.select("symbol").where(F.col("symbol").isNotNull()).distinct()
+    j = symbols.join(wm, on="symbol", how="left")
     cls = (F.when(F.col("_known").isNull(), F.lit(NEW))
             .when(F.col("last_extract_date") >= F.lit(run_date), F.lit(UP_TO_DATE))
             .otherwise(F.lit(DELTA)))

@@ -128,3 +128,12 @@ def test_day_and_bucket_layout_upsert(spark, scratch):
     storage.upsert_table(spark, spark.createDataFrame(new, BRONZE), path, partitions=layout)
     got = {r["symbol"]: r["volume"] for r in read_bronze(spark, path).collect()}
     assert got == {**{s: 1 for s in "ABCDEFGH"}, "C": 9}
+
+
+def test_master_duplicates_and_nulls_planned_once(spark):
+    m = spark.createDataFrame([("A", "a"), ("A", "a2"), (None, "x"), ("B", "b")],
+                              "symbol string, company_name string")
+    ctl = spark.createDataFrame([], CONTROL)
+    cl = inc.classify(m, inc.read_watermarks(ctl), RUN)
+    assert sorted(r["symbol"] for r in cl.collect()) == ["A", "B"]
+    assert inc.extract_plan(cl, RUN).count() == 2
