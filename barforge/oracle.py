@@ -188,7 +188,8 @@ _cte("classified", """
            CASE WHEN w.symbol IS NULL THEN 'NEW'
                 WHEN w.last_extract_date >= DATE '2001-10-01' THEN 'UP_TO_DATE'
                 ELSE 'DELTA' END AS class
-    FROM master m LEFT JOIN watermarks w ON m.symbol = w.symbol""")
+    FROM (SELECT DISTINCT symbol FROM master WHERE symbol IS NOT NULL) m
+    LEFT JOIN watermarks w ON m.symbol = w.symbol""")
 _cte("plan", """
     SELECT symbol, class,
            CASE WHEN class = 'NEW' THEN 'FULL' ELSE 'DELTA' END AS run_type,
