@@ -160,21 +160,25 @@ def control_upsert(control: DataFrame, results: DataFrame, run_id: str,
 
 def run_summary(classified: DataFrame, results: DataFrame, extracted: DataFrame) -> DataFrame:
     """One-row run report (A8, A9): class counts, successes, failures,
-    rows fetched and their date range. The extracted-row figures are
-    scalar subqueries, so no join of one-row frames is needed."""
+    rows fetched and their date range. The class counts and the row figures
+    are two scalar subqueries (one struct each), so no join of one-row
+    frames is needed."""
     st = F.col("last_status")
-    rows = extracted.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"),
-                         F.max("date").alias("hi"))
-    counts = class_counts(classified)
+    rows = extracted.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"),
+                                  F.max("date").alias("hi")).alias("r")).scalar()
+    c = F.col("class")
+    cls = classified.agg(F.struct(F.count_if(c == NEW).alias("new"),
+                                  F.count_if(c == DELTA).alias("delta"),
+                                  F.count_if(c == UP_TO_DATE).alias("up")).alias("c")).scalar()
     return (results.agg(F.count_if(st == SUCCESS).alias("symbols_ok"),
                         F.count_if(st == FAILED).alias("symbols_failed"))
-                   .select(counts.select("new_symbols").scalar().alias("new_symbols"),
-                           counts.select("delta_symbols").scalar().alias("delta_symbols"),
-                           counts.select("up_to_date_symbols").scalar().alias("up_to_date_symbols"),
+                   .select(cls.getField("new").alias("new_symbols"),
+                           cls.getField("delta").alias("delta_symbols"),
+                           cls.getField("up").alias("up_to_date_symbols"),
                            "symbols_ok", "symbols_failed",
-                           rows.select("n").scalar().alias("total_rows"),
-                           rows.select("lo").scalar().alias("min_date"),
-                           rows.select("hi").scalar().alias("max_date")))
+                           rows.getField("n").alias("total_rows"),
+                           rows.getField("lo").alias("min_date"),
+                           rows.getField("hi").alias("max_date")))
 
 
 def failed_symbols(results: DataFrame) -> DataFrame:
