@@ -16,11 +16,15 @@ def run_daily_job(spark: SparkSession, master: DataFrame, landing_norm: DataFram
                  run_id: str | None = None,
                  retry_landing_norm: DataFrame | None = None,
                  bronze_layout: dict | None = None) -> dict[str, DataFrame | None]:
-    """``root`` holds ``bronze/``, ``control/``, ``silver/`` and ``gold/``."""
+    """``root`` holds ``bronze/``, ``control/``, ``silver/``, ``gold/`` and
+    the pending-change record. Silver is refreshed from the earliest changed
+    bronze date (built in full on the first run)."""
     root = root.rstrip("/")
+    pending = f"{root}/pending_since"
     summary = run_incremental(spark, master, landing_norm, f"{root}/control", f"{root}/bronze",
                               run_date, run_ts, run_id, retry_landing_norm,
-                              bronze_layout=bronze_layout)
+                              bronze_layout=bronze_layout, pending_path=pending)
     report = run_transform(spark, f"{root}/bronze",
-                           TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"))
+                           TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"),
+                           pending_path=pending)
     return {"summary": summary, "quality": report}

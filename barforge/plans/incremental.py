@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators import incremental as inc
 from barforge.operators.joins import bounded_broadcast
+from barforge.plans.pending import record_pending
 from barforge.schemas import CONTROL, LOOKBACK_MONTHS, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
@@ -35,13 +36,16 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
                     run_ts: dt.datetime | None = None, run_id: str | None = None,
                     retry_landing_norm: DataFrame | None = None,
                     months: int = LOOKBACK_MONTHS,
-                    bronze_layout: dict | None = None) -> DataFrame | None:
+                    bronze_layout: dict | None = None,
+                    pending_path: str | None = None) -> DataFrame | None:
     """Load new landing rows into bronze and record the run in the control
     table. Returns the one-row run summary, or ``None`` when nothing was
     fetched (bronze and control are then left untouched, C10).
 
     ``bronze_layout`` is the partition spec of bronze (default: by month;
-    see ``storage.day_partition`` and ``storage.symbol_buckets``)."""
+    see ``storage.day_partition`` and ``storage.symbol_buckets``).
+    ``pending_path``: where the earliest changed date is recorded for the
+    incremental transform, before bronze is touched."""
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run_id = run_id or uuid.uuid4().hex[:8]
@@ -63,6 +67,10 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
     if tagged.isEmpty():
         return None
     run = inc.from_tagged(classified, plan, rplan, tagged, run_date)
+    if pending_path:
+        earliest = run.all_extracted.agg(F.min("date")).first()[0]
+        if earliest is not None:
+            record_pending(spark, pending_path, earliest)
     storage.upsert_table(spark, to_bronze(run.all_extracted), bronze_path,
                          keys=("symbol", "date"),
                          partitions=bronze_layout or storage.month_partition())

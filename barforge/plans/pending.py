@@ -1,0 +1,32 @@
+"""The earliest bronze date not yet reflected in silver.
+
+Written before bronze is changed (an intent record), cleared only after
+silver and gold were refreshed, so a crash anywhere in between leaves a
+record that makes the next transform cover the missed change."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from barforge.sources import storage
+
+
+def read_pending(spark: SparkSession, path: str) -> dt.date | None:
+    if not storage.table_exists(spark, path):
+        return None
+    return spark.read.parquet(path).agg(F.min("since")).first()[0]
+
+
+def record_pending(spark: SparkSession, path: str, since: dt.date) -> dt.date:
+    """Keep the earlier of the stored date and ``since``; returns it."""
+    old = read_pending(spark, path)
+    new = since if old is None else min(old, since)
+    spark.createDataFrame([(new,)], "since date").coalesce(1).write.mode("overwrite").parquet(path)
+    return new
+
+
+def clear_pending(spark: SparkSession, path: str) -> None:
+    storage.delete_path(spark, path)

@@ -7,18 +7,24 @@ Plan shape (per run):
      segments are checkpointed to the shared checkpoint folder, so the
      daily data is read and de-duplicated once for both bar tables;
   3. weekly and monthly bars fold the segments (small aggregates), written
-     as tables; gold reads the written weekly table back (lineage cut);
+     as month-partitioned tables; gold reads the written weekly table back
+     (lineage cut). After an incremental load only the weeks and months
+     from the earliest changed date on are recomputed (``refresh_silver``);
   4. gold: one Window node (single sort on symbol, date) over weekly rows;
      the benchmark side is an aggregate with one row per date.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barforge.operators import bars, indicators, quality, staging
+from barforge.plans.pending import clear_pending, read_pending
+from barforge.schemas import BARS, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
 from barforge.sources.landing import read_bronze
@@ -55,20 +61,75 @@ SILVER_SCHEMA = "silver"
 GOLD_SCHEMA = "gold"
 
 
+def silver_partition() -> dict:
+    """Silver tables are stored by month of the bar date, so a refresh
+    rewrites only the months it touches."""
+    return storage.month_partition()
+
+
+def read_bars(spark: SparkSession, path: str) -> DataFrame:
+    """A stored bar table with its declared columns (partition column
+    dropped)."""
+    return conform(spark.read.parquet(path), BARS)
+
+
+def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
+                   since: dt.date) -> DataFrame:
+    """Incremental silver: bronze rows dated ``since`` or later changed, so
+    only bars of weeks from Monday of ``since``'s week and of months from the
+    1st of its month can differ; they are recomputed from the bronze rows of
+    that range (partition-pruned) and replace the stored ones. Every older
+    bar only depends on unchanged days. Returns the recomputed staging
+    rows (for the checks)."""
+    week_from = since - dt.timedelta(days=since.weekday())
+    month_from = since.replace(day=1)
+    lo = min(week_from, month_from)
+    bronze = read_bronze(spark, bronze_path, since=lo)
+    stg, weekly, monthly = build_silver(bronze)
+    storage.replace_from(spark, weekly.where(F.col("date") >= F.lit(week_from)), paths.weekly,
+                         week_from, silver_partition())
+    storage.replace_from(spark, monthly.where(F.col("date") >= F.lit(month_from)), paths.monthly,
+                         month_from, silver_partition())
+    return stg
+
+
 def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                   check_staging: bool = True, register: bool = False,
-                  silver_schema: str | None = None, gold_schema: str | None = None) -> DataFrame:
-    """Rebuild silver and gold from the bronze table; return the quality
-    report of every layer (small, one row per check). With ``register``,
-    the written layers are also catalog tables in their namespaces."""
+                  silver_schema: str | None = None, gold_schema: str | None = None,
+                  since: dt.date | None = None,
+                  pending_path: str | None = None) -> DataFrame:
+    """Build silver and gold from bronze; return the quality report of every
+    layer (small, one row per check).
+
+    Full rebuild when silver does not exist yet or nothing says what
+    changed; incremental silver refresh when ``since`` (or the pending
+    record at ``pending_path``) names the earliest changed bronze date;
+    nothing to recompute when a pending record is tracked but absent. Gold
+    is rebuilt from the stored weekly table whenever silver changed. With
+    ``register``, the written layers are also catalog tables."""
     ensure_checkpoint_dir(spark)
-    bronze = read_bronze(spark, bronze_path)
-    stg, weekly, monthly = build_silver(bronze)
-    storage.write_layer(weekly, paths.weekly)
-    storage.write_layer(monthly, paths.monthly)
-    weekly_t = storage.read_layer(spark, paths.weekly)
-    gold = indicators.weekly_technical_analysis(weekly_t)
-    storage.write_layer(gold, paths.technical)
+    if pending_path:
+        p = read_pending(spark, pending_path)
+        since = p if since is None else (since if p is None else min(p, since))
+    have_silver = (storage.table_exists(spark, paths.weekly)
+                   and storage.table_exists(spark, paths.monthly)
+                   and storage.table_exists(spark, paths.technical))
+    stg = None
+    if not have_silver or (since is None and not pending_path):
+        stg, weekly, monthly = build_silver(read_bronze(spark, bronze_path))
+        storage.write_partitioned(weekly, paths.weekly, silver_partition())
+        storage.write_partitioned(monthly, paths.monthly, silver_partition())
+        changed = True
+    elif since is not None:
+        stg = refresh_silver(spark, bronze_path, paths, since)
+        changed = True
+    else:
+        changed = False
+    weekly_t = read_bars(spark, paths.weekly)
+    if changed:
+        storage.write_layer(indicators.weekly_technical_analysis(weekly_t), paths.technical)
+    if pending_path:
+        clear_pending(spark, pending_path)
     if register:
         storage.register_tables(spark, {"weekly_prices": paths.weekly,
                                         "monthly_prices": paths.monthly},
@@ -76,8 +137,9 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
         storage.register_tables(spark, {"weekly_technical_analysis": paths.technical},
                                 storage.layer_name(gold_schema, GOLD_SCHEMA))
     layers = {"weekly_prices": weekly_t,
-              "monthly_prices": storage.read_layer(spark, paths.monthly),
+              "monthly_prices": read_bars(spark, paths.monthly),
               "weekly_technical_analysis": storage.read_layer(spark, paths.technical)}
-    if check_staging:
+    if check_staging and stg is not None:
+        # Staging rows recomputed by this run (all of them on a full build).
         layers = {"stg_daily_prices": stg, **layers}
     return quality.quality_report(layers)

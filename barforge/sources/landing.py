@@ -57,10 +57,19 @@ def to_bronze(df: DataFrame) -> DataFrame:
     return conform(df, BRONZE)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, since=None) -> DataFrame:
     """The bronze table read with its declared types (S4). Partition columns
-    of the storage layout are dropped."""
-    return conform(spark.read.parquet(path), BRONZE)
+    of the storage layout are dropped. ``since`` keeps rows dated on or
+    after it, pruning whole partitions of a date-partitioned layout."""
+    from barforge.sources.storage import partition_floor
+
+    df = spark.read.parquet(path)
+    if since is not None:
+        floor = partition_floor(df.columns, since)
+        if floor is not None:
+            df = df.where(floor)
+        df = df.where(F.col("date") >= F.lit(since))
+    return conform(df, BRONZE)
 
 
 def table_stats(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ stores); nothing here touches a machine-local folder.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
@@ -130,6 +131,63 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
+def partition_floor(columns: list[str], since: dt.date) -> Column | None:
+    """A filter on our date-derived partition columns (``month`` = yyyymm,
+    ``day`` = yyyymmdd) that keeps every partition holding dates >=
+    ``since``; Spark prunes the others from the file listing."""
+    cond = None
+    if "month" in columns:
+        cond = F.col("month") >= F.lit(since.year * 100 + since.month)
+    if "day" in columns:
+        d = F.col("day") >= F.lit(since.year * 10000 + since.month * 100 + since.day)
+        cond = d if cond is None else cond & d
+    return cond
+
+
+def write_partitioned(df: DataFrame, path: str, partitions: dict[str, Column],
+                      sort_by: Sequence[str] = ("symbol", "date")) -> str:
+    """Full write of a layer partitioned by ``partitions``; rows are
+    range-partitioned (sampled bounds split hot keys) and sorted inside."""
+    pcols = list(partitions)
+    out = df.withColumns(partitions)
+    out = out.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
+    out.write.mode("overwrite").partitionBy(*pcols).parquet(path)
+    return path
+
+
+def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date,
+                 partitions: dict[str, Column], date_col: str = "date",
+                 sort_by: Sequence[str] = ("symbol", "date")) -> None:
+    """Replace every row dated on or after ``since`` with ``rows`` (which
+    must hold only such rows); rows before ``since`` stay. Only partitions
+    from ``since`` on are read and rewritten (staged, then swapped in by a
+    dynamic partition overwrite); a partition left without rows is removed.
+    Idempotent: re-running after a failure gives the same table."""
+    pcols = list(partitions)
+    if not table_exists(spark, path):
+        write_partitioned(rows, path, partitions, sort_by)
+        return
+    old = spark.read.parquet(path)
+    floor = partition_floor(old.columns, since)
+    touched = old.where(floor) if floor is not None else old
+    kept = touched.where(F.col(date_col) < F.lit(since))
+    new = rows.withColumns(partitions).select(*old.columns)
+    merged = kept.unionByName(new)
+    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    (merged.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
+           .write.mode("overwrite").partitionBy(*pcols).parquet(stage))
+    staged = spark.read.parquet(stage)
+    # Partition values are bounded by the calendar from ``since`` on.
+    before = {tuple(r) for r in touched.select(*pcols).distinct().collect()}
+    after = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
+    _write(staged, path, pcols, dynamic=True)
+    for values in before - after:
+        sub = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
+        delete_path(spark, f"{path.rstrip('/')}/{sub}")
+    delete_path(spark, stage)
+    spark.catalog.refreshByPath(path)
+
+
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Overwrite a small table with ``df``. ``df`` must not read ``path``
     any more (checkpoint it first), since the old files are removed before
@@ -158,6 +216,8 @@ def register_tables(spark: SparkSession, tables: dict[str, str], namespace: str)
     for name, path in tables.items():
         full = f"`{namespace}`.`{name}`"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+        if spark.sql(f"DESCRIBE TABLE {full}").where("col_name = '# Partition Information'").count():
+            spark.catalog.recoverPartitions(f"{namespace}.{name}")
         spark.catalog.refreshTable(f"{namespace}.{name}")
         names.append(f"{namespace}.{name}")
     return names
