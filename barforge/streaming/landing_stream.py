@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import functions as F
+
+from barforge.plans.pending import record_pending
 from barforge.schemas import LANDING
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
@@ -22,9 +25,12 @@ from barforge.sources.landing import normalize_landing, to_bronze
 def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
                          checkpoint_location: str | None = None, exchange_tz: str = "UTC",
                          available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         pending_path: str | None = None) -> StreamingQuery:
     """Start the stream; call ``.awaitTermination()`` on the result to wait
-    (``available_now=True`` stops once the folder is drained)."""
+    (``available_now=True`` stops once the folder is drained). With
+    ``pending_path``, each micro-batch first records its earliest date for
+    the incremental silver refresh."""
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing_stream"
     reader = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
@@ -33,6 +39,10 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = to_bronze(normalize_landing(batch, exchange_tz))
+        if pending_path:
+            earliest = rows.agg(F.min("date")).first()[0]
+            if earliest is not None:
+                record_pending(batch.sparkSession, pending_path, earliest)
         storage.upsert_table(batch.sparkSession, rows, bronze_path,
                              keys=("symbol", "date"), partitions=storage.month_partition())
 

@@ -137,3 +137,45 @@ def test_master_duplicates_and_nulls_planned_once(spark):
     cl = inc.classify(m, inc.read_watermarks(ctl), RUN)
     assert sorted(r["symbol"] for r in cl.collect()) == ["A", "B"]
     assert inc.extract_plan(cl, RUN).count() == 2
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+key_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(1, 6),
+                              st.one_of(st.none(), st.integers(0, 9)), st.integers(0, 3)),
+                    max_size=12)
+
+
+@settings(max_examples=6, deadline=None)
+@given(key_rows, key_rows)
+def test_upsert_properties(spark, target_rows, source_rows):
+    def frame(rows, unique):
+        seen, out = set(), []
+        for s, d, v, c in rows:
+            if unique and (s, d) in seen:
+                continue
+            seen.add((s, d))
+            out.append((D("2024-01-01") + dt.timedelta(days=d), float(c), float(c), float(c),
+                        float(c), v, 0.0, 0.0, s))
+        return spark.createDataFrame(out, BRONZE)
+
+    t, s = frame(target_rows, True), frame(source_rows, False)
+    once = upsert(t, s, ["symbol", "date"])
+    rows = sorted(once.collect(), key=repr)
+    again = sorted(upsert(once, s, ["symbol", "date"]).collect(), key=repr)
+    assert again == rows                                                  # idempotent
+    keys = [(r["symbol"], r["date"]) for r in rows]
+    assert len(keys) == len(set(keys))                                    # unique keys
+    src = {}
+    for r in s.collect():                                                # source wins,
+        k = (r["symbol"], r["date"])                                      # largest volume
+        best = src.get(k)                                                 # (NULL first)
+        rank = (r["volume"] is None, r["volume"] or 0, r["close"])
+        if best is None or rank > best[0]:
+            src[k] = (rank, r)
+    for r in rows:
+        k = (r["symbol"], r["date"])
+        if k in src:
+            assert r == src[k][1]
+    tkeys = {(r["symbol"], r["date"]) for r in t.collect()}
+    assert set(keys) == tkeys | set(src)
