@@ -13,7 +13,7 @@ from barforge.sources import storage
 def lake_paths(root: str) -> dict[str, str]:
     root = root.rstrip("/")
     return {"control": f"{root}/control", "bronze": f"{root}/bronze",
-            "master_data": f"{root}/bronze/master_data",
+            "master_data": f"{root}/master_data",
             "weekly_prices": f"{root}/silver/weekly_prices",
             "monthly_prices": f"{root}/silver/monthly_prices",
             "weekly_technical_analysis": f"{root}/gold/weekly_technical_analysis"}

@@ -33,6 +33,12 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
                  retry_landing_norm=land.unionByName(late))
     assert sorted(read_bronze(spark, f"{scratch}/lake/bronze").collect()) == bronze
     assert read_control(spark, f"{scratch}/lake/control").where("last_run_id = 'rerun'").count() > 0
+    # the master list is published in the lake and can be read back from there
+    published = read_master(spark, f"{scratch}/lake/master_data")
+    assert sorted(published.collect()) == sorted(master.collect())
+    out3 = run_daily_job(spark, published, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS,
+                         "r3", retry_landing_norm=land.unionByName(late))
+    assert out3["summary"] is not None
 
 
 def test_registered_tables(spark, scratch):
