@@ -52,6 +52,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A fresh folder for a staged copy, inside the shared checkpoint folder
+    (never inside the table being rewritten: a non-partitioned overwrite
+    clears the whole table folder before writing)."""
+    from barforge.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/barforge-staging/{uuid.uuid4().hex}"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A stored table exists once a committed write left data under it."""
     if not path_exists(spark, path):
@@ -99,7 +108,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str,
     First load: the de-duplicated source is written as the table (S7).
     Later loads (S8): only the partitions the source touches are read
     (dynamic partition pruning on the partition column), merged by
-    anti-join + union, staged under ``<path>/_staging/<id>`` and swapped in
+    anti-join + union, staged in the shared checkpoint folder and swapped in
     with a dynamic partition overwrite, so untouched partitions are never
     rewritten. Re-running the same upsert after a failure gives the same
     table, since the merge is idempotent. Returns the table as read back.
@@ -120,7 +129,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str,
         touched = src.select(*pcols).distinct()
         target = target.join(touched, pcols, "left_semi")
     merged = upsert(target, src.select(*target.columns), keys, order=None)
-    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    stage = staging_path(spark)
     # The staged copy is laid out once (range-partitioned, so a hot month or
     # symbol is split across tasks); the swap copies it file by file.
     _write(merged.repartitionByRange(*(pcols + list(keys))) if pcols else merged,
@@ -173,7 +182,7 @@ def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date
     kept = touched.where(F.col(date_col) < F.lit(since))
     new = rows.withColumns(partitions).select(*old.columns)
     merged = kept.unionByName(new)
-    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    stage = staging_path(spark)
     (merged.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
            .write.mode("overwrite").partitionBy(*pcols).parquet(stage))
     staged = spark.read.parquet(stage)

@@ -179,3 +179,15 @@ def test_upsert_properties(spark, target_rows, source_rows):
             assert r == src[k][1]
     tkeys = {(r["symbol"], r["date"]) for r in t.collect()}
     assert set(keys) == tkeys | set(src)
+
+
+def test_unpartitioned_upsert_table_twice(spark, scratch):
+    path = f"{scratch}/plain"
+    a = [(D("2024-01-05"), 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, "A")]
+    b = [(D("2024-01-05"), 2.0, 2.0, 2.0, 2.0, 5, 0.0, 0.0, "A"),
+         (D("2024-01-06"), 2.0, 2.0, 2.0, 2.0, 5, 0.0, 0.0, "A")]
+    storage.upsert_table(spark, spark.createDataFrame(a, BRONZE), path)
+    storage.upsert_table(spark, spark.createDataFrame(b, BRONZE), path)
+    storage.upsert_table(spark, spark.createDataFrame(b, BRONZE), path)
+    got = sorted((r["date"], r["volume"]) for r in read_bronze(spark, path).collect())
+    assert got == [(D("2024-01-05"), 5), (D("2024-01-06"), 5)]
