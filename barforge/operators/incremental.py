@@ -118,11 +118,8 @@ def retry_plan(failed: DataFrame, plan: DataFrame, run_date: dt.date,
     """Second attempt for failed symbols (C5): full lookback for NEW, the
     symbol's own watermark + 1 day for DELTA."""
     p = plan.join(failed.select("symbol"), "symbol", "left_semi")
-    is_new = F.col("class") == NEW
     return p.select("symbol", "class", "run_type",
-                    F.when(is_new, lookback_start(run_date, months))
-                     .otherwise(day_after("last_extract_date")).alias("start_date"),
-                    "last_extract_date")
+                    retry_start(p, run_date, months).alias("start_date"), "last_extract_date")
 
 
 RESULT_COLUMNS = ["symbol", "last_extract_date", "rows_extracted", "last_run_type", "last_status"]
@@ -212,6 +209,35 @@ class IncrementalRun:
     first_pass_results: DataFrame
 
 
+def retry_start(plan: DataFrame, run_date: dt.date, months: int = LOOKBACK_MONTHS) -> Column:
+    """Start date of a second attempt (C5): the full lookback for NEW, the
+    symbol's own watermark + 1 day for DELTA."""
+    return (F.when(F.col("class") == NEW, lookback_start(run_date, months))
+             .otherwise(day_after("last_extract_date")))
+
+
+def tag_attempts(plan: DataFrame, landing_norm: DataFrame, retry_landing_norm: DataFrame,
+                 run_date: dt.date, months: int = LOOKBACK_MONTHS) -> DataFrame:
+    """Both attempts in one join (C4, C5, U1): rows the first attempt fetches
+    (landing from the shared start) and rows the retry fetches (its source
+    from each symbol's own start), the latter kept only for symbols the
+    first attempt found nothing for. The per-symbol success flag is a
+    partial aggregate with one row per symbol."""
+    p = plan.select("symbol", "run_type", "start_date",
+                    retry_start(plan, run_date, months).alias("_retry_start"))
+    src = (landing_norm.withColumn("attempt", F.lit(1))
+           .unionByName(retry_landing_norm.withColumn("attempt", F.lit(2))))
+    one, two = F.col("attempt") == 1, F.col("attempt") == 2
+    cand = (src.join(p, on="symbol", how="inner")
+               .where((one & (F.col("date") >= F.col("start_date")))
+                      | (two & (F.col("date") >= F.col("_retry_start"))))
+               .drop("start_date", "_retry_start"))
+    found = cand.where(one).groupBy("symbol").agg(F.lit(True).alias("_found"))
+    return (cand.join(found, on="symbol", how="left")
+                .where(one | F.col("_found").isNull())
+                .drop("_found"))
+
+
 def plan_run(master: DataFrame, control: DataFrame, landing_norm: DataFrame,
              run_date: dt.date, retry_landing_norm: DataFrame | None = None,
              months: int = LOOKBACK_MONTHS) -> IncrementalRun:
@@ -220,30 +246,33 @@ def plan_run(master: DataFrame, control: DataFrame, landing_norm: DataFrame,
     wm = read_watermarks(control)
     classified = classify(master, wm, run_date)
     plan = extract_plan(classified, run_date, months)
-    first = extract(landing_norm, plan)
-    failed0 = failed_results(plan, extract_results(first), run_date)
-    rplan = retry_plan(failed0, plan, run_date, months)
-    second = extract(retry_landing_norm if retry_landing_norm is not None else landing_norm,
-                     rplan)
-    tagged = union_extracts(first.withColumn("attempt", F.lit(1)),
-                            second.withColumn("attempt", F.lit(2)))
+    retry_src = retry_landing_norm if retry_landing_norm is not None else landing_norm
+    tagged = tag_attempts(plan, landing_norm, retry_src, run_date, months)
+    first = tagged.where(F.col("attempt") == 1).drop("attempt")
+    rplan = retry_plan(failed_results(plan, extract_results(first), run_date), plan,
+                       run_date, months)
     return from_tagged(classified, plan, rplan, tagged, run_date)
 
 
 def from_tagged(classified: DataFrame, plan: DataFrame, rplan: DataFrame,
                 tagged: DataFrame, run_date: dt.date) -> IncrementalRun:
-    """Every result of a run from the tagged extract. Pass a checkpointed
-    ``tagged`` and the landing data is joined only once for the bronze
-    write, the results and the summary together."""
+    """Every result of a run from the tagged extract. A symbol has rows of
+    one attempt at most, so the final results are one grouping of all rows
+    (successes of either attempt) plus the planned symbols with no row at
+    all (failures). Pass a checkpointed ``tagged`` and the landing data is
+    joined only once for the bronze write, the results and the summary."""
     extracted = tagged.where(F.col("attempt") == 1).drop("attempt")
     retried_rows = tagged.where(F.col("attempt") == 2).drop("attempt")
     success = extract_results(extracted)
     failed = failed_results(plan, success, run_date)
-    retried = extract_results(retried_rows)
+    all_rows = tagged.drop("attempt")
+    found = extract_results(all_rows)
+    results = found.select(*RESULT_COLUMNS).unionByName(
+        failed_results(plan, found, run_date).select(*RESULT_COLUMNS))
     return IncrementalRun(
         classified=classified, plan=plan, tagged=tagged, extracted=extracted,
         success=success, failed=failed, retry_plan=rplan, retried_rows=retried_rows,
-        retried=retried, all_extracted=tagged.drop("attempt"),
-        results=combine_results(success, failed, retried),
+        retried=extract_results(retried_rows), all_extracted=all_rows,
+        results=results,
         first_pass_results=combine_results(success, failed),
     )
