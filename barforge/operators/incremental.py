@@ -125,16 +125,10 @@ def retry_plan(failed: DataFrame, plan: DataFrame, run_date: dt.date,
 RESULT_COLUMNS = ["symbol", "last_extract_date", "rows_extracted", "last_run_type", "last_status"]
 
 
-def combine_results(success: DataFrame, failed: DataFrame,
-                    retried: DataFrame | None = None) -> DataFrame:
-    """Results of a run: first-pass successes, recovered symbols, and the
-    failures that stayed failed."""
-    out = success.select(*RESULT_COLUMNS)
-    if retried is None:
-        return out.unionByName(failed.select(*RESULT_COLUMNS))
-    still = failed.join(retried.select("symbol"), "symbol", "left_anti")
-    return (out.unionByName(retried.select(*RESULT_COLUMNS))
-               .unionByName(still.select(*RESULT_COLUMNS)))
+def combine_results(success: DataFrame, failed: DataFrame) -> DataFrame:
+    """Results of one attempt: its successes and its failures (disjoint by
+    symbol)."""
+    return success.select(*RESULT_COLUMNS).unionByName(failed.select(*RESULT_COLUMNS))
 
 
 def control_rows(results: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
@@ -267,8 +261,7 @@ def from_tagged(classified: DataFrame, plan: DataFrame, rplan: DataFrame,
     failed = failed_results(plan, success, run_date)
     all_rows = tagged.drop("attempt")
     found = extract_results(all_rows)
-    results = found.select(*RESULT_COLUMNS).unionByName(
-        failed_results(plan, found, run_date).select(*RESULT_COLUMNS))
+    results = combine_results(found, failed_results(plan, found, run_date))
     return IncrementalRun(
         classified=classified, plan=plan, tagged=tagged, extracted=extracted,
         success=success, failed=failed, retry_plan=rplan, retried_rows=retried_rows,
