@@ -26,6 +26,13 @@ CCI_SCALE = 2
 RS_SCALE = 6
 
 
+def lookback_bars(sma_n: int = SMA_LENGTH, cci_n: int = CCI_LENGTH,
+                  breakouts: Sequence[int] = BREAKOUT_WEEKS) -> int:
+    """How many preceding bars any indicator of a bar reads (the widest
+    frame): bars further back cannot change it."""
+    return max([sma_n - 1, cci_n - 1, *breakouts])
+
+
 def symbol_window():
     return Window.partitionBy("symbol").orderBy("date")
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators import bars, indicators, quality, staging
 from barforge.plans.pending import clear_pending, read_pending
-from barforge.schemas import BARS, conform
+from barforge.schemas import BARS, GOLD, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
 from barforge.sources.landing import read_bronze
@@ -93,11 +93,46 @@ def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     return stg
 
 
+# Calendar look-back read for an incremental gold refresh; it normally holds
+# far more than the 104 preceding bars the widest indicator needs.
+GOLD_CONTEXT_WEEKS = 156
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The stored gold table with its declared columns."""
+    return conform(spark.read.parquet(path), GOLD)
+
+
+def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
+                 context_weeks: int = GOLD_CONTEXT_WEEKS) -> None:
+    """Incremental gold: only rows dated ``week_from`` or later can change
+    (every input of an older row is an older, unchanged bar). They are
+    recomputed over a context that holds, for every symbol, all the
+    preceding bars any indicator reads: a calendar window of
+    ``context_weeks``, plus the whole older history of the symbols that
+    have fewer than ``lookback_bars()`` bars in that window (gaps, new
+    listings). The window functions are therefore exact."""
+    need = indicators.lookback_bars()
+    ctx_lo = week_from - dt.timedelta(weeks=context_weeks)
+    recent = conform(storage.read_range(spark, paths.weekly, since=ctx_lo), BARS)
+    touched = recent.where(F.col("date") >= F.lit(week_from)).select("symbol").distinct()
+    have = (recent.where(F.col("date") < F.lit(week_from))
+                  .groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")))
+    short = (touched.join(have, "symbol", "left")
+                    .where(F.coalesce(F.col("_n"), F.lit(0)) < need).select("symbol"))
+    older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo), BARS)
+    context = recent.unionByName(older.join(short, "symbol", "left_semi"))
+    fresh = (indicators.weekly_technical_analysis(context)
+             .where(F.col("date") >= F.lit(week_from)))
+    storage.replace_from(spark, fresh, paths.technical, week_from, silver_partition())
+
+
 def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                   check_staging: bool = True, register: bool = False,
                   silver_schema: str | None = None, gold_schema: str | None = None,
                   since: dt.date | None = None,
-                  pending_path: str | None = None) -> DataFrame:
+                  pending_path: str | None = None,
+                  gold_context_weeks: int = GOLD_CONTEXT_WEEKS) -> DataFrame:
     """Build silver and gold from bronze; return the quality report of every
     layer (small, one row per check).
 
@@ -105,8 +140,9 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     changed; incremental silver refresh when ``since`` (or the pending
     record at ``pending_path``) names the earliest changed bronze date;
     nothing to recompute when a pending record is tracked but absent. Gold
-    is rebuilt from the stored weekly table whenever silver changed. With
-    ``register``, the written layers are also catalog tables."""
+    follows silver: built in full, or refreshed from the same week on
+    (``refresh_gold``). With ``register``, the written layers are also
+    catalog tables."""
     ensure_checkpoint_dir(spark)
     if pending_path:
         p = read_pending(spark, pending_path)
@@ -119,15 +155,14 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
         stg, weekly, monthly = build_silver(read_bronze(spark, bronze_path))
         storage.write_partitioned(weekly, paths.weekly, silver_partition())
         storage.write_partitioned(monthly, paths.monthly, silver_partition())
-        changed = True
+        weekly_t = read_bars(spark, paths.weekly)
+        storage.write_partitioned(indicators.weekly_technical_analysis(weekly_t),
+                                  paths.technical, silver_partition())
     elif since is not None:
         stg = refresh_silver(spark, bronze_path, paths, since)
-        changed = True
-    else:
-        changed = False
+        refresh_gold(spark, paths, since - dt.timedelta(days=since.weekday()),
+                     gold_context_weeks)
     weekly_t = read_bars(spark, paths.weekly)
-    if changed:
-        storage.write_layer(indicators.weekly_technical_analysis(weekly_t), paths.technical)
     if pending_path:
         clear_pending(spark, pending_path)
     if register:
@@ -138,7 +173,7 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                                 storage.layer_name(gold_schema, GOLD_SCHEMA))
     layers = {"weekly_prices": weekly_t,
               "monthly_prices": read_bars(spark, paths.monthly),
-              "weekly_technical_analysis": storage.read_layer(spark, paths.technical)}
+              "weekly_technical_analysis": read_gold(spark, paths.technical)}
     if check_staging and stg is not None:
         # Staging rows recomputed by this run (all of them on a full build).
         layers = {"stg_daily_prices": stg, **layers}

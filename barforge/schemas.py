@@ -55,6 +55,17 @@ BARS = T.StructType([
     T.StructField("volume", T.LongType()),
 ])
 
+GOLD = T.StructType(BARS.fields + [
+    T.StructField("sma_30", T.DoubleType()),
+    T.StructField("cci_34", T.DoubleType()),
+    T.StructField("rs_nifty50", T.DoubleType()),
+    T.StructField("rs_nifty500", T.DoubleType()),
+    T.StructField("is_breakout_13w", T.IntegerType()),
+    T.StructField("is_breakout_26w", T.IntegerType()),
+    T.StructField("is_breakout_52w", T.IntegerType()),
+    T.StructField("is_breakout_104w", T.IntegerType()),
+])
+
 STAGING_COLUMNS = ["date", "symbol", "open", "high", "low", "close", "volume",
                    "dividends", "stock_splits"]
 BAR_COLUMNS = ["date", "symbol", "open", "high", "low", "close", "volume"]

@@ -153,6 +153,31 @@ def partition_floor(columns: list[str], since: dt.date) -> Column | None:
     return cond
 
 
+def partition_ceiling(columns: list[str], before: dt.date) -> Column | None:
+    """The mirror of ``partition_floor``: partitions holding dates < ``before``."""
+    cond = None
+    if "month" in columns:
+        cond = F.col("month") <= F.lit(before.year * 100 + before.month)
+    if "day" in columns:
+        d = F.col("day") <= F.lit(before.year * 10000 + before.month * 100 + before.day)
+        cond = d if cond is None else cond & d
+    return cond
+
+
+def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
+               before: dt.date | None = None) -> DataFrame:
+    """Rows of a date-partitioned table with ``since <= date < before``,
+    reading only the partitions that can hold them."""
+    df = spark.read.parquet(path)
+    if since is not None:
+        floor = partition_floor(df.columns, since)
+        df = (df.where(floor) if floor is not None else df).where(F.col("date") >= F.lit(since))
+    if before is not None:
+        ceil = partition_ceiling(df.columns, before)
+        df = (df.where(ceil) if ceil is not None else df).where(F.col("date") < F.lit(before))
+    return df
+
+
 def write_partitioned(df: DataFrame, path: str, partitions: dict[str, Column],
                       sort_by: Sequence[str] = ("symbol", "date")) -> str:
     """Full write of a layer partitioned by ``partitions``; rows are

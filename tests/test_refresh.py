@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from barforge.plans.incremental import run_incremental
 from barforge.plans.pending import read_pending, record_pending
-from barforge.plans.transform import TransformPaths, read_bars, run_transform
+import pytest
+
+from barforge.plans.transform import TransformPaths, read_bars, read_gold, run_transform
 from barforge.sources import fixtures as fx
 from barforge.sources.landing import normalize_landing
 from conftest import SF_SMALL
@@ -15,10 +17,13 @@ from conftest import SF_SMALL
 def tables(spark, paths):
     return {"w": sorted(read_bars(spark, paths.weekly).collect()),
             "m": sorted(read_bars(spark, paths.monthly).collect()),
-            "g": sorted(spark.read.parquet(paths.technical).collect())}
+            "g": sorted(read_gold(spark, paths.technical).collect())}
 
 
-def test_incremental_refresh_equals_full_rebuild(spark, scratch):
+# 156 weeks: the normal calendar context; 20 weeks: too short for the 104-bar
+# frames, so every symbol takes the full-history fallback.
+@pytest.mark.parametrize("context_weeks", [156, 20])
+def test_incremental_refresh_equals_full_rebuild(spark, scratch, context_weeks):
     lake = f"{scratch}/lake"
     paths = TransformPaths(silver=f"{lake}/silver", gold=f"{lake}/gold")
     pending = f"{lake}/pending_since"
@@ -30,7 +35,7 @@ def test_incremental_refresh_equals_full_rebuild(spark, scratch):
                     f"{lake}/bronze", r1, run_id="r1", pending_path=pending)
     run_transform(spark, f"{lake}/bronze", paths, pending_path=pending)   # first: full build
     assert read_pending(spark, pending) is None
-    first_gold = spark.read.parquet(paths.technical).count()
+    first_gold = read_gold(spark, paths.technical).count()
     # second load: later days for every symbol, plus a simulated crash that
     # left an older pending record (it must be honoured, not lost)
     r2 = fx.RUN_DATE
@@ -40,9 +45,18 @@ def test_incremental_refresh_equals_full_rebuild(spark, scratch):
     assert since is not None and since >= dt.date(1999, 6, 1)
     record_pending(spark, pending, dt.date(1999, 3, 17))
     assert read_pending(spark, pending) == dt.date(1999, 3, 17)
-    report = run_transform(spark, f"{lake}/bronze", paths, pending_path=pending)
+
+    def old_files(path):
+        return sorted(r[0] for r in spark.read.parquet(path).where("month < 199903")
+                      .select(F.input_file_name()).distinct().collect())
+
+    before = {p: old_files(p) for p in (paths.weekly, paths.monthly, paths.technical)}
+    report = run_transform(spark, f"{lake}/bronze", paths, pending_path=pending,
+                           gold_context_weeks=context_weeks)
     assert report.where("violations > 0").count() == 0
     assert read_pending(spark, pending) is None
+    # months before the refresh start were not rewritten
+    assert {p: old_files(p) for p in before} == before
     got = tables(spark, paths)
     assert len(got["g"]) > first_gold
     # reference: a full rebuild from the final bronze table

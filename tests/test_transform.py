@@ -1,7 +1,7 @@
 from barforge.operators import bars
 from barforge.operators.indicators import weekly_technical_analysis
 from barforge.operators.staging import stage_daily
-from barforge.plans.transform import TransformPaths, read_bars, run_transform
+from barforge.plans.transform import TransformPaths, read_bars, read_gold, run_transform
 from barforge.sources import fixtures as fx
 from conftest import SF_SMALL
 
@@ -16,6 +16,6 @@ def test_transform_writes_layers_equal_to_lazy_queries(spark, scratch):
     weekly = bars.resample_bars(stg, "week")
     for path, lazy in ((paths.weekly, weekly), (paths.monthly, bars.resample_bars(stg, "month")),
                        (paths.technical, weekly_technical_analysis(weekly))):
-        stored = read_bars(spark, path) if "prices" in path else spark.read.parquet(path)
+        stored = read_bars(spark, path) if "prices" in path else read_gold(spark, path)
         assert stored.columns == lazy.columns
         assert sorted(stored.collect()) == sorted(lazy.collect())
