@@ -28,11 +28,6 @@ def period_key(period: str) -> tuple[str, Column]:
     return name, fn("date")
 
 
-def with_period(daily: DataFrame, period: str) -> DataFrame:
-    name, key = period_key(period)
-    return daily.withColumn(name, key)
-
-
 def period_boundaries(daily: DataFrame, period: str) -> DataFrame:
     """First and last traded day per symbol and period (A1)."""
     name, key = period_key(period)

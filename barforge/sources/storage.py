@@ -82,10 +82,6 @@ def write_layer(df: DataFrame, path: str, sort_by: Sequence[str] = ("symbol", "d
     return path
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def _with_partitions(df: DataFrame, partitions: dict[str, Column]) -> DataFrame:
     return df.withColumns(partitions) if partitions else df
 
