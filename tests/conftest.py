@@ -15,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", app="barforge-tests", shuffle_partitions=4)
+    s = get_spark("local[4]", app="barforge-tests", shuffle_partitions=4,
+                  conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="barforge-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
