@@ -96,6 +96,8 @@ def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
 # Calendar look-back read for an incremental gold refresh; it normally holds
 # far more than the 104 preceding bars the widest indicator needs.
 GOLD_CONTEXT_WEEKS = 156
+# Up to this many short-context symbols are pushed into the scan as literals.
+MAX_SHORT_IN_FILTER = 10_000
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -121,7 +123,16 @@ def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
     short = (touched.join(have, "symbol", "left")
                     .where(F.coalesce(F.col("_n"), F.lit(0)) < need).select("symbol"))
     older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo), BARS)
-    context = recent.unionByName(older.join(short, "symbol", "left_semi"))
+    # Usually only a few symbols (new listings, long halts) are short: their
+    # names go into the scan as an IN filter, so the symbol-sorted files'
+    # row-group statistics skip nearly all older data. A longer list is
+    # joined instead (same rows, full scan of the older partitions).
+    names = [r[0] for r in short.limit(MAX_SHORT_IN_FILTER + 1).collect()]
+    if len(names) <= MAX_SHORT_IN_FILTER:
+        older = older.where(F.col("symbol").isin(names)) if names else older.limit(0)
+    else:
+        older = older.join(short, "symbol", "left_semi")
+    context = recent.unionByName(older)
     fresh = (indicators.weekly_technical_analysis(context)
              .where(F.col("date") >= F.lit(week_from)))
     storage.replace_from(spark, fresh, paths.technical, week_from, silver_partition())

@@ -21,9 +21,13 @@ def tables(spark, paths):
 
 
 # 156 weeks: the normal calendar context; 20 weeks: too short for the 104-bar
-# frames, so every symbol takes the full-history fallback.
-@pytest.mark.parametrize("context_weeks", [156, 20])
-def test_incremental_refresh_equals_full_rebuild(spark, scratch, context_weeks):
+# frames, so every symbol takes the full-history fallback (through the IN
+# filter, or through the semi-join when the list limit is 0).
+@pytest.mark.parametrize("context_weeks,in_limit", [(156, 10_000), (20, 10_000), (20, 0)])
+def test_incremental_refresh_equals_full_rebuild(spark, scratch, monkeypatch, context_weeks,
+                                                 in_limit):
+    import barforge.plans.transform as T
+    monkeypatch.setattr(T, "MAX_SHORT_IN_FILTER", in_limit)
     lake = f"{scratch}/lake"
     paths = TransformPaths(silver=f"{lake}/silver", gold=f"{lake}/gold")
     pending = f"{lake}/pending_since"
