@@ -1,18 +1,21 @@
-"""Incremental silver refresh gives the same tables as a full rebuild."""
+"""Incremental silver and gold refresh give the same tables as a full rebuild."""
 
 import datetime as dt
+import shutil
+import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from barforge.plans.incremental import run_incremental
 from barforge.plans.pending import read_pending, record_pending
-import pytest
-
 from barforge.plans.transform import TransformPaths, read_bars, read_gold, run_transform
 from barforge.sources import fixtures as fx
 from barforge.sources.landing import normalize_landing
 from conftest import SF_SMALL
 
+CRASH_SINCE = dt.date(1999, 3, 17)
+
 
 def tables(spark, paths):
     return {"w": sorted(read_bars(spark, paths.weekly).collect()),
@@ -20,38 +23,53 @@ def tables(spark, paths):
             "g": sorted(read_gold(spark, paths.technical).collect())}
 
 
-# 156 weeks: the normal calendar context; 20 weeks: too short for the 104-bar
-# frames, so every symbol takes the full-history fallback (through the IN
-# filter, or through the semi-join when the list limit is 0).
-@pytest.mark.parametrize("context_weeks,in_limit", [(156, 10_000), (20, 10_000), (20, 0)])
-def test_incremental_refresh_equals_full_rebuild(spark, scratch, monkeypatch, context_weeks,
-                                                 in_limit):
-    import barforge.plans.transform as T
-    monkeypatch.setattr(T, "MAX_SHORT_IN_FILTER", in_limit)
-    lake = f"{scratch}/lake"
-    paths = TransformPaths(silver=f"{lake}/silver", gold=f"{lake}/gold")
-    pending = f"{lake}/pending_since"
+def lake_paths(lake):
+    return TransformPaths(silver=f"{lake}/silver", gold=f"{lake}/gold")
+
+
+@pytest.fixture(scope="module")
+def staged_lake(spark):
+    """A lake after a first load + full transform and a second load whose
+    transform has not run yet (plus an older pending record, as a crash
+    would leave), and the tables a full rebuild gives."""
+    root = tempfile.mkdtemp(prefix="barforge-refresh-")
+    lake, pending = f"{root}/lake", f"{root}/lake/pending_since"
     master = fx.master(spark, SF_SMALL)
     land = normalize_landing(fx.landing(spark, SF_SMALL)).unionByName(
         normalize_landing(fx.landing(spark, SF_SMALL, late=True)))
     r1 = dt.date(1999, 7, 1)
     run_incremental(spark, master, land.where(F.col("date") < F.lit(r1)), f"{lake}/control",
                     f"{lake}/bronze", r1, run_id="r1", pending_path=pending)
-    run_transform(spark, f"{lake}/bronze", paths, pending_path=pending)   # first: full build
+    run_transform(spark, f"{lake}/bronze", lake_paths(lake), pending_path=pending)
     assert read_pending(spark, pending) is None
-    first_gold = read_gold(spark, paths.technical).count()
-    # second load: later days for every symbol, plus a simulated crash that
-    # left an older pending record (it must be honoured, not lost)
-    r2 = fx.RUN_DATE
-    run_incremental(spark, master, land, f"{lake}/control", f"{lake}/bronze", r2,
+    first_gold = read_gold(spark, lake_paths(lake).technical).count()
+    run_incremental(spark, master, land, f"{lake}/control", f"{lake}/bronze", fx.RUN_DATE,
                     run_id="r2", pending_path=pending)
     since = read_pending(spark, pending)
     assert since is not None and since >= dt.date(1999, 6, 1)
-    record_pending(spark, pending, dt.date(1999, 3, 17))
-    assert read_pending(spark, pending) == dt.date(1999, 3, 17)
+    record_pending(spark, pending, CRASH_SINCE)
+    assert read_pending(spark, pending) == CRASH_SINCE
+    full = lake_paths(f"{root}/full")
+    run_transform(spark, f"{lake}/bronze", full)
+    return lake, first_gold, tables(spark, full)
+
+
+# 156 weeks: the normal calendar context; 20 weeks: too short for the 104-bar
+# frames, so every symbol takes the full-history fallback (through the IN
+# filter, or through the semi-join when the list limit is 0).
+@pytest.mark.parametrize("context_weeks,in_limit", [(156, 10_000), (20, 10_000), (20, 0)])
+def test_incremental_refresh_equals_full_rebuild(spark, staged_lake, monkeypatch,
+                                                 context_weeks, in_limit):
+    import barforge.plans.transform as T
+    monkeypatch.setattr(T, "MAX_SHORT_IN_FILTER", in_limit)
+    src, first_gold, expected = staged_lake
+    lake = tempfile.mkdtemp(prefix="barforge-refresh-run-") + "/lake"
+    shutil.copytree(src, lake)   # each variant refreshes its own copy
+    paths, pending = lake_paths(lake), f"{lake}/pending_since"
 
     def old_files(path):
-        return sorted(r[0] for r in spark.read.parquet(path).where("month < 199903")
+        return sorted(r[0].rsplit("/", 1)[-1] for r in
+                      spark.read.parquet(path).where("month < 199903")
                       .select(F.input_file_name()).distinct().collect())
 
     before = {p: old_files(p) for p in (paths.weekly, paths.monthly, paths.technical)}
@@ -59,14 +77,10 @@ def test_incremental_refresh_equals_full_rebuild(spark, scratch, monkeypatch, co
                            gold_context_weeks=context_weeks)
     assert report.where("violations > 0").count() == 0
     assert read_pending(spark, pending) is None
-    # months before the refresh start were not rewritten
-    assert {p: old_files(p) for p in before} == before
+    assert {p: old_files(p) for p in before} == before   # older months not rewritten
     got = tables(spark, paths)
     assert len(got["g"]) > first_gold
-    # reference: a full rebuild from the final bronze table
-    full = TransformPaths(silver=f"{scratch}/full/silver", gold=f"{scratch}/full/gold")
-    run_transform(spark, f"{lake}/bronze", full)
-    assert got == tables(spark, full)
+    assert got == expected
     # nothing pending and silver present: no recomputation, same tables
     run_transform(spark, f"{lake}/bronze", paths, pending_path=pending)
-    assert tables(spark, paths) == got
+    assert tables(spark, paths) == expected
