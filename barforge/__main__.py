@@ -1,6 +1,7 @@
 """Command line: ``spark-submit barforge/__main__.py <command> ...`` or
 ``python -m barforge <command> ...``.
 
+  master     constituents CSV -> master list (trimmed symbols + suffix)
   setup      create the control table and layer namespaces, print the report
   daily      incremental load + transform + checks (the scheduled job)
   transform  build / refresh silver and gold from bronze, print the checks
@@ -17,6 +18,10 @@ import sys
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="barforge")
     sub = p.add_subparsers(dest="command", required=True)
+    m = sub.add_parser("master")
+    m.add_argument("--constituents", required=True, help="index constituents CSV (header row)")
+    m.add_argument("--out", required=True, help="master list folder to write")
+    m.add_argument("--suffix", default=".NS")
     s = sub.add_parser("setup")
     s.add_argument("--root", required=True)
     d = sub.add_parser("daily")
@@ -42,6 +47,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from barforge.session import get_spark
 
     spark = spark or get_spark()
+    if args.command == "master":
+        from barforge.sources.master import master_symbols, read_constituents, write_master
+        write_master(master_symbols(read_constituents(spark, args.constituents), args.suffix),
+                     args.out)
+        return 0
     root = args.root.rstrip("/")
     if args.command == "setup":
         from barforge.plans.setup import setup_lake

@@ -16,3 +16,13 @@ def test_cli_setup_daily_transform(spark, scratch, capsys):
     assert "symbols_ok" in capsys.readouterr().out
     assert main(["transform", "--root", lake], spark=spark) == 0
     assert spark.read.parquet(f"{lake}/gold/weekly_technical_analysis").count() > 0
+
+
+def test_cli_master(spark, scratch):
+    import os
+    from barforge.sources.master import read_master
+    src = os.path.join(scratch, "list.csv")
+    with open(src, "w") as f:
+        f.write("Company Name,Industry,Symbol\nAcme Ltd,Metals, ACME \n")
+    assert main(["master", "--constituents", src, "--out", f"{scratch}/m"], spark=spark) == 0
+    assert [tuple(r) for r in read_master(spark, f"{scratch}/m").collect()] == [("ACME.NS", "Acme Ltd")]
