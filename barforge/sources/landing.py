@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barforge.functions import nan_to_null, to_trading_day
 from barforge.schemas import BRONZE, LANDING, conform
@@ -87,5 +86,5 @@ def file_count(spark: SparkSession, path: str) -> int:
     return df.select(F.col("_metadata.file_path")).distinct().count()
 
 
-__all__ = ["KEEP", "RENAMES", "normalize_landing", "read_bronze", "read_landing",
-           "table_stats", "to_bronze", "file_count", "T"]
+__all__ = ["KEEP", "RENAMES", "file_count", "normalize_landing", "read_bronze",
+           "read_landing", "table_stats", "to_bronze"]
