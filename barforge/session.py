@@ -62,10 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is configured
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the session's checkpoint folder. Only a local-mode session (tests)
+    without one gets a fresh scratch folder; on a cluster a machine-local
+    folder would be wrong, so a missing setting is an error there."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(HDFS or an object store); it holds intermediate results")
         d = tempfile.mkdtemp(prefix="barforge-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
