@@ -152,8 +152,9 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     record at ``pending_path``) names the earliest changed bronze date;
     nothing to recompute when a pending record is tracked but absent. Gold
     follows silver: built in full, or refreshed from the same week on
-    (``refresh_gold``). With ``register``, the written layers are also
-    catalog tables."""
+    (``refresh_gold``). The checks cover whole tables after a full build and
+    the rewritten range after a refresh. With ``register``, the written
+    layers are also catalog tables."""
     ensure_checkpoint_dir(spark)
     if pending_path:
         p = read_pending(spark, pending_path)
@@ -162,6 +163,7 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                    and storage.table_exists(spark, paths.monthly)
                    and storage.table_exists(spark, paths.technical))
     stg = None
+    checked_from: dt.date | None = None   # None: check whole tables
     if not have_silver or (since is None and not pending_path):
         stg, weekly, monthly = build_silver(read_bronze(spark, bronze_path))
         storage.write_partitioned(weekly, paths.weekly, silver_partition())
@@ -173,6 +175,7 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
         stg = refresh_silver(spark, bronze_path, paths, since)
         refresh_gold(spark, paths, since - dt.timedelta(days=since.weekday()),
                      gold_context_weeks)
+        checked_from = since
     weekly_t = read_bars(spark, paths.weekly)
     if pending_path:
         clear_pending(spark, pending_path)
@@ -182,9 +185,22 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                                 storage.layer_name(silver_schema, SILVER_SCHEMA))
         storage.register_tables(spark, {"weekly_technical_analysis": paths.technical},
                                 storage.layer_name(gold_schema, GOLD_SCHEMA))
-    layers = {"weekly_prices": weekly_t,
-              "monthly_prices": read_bars(spark, paths.monthly),
-              "weekly_technical_analysis": read_gold(spark, paths.technical)}
+    if checked_from is None:
+        layers = {"weekly_prices": weekly_t,
+                  "monthly_prices": read_bars(spark, paths.monthly),
+                  "weekly_technical_analysis": read_gold(spark, paths.technical)}
+    else:
+        # Only the rewritten rows can break a check: older rows are unchanged
+        # and were checked when written, and a (symbol, date) key can only
+        # repeat inside the range that holds its date.
+        week_from = checked_from - dt.timedelta(days=checked_from.weekday())
+        month_from = checked_from.replace(day=1)
+        layers = {
+            "weekly_prices": conform(storage.read_range(spark, paths.weekly, since=week_from), BARS),
+            "monthly_prices": conform(storage.read_range(spark, paths.monthly, since=month_from),
+                                      BARS),
+            "weekly_technical_analysis": conform(
+                storage.read_range(spark, paths.technical, since=week_from), GOLD)}
     if check_staging and stg is not None:
         # Staging rows recomputed by this run (all of them on a full build).
         layers = {"stg_daily_prices": stg, **layers}
