@@ -3,7 +3,9 @@
 Order, as in the reference: classify -> plan -> extract (+ retry) ->
 bronze upsert -> control upsert -> refresh -> summary. Bronze is written
 before control, so a crash between the two re-fetches the same rows next
-time, which the key-based upsert absorbs.
+time, which the key-based upsert absorbs. The control table is an
+append-only log read as "latest row per symbol", so its update is a single
+committed append.
 """
 
 from __future__ import annotations
@@ -23,12 +25,47 @@ from barforge.sources import storage
 from barforge.sources.landing import to_bronze
 
 
+SEQ = "_seq"   # append number of a control row (storage only)
+
+
+def _read_log(spark: SparkSession, path: str) -> DataFrame:
+    # Seeded files lack the sequence column, so the file schemas are merged
+    # (the log holds one row per symbol and run: small).
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """The control table; a table that does not exist yet is empty (every
-    symbol is then NEW). Other read errors are raised, not swallowed."""
+    """The control table: the latest stored row of every symbol. The table
+    is an append-only log (each run appends its result rows with a larger
+    ``_seq``), so the latest row per symbol is exactly what the reference's
+    MERGE leaves. Rows without ``_seq`` (a seeded table) rank first. A table
+    that does not exist yet is empty (every symbol is then NEW); other read
+    errors are raised, not swallowed."""
     if not storage.table_exists(spark, path):
         return spark.createDataFrame([], CONTROL)
-    return conform(spark.read.parquet(path), CONTROL)
+    log = _read_log(spark, path)
+    if SEQ not in log.columns:
+        return conform(log, CONTROL)
+    cols = [f.name for f in CONTROL.fields]
+    latest = (log.groupBy("symbol")
+                 .agg(F.max_by(F.struct(*cols), F.coalesce(F.col(SEQ), F.lit(0)))
+                       .alias("_row")))
+    return conform(latest.select("_row.*"), CONTROL)
+
+
+def append_control(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Append control rows under the next sequence number (C9). An append
+    is committed whole or not at all, so a crash never loses the previous
+    state. Returns the sequence number used."""
+    seq = 1
+    if storage.table_exists(spark, path):
+        log = _read_log(spark, path)
+        if SEQ in log.columns:
+            seq = (log.agg(F.max(SEQ)).first()[0] or 0) + 1
+    (conform(rows, CONTROL).withColumn(SEQ, F.lit(seq).cast("bigint"))
+        .write.mode("append").parquet(path))
+    spark.catalog.refreshByPath(path)
+    return seq
 
 
 def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
@@ -74,12 +111,10 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
     storage.upsert_table(spark, to_bronze(run.all_extracted), bronze_path,
                          keys=("symbol", "date"),
                          partitions=bronze_layout or storage.month_partition())
-    # One row; materialised now because it reads the control table that the
-    # next step replaces.
+    # One row, materialised before the control log grows.
     summary = inc.run_summary(run.classified, run.results, run.all_extracted).checkpoint(eager=True)
-    # The merged control table is small (one row per symbol); checkpointing
-    # it cuts its lineage to the old files, which the overwrite removes.
-    new_control = inc.control_upsert(control, run.results, run_id, run_ts).checkpoint(eager=True)
-    storage.replace_table(spark, new_control, control_path)
+    # MERGE on symbol = append this run's rows; readers take the latest row
+    # per symbol (read_control), which equals inc.control_upsert(...).
+    append_control(spark, inc.control_rows(run.results, run_id, run_ts), control_path)
     storage.refresh(spark, bronze_path)
     return summary

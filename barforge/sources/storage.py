@@ -218,14 +218,6 @@ def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date
     spark.catalog.refreshByPath(path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite a small table with ``df``. ``df`` must not read ``path``
-    any more (checkpoint it first), since the old files are removed before
-    the new ones are written."""
-    df.write.mode("overwrite").parquet(path)
-    spark.catalog.refreshByPath(path)
-
-
 def layer_name(custom: str | None, default: str) -> str:
     """Namespace of a layer: the custom name verbatim (trimmed), else the
     default (S12)."""
