@@ -6,6 +6,7 @@
   daily      incremental load + transform + checks (the scheduled job)
   transform  build / refresh silver and gold from bronze, print the checks
   stream     drain a landing folder into bronze as a file stream
+  compact    shrink the control log to its current state
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("transform")
     t.add_argument("--root", required=True)
     t.add_argument("--full", action="store_true", help="ignore the pending record, rebuild all")
+    c = sub.add_parser("compact")
+    c.add_argument("--root", required=True)
     st = sub.add_parser("stream")
     st.add_argument("--root", required=True)
     st.add_argument("--landing", required=True)
@@ -78,6 +81,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                                pending_path=None if args.full else f"{root}/pending_since")
         report.show(50, truncate=False)
         return 1 if report.where("violations > 0").count() else 0
+    elif args.command == "compact":
+        from barforge.plans.incremental import compact_control
+        print(f"removed {compact_control(spark, f'{root}/control')} control log files")
     elif args.command == "stream":
         from barforge.streaming import start_landing_stream
         start_landing_stream(spark, args.landing, f"{root}/bronze", exchange_tz=args.exchange_tz,

@@ -68,6 +68,28 @@ def append_control(spark: SparkSession, rows: DataFrame, path: str) -> int:
     return seq
 
 
+def compact_control(spark: SparkSession, path: str) -> int:
+    """Shrink the control log to its current state. The latest rows are
+    first appended as the newest sequence (committed whole), then the files
+    whose rows are all older are deleted. A crash at any point leaves a log
+    that still reads the same; running it again finishes the job. Returns
+    the number of files removed."""
+    if not storage.table_exists(spark, path):
+        return 0
+    current = read_control(spark, path).checkpoint(eager=True)
+    seq = append_control(spark, current, path)
+    files = (_read_log(spark, path)
+             .select(F.col("_metadata.file_path").alias("f"),
+                     F.coalesce(F.col(SEQ), F.lit(0)).alias("s"))
+             .groupBy("f").agg(F.max("s").alias("newest"))
+             .where(F.col("newest") < seq)
+             .collect())   # one row per log file (bounded by runs x write tasks)
+    for r in files:
+        storage.delete_path(spark, r["f"])
+    spark.catalog.refreshByPath(path)
+    return len(files)
+
+
 def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
                     control_path: str, bronze_path: str, run_date: dt.date,
                     run_ts: dt.datetime | None = None, run_id: str | None = None,

@@ -15,6 +15,7 @@ def test_cli_setup_daily_transform(spark, scratch, capsys):
     assert rc == 0
     assert "symbols_ok" in capsys.readouterr().out
     assert main(["transform", "--root", lake], spark=spark) == 0
+    assert main(["compact", "--root", lake], spark=spark) == 0
     assert spark.read.parquet(f"{lake}/gold/weekly_technical_analysis").count() > 0
 
 
