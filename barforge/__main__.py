@@ -33,6 +33,10 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     d.add_argument("--run-id")
     d.add_argument("--exchange-tz", default="UTC")
+    d.add_argument("--layout", choices=["month", "day"], default="month",
+                   help="bronze partitioning (fixed once the table exists)")
+    d.add_argument("--symbol-buckets", type=int, default=0,
+                   help="also partition bronze by hash(symbol) into N buckets")
     t = sub.add_parser("transform")
     t.add_argument("--root", required=True)
     t.add_argument("--full", action="store_true", help="ignore the pending record, rebuild all")
@@ -66,8 +70,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         land = normalize_landing(read_landing(spark, args.landing), args.exchange_tz)
         retry = (normalize_landing(read_landing(spark, args.retry_landing), args.exchange_tz)
                  if args.retry_landing else None)
+        from barforge.sources import storage
+        layout = storage.day_partition() if args.layout == "day" else storage.month_partition()
+        if args.symbol_buckets:
+            layout = {**layout, **storage.symbol_buckets(args.symbol_buckets)}
         out = run_daily_job(spark, read_master(spark, args.master), land, root, args.run_date,
-                            run_id=args.run_id, retry_landing_norm=retry)
+                            run_id=args.run_id, retry_landing_norm=retry, bronze_layout=layout)
         if out["summary"] is None:
             print("nothing fetched: bronze and control unchanged")
         else:
