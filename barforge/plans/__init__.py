@@ -1,2 +1,4 @@
-"""End-to-end jobs: incremental load (entry A), transform (entry B) and the
-whole pipeline. These are the only modules that write."""
+"""End-to-end jobs: lake setup, incremental load (entry A), transform
+(entry B, full build or incremental refresh) and the daily job that runs
+both. Operators never write; these jobs decide when the storage helpers in
+``barforge.sources`` do."""
