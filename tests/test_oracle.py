@@ -50,3 +50,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["date", "symbol"]
     assert df.count() == 2608  # gold rows at sf0.001
+
+
+@pytest.mark.parametrize("name", ["weekly_technical_analysis", "incremental_run"])
+def test_gate_scale_matches(spark, name):
+    """The driver's gate runs at sf0.01: the flagship and the full run there."""
+    sf = "/root/testdata/sf0.01"
+    c = duckdb.connect()
+    for t in ("lineitem", "supplier"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    df = E.queries()[name](spark, sf)
+    rel = c.sql(E.oracle_sql()[name])
+    cols = sorted(df.columns)
+    assert cols == sorted(rel.columns)
+    assert rows(cols, (r.asDict() for r in df.collect())) == \
+        rows(cols, (dict(zip(rel.columns, r)) for r in rel.fetchall()))
