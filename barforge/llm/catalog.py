@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import packing, wavelet
+from barforge.llm import langid, packing, quality, secrets, wavelet
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,16 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality.score_documents(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
@@ -27,9 +37,13 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(_documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_packing, op9_wavelet_tokens)}
+    return {f.__name__: f for f in (op2_pu_quality, op4_ppm_language, op5_packing, op9_wavelet_tokens, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_secrets": secrets.oracle()}
