@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import langid, packing, quality, secrets, wavelet
+from barforge.llm import imatch, langid, packing, quality, secrets, wavelet
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edited(_documents(spark, sf_dir))
+
+
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
@@ -42,8 +46,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pu_quality, op4_ppm_language, op5_packing, op9_wavelet_tokens, op10_secrets)}
+    return {f.__name__: f for f in (op2_pu_quality, op4_ppm_language, op5_packing, op8_imatch, op9_wavelet_tokens, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_secrets": secrets.oracle()}
+    return {"op8_imatch": imatch.oracle(), "op10_secrets": secrets.oracle()}
