@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import imatch, langid, packing, quality, secrets, wavelet
+from barforge.llm import decontaminate, imatch, langid, packing, quality, secrets, wavelet
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_leaks(_documents(spark, sf_dir), benchmark)
+
+
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return langid.identify(docs, langid.fit(docs))
@@ -46,7 +51,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pu_quality, op4_ppm_language, op5_packing, op8_imatch, op9_wavelet_tokens, op10_secrets)}
+    return {f.__name__: f for f in (op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing, op8_imatch, op9_wavelet_tokens, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
