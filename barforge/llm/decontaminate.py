@@ -202,18 +202,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> D
     return out
 
 
+def _clean(index):
+    """A column function: whether a text holds no item of the block."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            ok = np.ones(len(batch), bool)
+            for row, *_ in index.value.scan(batch.tolist()):
+                ok[row] = False
+            yield pd.Series(ok)
+
+    return clean
+
+
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """The rows, with all their columns, whose text holds no benchmark item."""
     for last, index in _blocks(benchmark, edits):
-
-        @F.pandas_udf("boolean")
-        def clean(texts: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            for batch in texts:
-                ok = np.ones(len(batch), bool)
-                for row, *_ in index.value.scan(batch.tolist()):
-                    ok[row] = False
-                yield pd.Series(ok)
-
-        docs = docs.where(clean(F.coalesce("text", F.lit(""))))
+        docs = docs.where(_clean(index)(F.coalesce("text", F.lit(""))))
         docs = docs if last else materialise(docs, "decontaminated")
     return docs
