@@ -56,8 +56,10 @@ def edit_distance(a: Sequence[Hashable], b: Sequence[Hashable], budget: int) ->
         d0 = ((((eq & up) + up) ^ up) | eq | down) & full
         plus, minus = (down | ~(d0 | up)) & full, d0 & up
         if j + e <= m:
+            # Along the band's edge diagonal the distance never falls, and the
+            # last cell is at most e columns and e rows away from it.
             score += not d0 & top
-            if score - 2 * e > budget and score > budget + 2 * e:
+            if score > budget + 2 * e:
                 return None
         else:
             score += (plus & row != 0) - (minus & row != 0)

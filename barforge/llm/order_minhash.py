@@ -35,7 +35,7 @@ from barforge.llm.align import edit_distance
 from barforge.llm.common import NEAR, SHINGLE_WORDS, materialise
 from barforge.llm.components import connected_components
 
-FUNCTIONS = 32
+FUNCTIONS = 48
 PICKS, SHORT_PICKS = 6, 2
 #: Lengths in k-mers: up to SHORT few picks are taken, from LONG on many.
 #: SHORT * NEAR is at least LONG, so that near copies always share a way.
@@ -146,7 +146,10 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
     side = {k: texts.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"), F.col("words").alias(f"w{k}")) for k in "ab"}
     both = pairs.join(side["a"], "a").join(side["b"], "b")
     near_length = F.least(F.size("wa"), F.size("wb")) >= F.greatest(F.size("wa"), F.size("wb")) * near
-    out = both.where(near_length).select("a", "b", "sig_a", "sig_b", "wa", "wb").mapInArrow(
+    # Every distinct word that the other side lacks costs an edit: far pairs end here.
+    most = F.floor(F.greatest(F.size("wa"), F.size("wb")) * (1 - near) + 1e-9)
+    near_words = (F.size(F.array_except("wa", "wb")) <= most) & (F.size(F.array_except("wb", "wa")) <= most)
+    out = both.where(near_length).where(near_words).select("a", "b", "sig_a", "sig_b", "wa", "wb").mapInArrow(
         run, "a long, b long, sig_a string, sig_b string, linked boolean, distance int"
     )
     return materialise(out, "alignments")
