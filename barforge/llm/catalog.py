@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import decontaminate, imatch, langid, packing, quality, secrets, wavelet
+from barforge.llm import decontaminate, imatch, langid, order_minhash, packing, quality, secrets, suffixes, wavelet
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_groups(_documents(spark, sf_dir)).select("doc_id", "class_id", "group_id", "links")
+
+
 def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return quality.score_documents(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -38,6 +42,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
 
+def op7_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(suffixes.repeated_spans(_documents(spark, sf_dir)))
+
+
 def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edited(_documents(spark, sf_dir))
 
@@ -51,7 +59,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing, op8_imatch, op9_wavelet_tokens, op10_secrets)}
+    found = (
+        op1_order_minhash, op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing,
+        op7_sparse_suffixes, op8_imatch, op9_wavelet_tokens, op10_secrets,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
