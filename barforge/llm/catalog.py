@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import decontaminate, imatch, langid, order_minhash, packing, quality, secrets, suffixes, wavelet
+from barforge.llm import decontaminate, imatch, langid, lines, order_minhash, packing, quality, secrets, suffixes, wavelet
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
 
 
+def op6_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(_documents(spark, sf_dir)).drop("tsig")
+
+
 def op7_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(suffixes.repeated_spans(_documents(spark, sf_dir)))
 
@@ -60,11 +64,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_order_minhash, op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing,
+        op1_order_minhash, op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing, op6_line_join,
         op7_sparse_suffixes, op8_imatch, op9_wavelet_tokens, op10_secrets,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_imatch": imatch.oracle(), "op10_secrets": secrets.oracle()}
+    return {"op6_line_join": lines.oracle(), "op8_imatch": imatch.oracle(), "op10_secrets": secrets.oracle()}
