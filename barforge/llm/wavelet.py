@@ -55,10 +55,12 @@ class WaveletMatrix:
         row = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for b in range(bits - 1, -1, -1):
             bit = (row >> b) & 1 != 0
-            planes.append(np.packbits(bit).tobytes())
-            ones = np.add.reduceat(bit, np.arange(0, len(bit), BLOCK), dtype=np.uint32)
+            plane = np.packbits(bit)
+            planes.append(plane.tobytes())
+            ones = np.bitwise_count(plane)
+            ones = np.pad(ones, (0, -len(ones) % (BLOCK // 8))).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32)
             ranks.append((np.cumsum(ones, dtype=np.uint32) - ones).tobytes())
-            front, back = row[~bit], row[bit]
+            front, back = np.compress(~bit, row), np.compress(bit, row)
             zeros.append(len(front))
             row = np.concatenate([front, back])
         return cls(len(ids), zeros, planes, ranks)

@@ -12,6 +12,8 @@ whole.  ``tests/llm`` compares both ways on arbitrary texts.
 from __future__ import annotations
 
 import os
+from string import punctuation
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,21 @@ _UNSAFE = (
     r"[\x00\x01\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 )
+_SIGNS = frozenset(punctuation)
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The character by which byte-level BPE names a byte: printable Latin-1 as
+    itself, the others in order from U+0100 (a fixed part of that format)."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+_BYTE_SYMBOLS = _byte_symbols()
+
+
 class Encoder:
     """Encodes batches of texts to arrays of ids."""
 
@@ -44,6 +58,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.drops_space = np.array_equal(self._plain(" a"), self._plain("a"))
         self.lowers = np.array_equal(self._plain("Ab"), self._plain("ab"))
         #: " \x01" before a piece marks where its ids begin.
         self.mark = self._plain(" \x01")
@@ -52,38 +67,56 @@ class Encoder:
         one = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(one.ids, np.uint32)
 
-    def _known(self, piece: str) -> bytes | None:
-        ids = self.new.get(piece)
-        if ids is None:
-            ids = self.old.get(piece)
-            if ids is not None:
-                self._keep(piece, ids)
-        return ids
-
-    def _keep(self, piece: str, ids: bytes) -> None:
-        if len(self.new) >= CACHE_PIECES:
-            self.old, self.new = self.new, {}
-        self.new[piece] = ids
-
-    def _parts(self, piece: str) -> tuple[str, str]:
-        """The piece as it is looked up, and a final full stop or comma.
+    def _bases(self, pieces: list[str]) -> tuple[list[str], dict[int, str]]:
+        """The pieces as they are looked up, and the ASCII signs that end some of them.
 
-        After a letter both tokenizers keep that sign apart; a tokenizer
+        After a letter both tokenizers keep a run of signs apart; a tokenizer
         that lowers its input needs one entry for both cases (ASCII only,
         where all lowering rules agree).
         """
-        tail = ""
-        if piece[-1] in ".," and piece[-2:-1].isalpha():
-            piece, tail = piece[:-1], piece[-1]
-        return (piece.lower() if self.lowers and piece.isascii() else piece), tail
+        bases, tails = [], {}
+        for p in pieces:
+            if p[-1] in _SIGNS:
+                base = p.rstrip(punctuation)
+                if base[-1:].isalpha():
+                    tails[len(bases)] = p[len(base):]
+                    p = base
+            bases.append(p)
+        if self.lowers:
+            bases = [p.lower() if p.isascii() else p for p in bases]
+        return bases, tails
+
+    def _look_up(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of all these pieces; what the cache lacks is encoded."""
+        found = dict(zip(pieces, map(self.new.get, pieces)))
+        lacking = [p for p, ids in found.items() if ids is None]
+        older = dict(zip(lacking, map(self.old.get, lacking)))
+        found |= older
+        found |= (fresh := self._learn([p for p, ids in older.items() if ids is None]))
+        for p in lacking:
+            if len(self.new) >= CACHE_PIECES:
+                self.old, self.new = self.new, {}
+            self.new[p] = found[p]
+        return found
+
+    def _word(self, piece: str) -> bytes | None:
+        """The ids of a space and Latin letters, or of letters alone: one word for the BPE model."""
+        word = piece[1:] if piece[0] == " " else piece
+        if not word.isalpha() or max(word) >= "\u0250":
+            return None
+        if self.lowers and (word != word.lower() or not is_normalized("NFC", word)):
+            return None
+        symbols = (word if self.drops_space else piece).encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], np.uint32).tobytes()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of unseen pieces, encoded as a few long texts.
+        """The ids of unseen pieces: plain words by the model, others as a few long texts.
 
         Before a piece with a leading space stands the mark; the ids are cut
         apart there.  Other pieces (first of a line) are encoded singly.
         """
-        out: dict[str, bytes] = {}
+        out = {p: ids for p in pieces if (ids := self._word(p)) is not None}
+        pieces = [p for p in pieces if p not in out]
         spaced = [p for p in pieces if p[0] == " "]
         bare = [p for p in pieces if p[0] != " "]
         for k in range(0, len(spaced), MISS_PIECES):
@@ -131,14 +164,13 @@ class Encoder:
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         distinct = coded.dictionary.to_pylist()
-        split = [("", "") if w == "\x01" else self._parts(w) for w in distinct]
-        found = {p: self._known(p) for p in {x for pair in split for x in pair if x}}
-        fresh = self._learn([p for p, ids in found.items() if ids is None])
-        found |= fresh
-        for p, ids in fresh.items():
-            self._keep(p, ids)
-        found[""] = b""
-        parts = [found[p] + found[tail] for p, tail in split]
+        bases, tails = self._bases(distinct)
+        wanted = {*bases, *tails.values()} - {"\x01"}
+        found = self._look_up(list(wanted))
+        found["\x01"] = b""
+        parts = list(map(found.__getitem__, bases))
+        for k, tail in tails.items():
+            parts[k] += found[tail]
         lens = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         table = np.frombuffer(b"".join(parts), np.uint32)
         first = np.cumsum(lens) - lens
