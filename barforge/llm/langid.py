@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 ORDER = 3
 DOCS = 400
 CHARS = 1_500_000
+#: More values of lang than this are an error: a model holds a column for each.
+MAX_LANGUAGES = 1000
 _CHUNK = 2_000_000
 
 
@@ -154,9 +156,18 @@ def fit(docs: DataFrame, per_language: int = DOCS, chars: int = CHARS, order: in
     rows = docs.select(ids, F.col("lang"), F.length("text").alias("n")).where(
         "lang is not null and doc_id is not null and n > 0"
     ).where(learn_fold(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # The rank is cut to per_language rows before the shuffle (window group limit).
-    ranked = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in lang")
+    if not counts:
+        return build({}, order)
+    # Only ids whose hash lies in a share that holds about four times the wanted
+    # number are ranked, so a language with a third of all rows is one small group.
+    shares = [(r["lang"], min(1.0, 4 * per_language / r["count"])) for r in counts]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
+    near = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    first = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
+    ranked = near.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
     upto = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     picks = ranked.withColumn("upto", F.sum("n").over(upto)).where((F.col("upto") <= chars) | (F.col("k") == 1))
     # per_language rows for each language at most: small by the parameters.
