@@ -6,7 +6,6 @@
   daily      incremental load + transform + checks (the scheduled job)
   transform  build / refresh silver and gold from bronze, print the checks
   stream     drain a landing folder into bronze as a file stream
-  compact    shrink the control log to its current state
 """
 
 from __future__ import annotations
@@ -32,7 +31,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--retry-landing", help="what the retry sees (default: --landing)")
     d.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     d.add_argument("--run-id")
-    d.add_argument("--exchange-tz", default="UTC")
+    d.add_argument("--exchange-tz", required=True,
+                   help="time zone in which a bar's day is counted, e.g. Asia/Kolkata")
     d.add_argument("--layout", choices=["month", "day"], default="month",
                    help="bronze partitioning (fixed once the table exists)")
     d.add_argument("--symbol-buckets", type=int, default=0,
@@ -40,12 +40,11 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("transform")
     t.add_argument("--root", required=True)
     t.add_argument("--full", action="store_true", help="ignore the pending record, rebuild all")
-    c = sub.add_parser("compact")
-    c.add_argument("--root", required=True)
     st = sub.add_parser("stream")
     st.add_argument("--root", required=True)
     st.add_argument("--landing", required=True)
-    st.add_argument("--exchange-tz", default="UTC")
+    st.add_argument("--exchange-tz", required=True,
+                    help="time zone in which a bar's day is counted, e.g. Asia/Kolkata")
     return p
 
 
@@ -86,12 +85,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from barforge.plans.transform import TransformPaths, run_transform
         report = run_transform(spark, f"{root}/bronze",
                                TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"),
-                               pending_path=None if args.full else f"{root}/pending_since")
+                               pending_path=f"{root}/pending_since", full=args.full)
         report.show(50, truncate=False)
         return 1 if report.where("violations > 0").count() else 0
-    elif args.command == "compact":
-        from barforge.plans.incremental import compact_control
-        print(f"removed {compact_control(spark, f'{root}/control')} control log files")
     elif args.command == "stream":
         from barforge.streaming import start_landing_stream
         start_landing_stream(spark, args.landing, f"{root}/bronze", exchange_tz=args.exchange_tz,

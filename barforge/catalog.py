@@ -15,6 +15,7 @@ from barforge.schemas import BRONZE, conform
 from barforge.sources import fixtures as fx
 from barforge.sources.landing import normalize_landing, table_stats
 from barforge.sources.master import master_symbols
+from barforge.sources.storage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,14 @@ def _wm(spark, sf):
     return inc.read_watermarks(fx.control(spark, sf))
 
 
+def _classified(spark, sf):
+    return inc.classify(fx.master(spark, sf), _wm(spark, sf), fx.RUN_DATE)
+
+
+def _plan(spark, sf):
+    return inc.extract_plan(_classified(spark, sf), fx.RUN_DATE)
+
+
 def _bronze_cols(df):
     return df.select(*[f.name for f in BRONZE.fields])
 
@@ -94,21 +103,26 @@ def _bronze_cols(df):
 def _incremental() -> dict[str, Query]:
     return {
         "watermarks": _wm,
-        "symbol_classification": lambda s, d: _run(s, d).classified,
+        "symbol_classification": _classified,
         "new_symbols": lambda s, d: inc.new_symbols(fx.master(s, d), _wm(s, d)),
         "known_symbols": lambda s, d: inc.known_symbols(fx.master(s, d), _wm(s, d)),
-        "class_counts": lambda s, d: inc.class_counts(_run(s, d).classified),
-        "delta_start_date": lambda s, d: inc.delta_start_date(_run(s, d).classified),
-        "extract_plan": lambda s, d: _run(s, d).plan,
+        "class_counts": lambda s, d: inc.class_counts(_classified(s, d)),
+        "delta_start_date": lambda s, d: inc.delta_start_date(_classified(s, d)),
+        "extract_plan": _plan,
         "extract_planned": lambda s, d: _run(s, d).extracted,
         "extract_results": lambda s, d: _run(s, d).success.select(*inc.RESULT_COLUMNS),
         "failed_results": lambda s, d: _run(s, d).failed.select(*inc.RESULT_COLUMNS),
         "retry_plan": lambda s, d: _run(s, d).retry_plan,
         "control_upsert": lambda s, d: inc.control_upsert(
+            fx.control(s, d), _run(s, d).results, fx.RUN_ID, fx.RUN_TS),
+        "control_upsert_first_pass": lambda s, d: inc.control_upsert(
             fx.control(s, d), _run(s, d).first_pass_results, fx.RUN_ID, fx.RUN_TS),
         "run_summary": lambda s, d: (lambda r: inc.run_summary(
+            r.classified, r.results, r.all_extracted))(_run(s, d)),
+        "run_summary_first_pass": lambda s, d: (lambda r: inc.run_summary(
             r.classified, r.first_pass_results, r.extracted))(_run(s, d)),
-        "failed_symbols": lambda s, d: inc.failed_symbols(_run(s, d).first_pass_results),
+        "failed_symbols": lambda s, d: inc.failed_symbols(_run(s, d).results),
+        "failed_symbols_first_pass": lambda s, d: inc.failed_symbols(_run(s, d).first_pass_results),
         "incremental_run": lambda s, d: _bronze_cols(staging.keep_first(
             _bronze_cols(_run(s, d).all_extracted), ["symbol", "date"])),
     }
@@ -122,7 +136,7 @@ def _bronze() -> dict[str, Query]:
     return {
         "scan_bronze": lambda s, d: conform(fx.trades(s, d).drop("stock_splits"), BRONZE),
         "master_symbols": lambda s, d: master_symbols(fx.constituents(s, d)),
-        "landing_normalized": lambda s, d: normalize_landing(fx.landing(s, d)),
+        "landing_normalized": lambda s, d: normalize_landing(fx.landing_all(s, d)),
         "nan_to_null": lambda s, d: normalize_landing(fx.landing_with_nan(s, d)),
         "bronze_upsert": upserted,
         "table_stats": lambda s, d: table_stats(upserted(s, d)),
@@ -131,8 +145,8 @@ def _bronze() -> dict[str, Query]:
 
 
 def _layers(spark, sf) -> dict[str, DataFrame]:
-    stg = _stg(spark, sf)
-    weekly = bars.resample_bars(stg, "week")
+    stg = materialise(_stg(spark, sf))
+    weekly = materialise(bars.resample_bars(stg, "week"))
     return {"stg_daily_prices": stg, "weekly_prices": weekly,
             "monthly_prices": bars.resample_bars(stg, "month"),
             "weekly_technical_analysis": ind.weekly_technical_analysis(weekly)}

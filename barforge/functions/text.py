@@ -11,8 +11,8 @@ def _col(c) -> Column:
 
 
 def normalize_symbol(c, suffix: str = ".NS") -> Column:
-    """``strip()`` then append the exchange suffix."""
-    return F.concat(F.trim(_col(c)), F.lit(suffix))
+    """``strip()`` of all white space, then append the exchange suffix."""
+    return F.concat(F.regexp_replace(_col(c), r"^\s+|\s+$", ""), F.lit(suffix))
 
 
 def bar_key(symbol="symbol", date="date") -> Column:

@@ -84,8 +84,8 @@ def extract_plan(classified: DataFrame, run_date: dt.date,
 def extract(normalized: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows of planned symbols from their start date on.
 
-    The plan has one row per symbol; AQE broadcasts it when small and
-    handles a hot symbol with its skew-join split otherwise."""
+    The plan has one row per symbol; AQE broadcasts it when its measured
+    size is under the threshold and splits a hot symbol otherwise."""
     p = plan.select("symbol", "run_type", "start_date")
     return (normalized.join(p, on="symbol", how="inner")
                       .where(F.col("date") >= F.col("start_date"))
@@ -215,8 +215,10 @@ def tag_attempts(plan: DataFrame, landing_norm: DataFrame, retry_landing_norm: D
     """Both attempts in one join (C4, C5, U1): rows the first attempt fetches
     (landing from the shared start) and rows the retry fetches (its source
     from each symbol's own start), the latter kept only for symbols the
-    first attempt found nothing for. The per-symbol success flag is a
-    partial aggregate with one row per symbol."""
+    first attempt found nothing for. The joined rows are written once; the
+    per-symbol success flag is a partial aggregate over them."""
+    from barforge.sources.storage import materialise
+
     p = plan.select("symbol", "run_type", "start_date",
                     retry_start(plan, run_date, months).alias("_retry_start"))
     src = (landing_norm.withColumn("attempt", F.lit(1))
@@ -226,6 +228,7 @@ def tag_attempts(plan: DataFrame, landing_norm: DataFrame, retry_landing_norm: D
                .where((one & (F.col("date") >= F.col("start_date")))
                       | (two & (F.col("date") >= F.col("_retry_start"))))
                .drop("start_date", "_retry_start"))
+    cand = materialise(cand)
     found = cand.where(one).groupBy("symbol").agg(F.lit(True).alias("_found"))
     return (cand.join(found, on="symbol", how="left")
                 .where(one | F.col("_found").isNull())

@@ -67,11 +67,11 @@ def exclude_symbols(df: DataFrame, names: Sequence[str] = BENCHMARK_SYMBOLS) ->
 
 
 def join_benchmarks(weekly: DataFrame, bench: DataFrame) -> DataFrame:
-    """Left join on the exact bar date (J4). No hint: the benchmark side is
-    an aggregate, so AQE knows its real size and broadcasts it when it is
-    under ``spark.sql.autoBroadcastJoinThreshold``, else keeps a
-    sort-merge join."""
-    return weekly.join(bench, on="date", how="left")
+    """Left join on the exact bar date (J4). The benchmark side is grouped by
+    date, so it holds at most one row of a few numbers per calendar date (a
+    century is under 2 MB): it is broadcast, and the bars are not shuffled
+    on their date."""
+    return weekly.join(F.broadcast(bench), on="date", how="left")
 
 
 def sma(n: int = SMA_LENGTH) -> Column:
@@ -110,12 +110,6 @@ def cci_value(tp: Column, tp_avg: Column, count: Column, n: int = CCI_LENGTH,
                   F.round((tp - tp_avg) / F.nullif(den, F.lit(0.0)), scale))
 
 
-def breakout_flag(n: int) -> Column:
-    """1 if close is above the previous ``n`` bars' high, else 0 (a NULL
-    comparison, as on the first bar, gives 0)."""
-    return F.when(F.col("close") > trailing_high(n), F.lit(1)).otherwise(F.lit(0))
-
-
 def breakout_name(n: int) -> str:
     return f"is_breakout_{n}w"
 

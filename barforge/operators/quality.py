@@ -78,10 +78,16 @@ def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
     if unique:
         first, rest = unique[0], unique[1:]
         nn = [F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)]
-        g = df.groupBy(key_column(first).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), *nn)
+        # symbol || '-' || date has a date of fixed width, so the pair is the same
+        # key; grouping by it reuses a partitioning on (symbol, date).
+        keys = [F.col("symbol"), F.col("date")] if first == BAR_KEY_EXPR else [key_column(first).alias("_k")]
+        given = F.lit(True)
+        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *nn)
+        for c in ("symbol", "date") if first == BAR_KEY_EXPR else ("_k",):
+            given = given & F.col(c).isNotNull()
         aggs = [F.coalesce(F.sum(f"_nn{i}"), F.lit(0)).alias(f"_v{i}") for i in range(len(not_null))]
         labels = [("not_null", c) for c in not_null]
-        aggs.append(F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias(f"_v{len(aggs)}"))
+        aggs.append(F.count_if(given & (F.col("_n") > 1)).alias(f"_v{len(aggs)}"))
         labels.append(("unique", first))
         parts.append(stacked(g.agg(*aggs), labels))
         not_null = []
@@ -116,8 +122,3 @@ def quality_report(layers: Mapping[str, DataFrame],
         r = layer_report(name, df, spec["not_null"], spec["unique"], spec["accepted_values"])
         out = r if out is None else out.unionByName(r)
     return out
-
-
-def failures(report: DataFrame) -> DataFrame:
-    """Checks with at least one violation."""
-    return report.where(F.col("violations") > 0)

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import incremental as inc
-from barforge.operators.joins import bounded_broadcast
 from barforge.plans.pending import record_pending
 from barforge.schemas import CONTROL, LOOKBACK_MONTHS, conform
 from barforge.session import ensure_checkpoint_dir
@@ -68,28 +67,6 @@ def append_control(spark: SparkSession, rows: DataFrame, path: str) -> int:
     return seq
 
 
-def compact_control(spark: SparkSession, path: str) -> int:
-    """Shrink the control log to its current state. The latest rows are
-    first appended as the newest sequence (committed whole), then the files
-    whose rows are all older are deleted. A crash at any point leaves a log
-    that still reads the same; running it again finishes the job. Returns
-    the number of files removed."""
-    if not storage.table_exists(spark, path):
-        return 0
-    current = read_control(spark, path).checkpoint(eager=True)
-    seq = append_control(spark, current, path)
-    files = (_read_log(spark, path)
-             .select(F.col("_metadata.file_path").alias("f"),
-                     F.coalesce(F.col(SEQ), F.lit(0)).alias("s"))
-             .groupBy("f").agg(F.max("s").alias("newest"))
-             .where(F.col("newest") < seq)
-             .collect())   # one row per log file (bounded by runs x write tasks)
-    for r in files:
-        storage.delete_path(spark, r["f"])
-    spark.catalog.refreshByPath(path)
-    return len(files)
-
-
 def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
                     control_path: str, bronze_path: str, run_date: dt.date,
                     run_ts: dt.datetime | None = None, run_id: str | None = None,
@@ -109,30 +86,29 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run_id = run_id or uuid.uuid4().hex[:8]
     control = read_control(spark, control_path)
-    # Small per-symbol frames are materialised in the shared checkpoint
-    # folder; the plan is broadcast to the landing scan only after its row
-    # count is checked.
+    # Small per-symbol frames are materialised in the shared checkpoint folder.
     classified = inc.classify(master, inc.read_watermarks(control), run_date).checkpoint(eager=True)
     plan = inc.extract_plan(classified, run_date, months).checkpoint(eager=True)
-    # First attempt: one scan of the landing data, stored once; results,
-    # failures, the bronze write and the summary all read this copy.
-    first = inc.extract(landing_norm, bounded_broadcast(plan)).checkpoint(eager=True)
+    # First attempt: one scan of the landing data, written once; results,
+    # failures, the bronze write and the summary read the columns they need.
+    first = storage.materialise(inc.extract(landing_norm, plan))
     failed = inc.failed_results(plan, inc.extract_results(first), run_date)
     rplan = inc.retry_plan(failed, plan, run_date, months).checkpoint(eager=True)
-    retry_src = retry_landing_norm if retry_landing_norm is not None else landing_norm
-    second = inc.extract(retry_src, bounded_broadcast(rplan)).checkpoint(eager=True)
-    tagged = inc.union_extracts(first.withColumn("attempt", F.lit(1)),
-                                second.withColumn("attempt", F.lit(2)))
+    tagged = first.withColumn("attempt", F.lit(1))
+    # The same landing data cannot hold what it did not hold before: a second
+    # attempt reads only a source of its own.
+    if retry_landing_norm is not None and not rplan.isEmpty():
+        second = storage.materialise(inc.extract(retry_landing_norm, rplan))
+        tagged = inc.union_extracts(tagged, second.withColumn("attempt", F.lit(2)))
     if tagged.isEmpty():
         return None
     run = inc.from_tagged(classified, plan, rplan, tagged, run_date)
-    if pending_path:
-        earliest = run.all_extracted.agg(F.min("date")).first()[0]
-        if earliest is not None:
-            record_pending(spark, pending_path, earliest)
-    storage.upsert_table(spark, to_bronze(run.all_extracted), bronze_path,
-                         keys=("symbol", "date"),
-                         partitions=bronze_layout or storage.month_partition())
+    change = storage.plan_upsert(spark, to_bronze(run.all_extracted), bronze_path,
+                                 keys=("symbol", "date"),
+                                 partitions=bronze_layout or storage.month_partition())
+    if pending_path and change.earliest is not None:
+        record_pending(spark, pending_path, change.earliest)
+    storage.apply_upsert(spark, change)
     # One row, materialised before the control log grows.
     summary = inc.run_summary(run.classified, run.results, run.all_extracted).checkpoint(eager=True)
     # MERGE on symbol = append this run's rows; readers take the latest row

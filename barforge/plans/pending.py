@@ -1,8 +1,10 @@
 """The earliest bronze date not yet reflected in silver.
 
 Written before bronze is changed (an intent record), cleared only after
-silver and gold were refreshed, so a crash anywhere in between leaves a
-record that makes the next transform cover the missed change."""
+silver and gold were refreshed and checked, so a crash anywhere in between
+leaves a record that makes the next transform cover the missed change.
+Records are only ever added; a transform removes the files it has read, so a
+record written meanwhile stays."""
 
 from __future__ import annotations
 
@@ -14,19 +16,27 @@ from pyspark.sql import functions as F
 from barforge.sources import storage
 
 
-def read_pending(spark: SparkSession, path: str) -> dt.date | None:
-    if not storage.table_exists(spark, path):
+def pending_files(spark: SparkSession, path: str) -> list[str]:
+    """The record's files (one per load since the last transform)."""
+    if not storage.path_exists(spark, path):
+        return []
+    return spark.read.schema("since date").parquet(path).inputFiles()
+
+
+def read_pending(spark: SparkSession, path: str, files: list[str] | None = None) -> dt.date | None:
+    """The earliest date of the record, or of some of its files."""
+    files = pending_files(spark, path) if files is None else files
+    if not files:
         return None
-    return spark.read.parquet(path).agg(F.min("since")).first()[0]
+    return spark.read.schema("since date").parquet(*files).agg(F.min("since")).first()[0]
 
 
-def record_pending(spark: SparkSession, path: str, since: dt.date) -> dt.date:
-    """Keep the earlier of the stored date and ``since``; returns it."""
-    old = read_pending(spark, path)
-    new = since if old is None else min(old, since)
-    spark.createDataFrame([(new,)], "since date").coalesce(1).write.mode("overwrite").parquet(path)
-    return new
+def record_pending(spark: SparkSession, path: str, since: dt.date) -> None:
+    """Add a date; readers take the earliest."""
+    spark.createDataFrame([(since,)], "since date").coalesce(1).write.mode("append").parquet(path)
 
 
-def clear_pending(spark: SparkSession, path: str) -> None:
-    storage.delete_path(spark, path)
+def clear_pending(spark: SparkSession, files: list[str]) -> None:
+    """Remove the files that a finished transform has read."""
+    for f in files:
+        storage.delete_path(spark, f)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import bars, indicators, quality, staging
-from barforge.plans.pending import clear_pending, read_pending
+from barforge.plans.pending import clear_pending, pending_files, read_pending
 from barforge.schemas import BARS, GOLD, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
@@ -49,9 +49,9 @@ class TransformPaths:
 
 
 def build_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(staging, weekly, monthly) as lazy frames; weekly and monthly share
-    one checkpointed segment table."""
-    stg = staging.stage_daily(bronze)
+    """(staging, weekly, monthly): staging is de-duplicated once (written),
+    weekly and monthly share one checkpointed segment table."""
+    stg = storage.materialise(staging.stage_daily(bronze))
     seg = bars.bar_segments(stg).checkpoint(eager=True)
     return stg, bars.fold_segments(seg, "week"), bars.fold_segments(seg, "month")
 
@@ -96,8 +96,6 @@ def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
 # Calendar look-back read for an incremental gold refresh; it normally holds
 # far more than the 104 preceding bars the widest indicator needs.
 GOLD_CONTEXT_WEEKS = 156
-# Up to this many short-context symbols are pushed into the scan as literals.
-MAX_SHORT_IN_FILTER = 10_000
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -123,15 +121,7 @@ def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
     short = (touched.join(have, "symbol", "left")
                     .where(F.coalesce(F.col("_n"), F.lit(0)) < need).select("symbol"))
     older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo), BARS)
-    # Usually only a few symbols (new listings, long halts) are short: their
-    # names go into the scan as an IN filter, so the symbol-sorted files'
-    # row-group statistics skip nearly all older data. A longer list is
-    # joined instead (same rows, full scan of the older partitions).
-    names = [r[0] for r in short.limit(MAX_SHORT_IN_FILTER + 1).collect()]
-    if len(names) <= MAX_SHORT_IN_FILTER:
-        older = older.where(F.col("symbol").isin(names)) if names else older.limit(0)
-    else:
-        older = older.join(short, "symbol", "left_semi")
+    older = older.join(short, "symbol", "left_semi")
     context = recent.unionByName(older)
     fresh = (indicators.weekly_technical_analysis(context)
              .where(F.col("date") >= F.lit(week_from)))
@@ -143,10 +133,15 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                   silver_schema: str | None = None, gold_schema: str | None = None,
                   since: dt.date | None = None,
                   pending_path: str | None = None,
-                  gold_context_weeks: int = GOLD_CONTEXT_WEEKS) -> DataFrame:
+                  gold_context_weeks: int = GOLD_CONTEXT_WEEKS, full: bool = False) -> DataFrame:
     """Build silver and gold from bronze; return the quality report of every
     layer (small, one row per check).
 
+    The pending record is cleared only after the checks ran without a
+    violation; otherwise the next run covers the change again. Without any
+    bronze table, or with nothing pending, nothing is built or checked and
+    the report is empty. ``full`` rebuilds everything.
+
     Full rebuild when silver does not exist yet or nothing says what
     changed; incremental silver refresh when ``since`` (or the pending
     record at ``pending_path``) names the earliest changed bronze date;
@@ -156,15 +151,21 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     the rewritten range after a refresh. With ``register``, the written
     layers are also catalog tables."""
     ensure_checkpoint_dir(spark)
+    read: list[str] = []
     if pending_path:
-        p = read_pending(spark, pending_path)
+        read = pending_files(spark, pending_path)
+        p = read_pending(spark, pending_path, read)
         since = p if since is None else (since if p is None else min(p, since))
+    nothing = spark.createDataFrame([], "layer string, check string, column string, violations bigint")
+    storage.finish_swap(spark, bronze_path)
+    if not storage.table_exists(spark, bronze_path):
+        return nothing
     have_silver = (storage.table_exists(spark, paths.weekly)
                    and storage.table_exists(spark, paths.monthly)
                    and storage.table_exists(spark, paths.technical))
     stg = None
     checked_from: dt.date | None = None   # None: check whole tables
-    if not have_silver or (since is None and not pending_path):
+    if full or not have_silver or (since is None and not pending_path):
         stg, weekly, monthly = build_silver(read_bronze(spark, bronze_path))
         storage.write_partitioned(weekly, paths.weekly, silver_partition())
         storage.write_partitioned(monthly, paths.monthly, silver_partition())
@@ -176,9 +177,9 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
         refresh_gold(spark, paths, since - dt.timedelta(days=since.weekday()),
                      gold_context_weeks)
         checked_from = since
+    else:
+        return nothing
     weekly_t = read_bars(spark, paths.weekly)
-    if pending_path:
-        clear_pending(spark, pending_path)
     if register:
         storage.register_tables(spark, {"weekly_prices": paths.weekly,
                                         "monthly_prices": paths.monthly},
@@ -204,4 +205,7 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     if check_staging and stg is not None:
         # Staging rows recomputed by this run (all of them on a full build).
         layers = {"stg_daily_prices": stg, **layers}
-    return quality.quality_report(layers)
+    report = quality.quality_report(layers).checkpoint(eager=True)
+    if report.where("violations > 0").isEmpty():
+        clear_pending(spark, read)
+    return report

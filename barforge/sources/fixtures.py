@@ -16,8 +16,9 @@ from barforge.functions import utc_midnight, wall_clock
 from barforge.schemas import BRONZE, CONTROL, MASTER, conform
 
 # Fixed values of the incremental-load fixture.
-RUN_DATE = dt.date(2001, 10, 1)
-RUN_TS = dt.datetime(2001, 10, 1, 12, 0, 0)
+# After every trade of the given tables, so the run date cuts nothing.
+RUN_DATE = dt.date(2001, 12, 31)
+RUN_TS = dt.datetime(2001, 12, 31, 12, 0, 0)
 RUN_ID = "testrun1"
 SEED_DATE = dt.date(2000, 1, 1)
 SEED_TS = dt.datetime(2000, 1, 1, 0, 0, 0)
@@ -127,13 +128,18 @@ def _to_landing(df: DataFrame) -> DataFrame:
     )
 
 
-def landing(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
-            late: bool = False) -> DataFrame:
-    """Raw landing rows up to ``run_date``; symbols with ``k % 5 = 2`` only
-    arrive late (``late=True``), so the first pass fails on them."""
-    t = trades(spark, sf_dir, with_key=True).where(F.col("date") <= F.lit(run_date))
-    cond = (F.col("k") % 5 == 2) if late else (F.col("k") % 5 != 2)
-    return _to_landing(t.where(cond))
+def landing(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """Raw landing rows of the first attempt; symbols with ``k % 5 = 2`` only
+    arrive late (``late=True``), so the first pass fails on them, and those
+    with ``k % 10 = 7`` among them never arrive."""
+    t = trades(spark, sf_dir, with_key=True)
+    k = F.col("k")
+    return _to_landing(t.where((k % 5 == 2) & (k % 10 != 7) if late else k % 5 != 2))
+
+
+def landing_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trade as a raw landing row."""
+    return _to_landing(trades(spark, sf_dir))
 
 
 def upsert_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -148,22 +154,23 @@ def upsert_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return target, source
 
 
-def landing_with_nan(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE) -> DataFrame:
-    """Landing rows where a feed glitch left NaN closes: every first of the
+def landing_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trade as a landing row, where a feed glitch left NaN closes: every first of the
     month for symbols with ``k % 7 = 3``."""
-    t = trades(spark, sf_dir, with_key=True).where(F.col("date") <= F.lit(run_date))
+    t = trades(spark, sf_dir, with_key=True)
     glitch = (F.col("k") % 7 == 3) & (F.dayofmonth("date") == 1)
     t = t.withColumn("close", F.when(glitch, F.lit(float("nan"))).otherwise(F.col("close")))
     return _to_landing(t)
 
 
 def constituents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A constituents list as published (header names verbatim); every
-    third symbol carries stray spaces."""
+    """A constituents list as published (header names verbatim); a third of
+    the symbols carries stray spaces, a third a tab and a CRLF."""
     k = F.col("s_suppkey")
     sym = F.concat(F.lit("S"), k.cast("string"))
     return table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("Company Name"),
         F.col("s_nationkey").cast("string").alias("Industry"),
-        F.when(k % 3 == 0, F.concat(F.lit(" "), sym, F.lit(" "))).otherwise(sym).alias("Symbol"),
+        F.when(k % 3 == 0, F.concat(F.lit(" "), sym, F.lit(" ")))
+         .when(k % 3 == 1, F.concat(F.lit("\t"), sym, F.lit("\r\n"))).otherwise(sym).alias("Symbol"),
     )

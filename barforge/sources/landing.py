@@ -30,9 +30,8 @@ def normalize_landing(landing: DataFrame, exchange_tz: str = "UTC",
     volume to bigint, turn NaN into NULL, keep the known columns in a fixed
     order (absent ones skipped, as the reference does).
 
-    Volume: fractions truncate; NaN raises under ANSI casts; a NULL volume
-    raises too when ``strict_volume`` (the reference's integer cast fails
-    on a missing value)."""
+    Volume: fractions truncate; a NaN raises, and a NULL volume raises too
+    when ``strict_volume`` (an integer cast fails on a missing value)."""
     df = landing.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in landing.columns})
     session_tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
     cols = {}
@@ -40,7 +39,8 @@ def normalize_landing(landing: DataFrame, exchange_tz: str = "UTC",
         cols["date"] = to_trading_day("date", df.schema["date"].dataType, exchange_tz, session_tz)
     if "volume" in df.columns:
         v = F.col("volume")
-        cast = v.cast("bigint")
+        cast = F.when(F.isnan(v.cast("double")), F.raise_error(F.lit("NaN volume in landing data")).cast("bigint")).otherwise(
+            v.cast("bigint"))
         if strict_volume:
             cast = F.when(v.isNull(), F.raise_error(F.lit("NULL volume in landing data")).cast("bigint")).otherwise(cast)
         cols["volume"] = cast

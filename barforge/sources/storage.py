@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +72,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
                for s in fs.listStatus(p))
 
 
-def write_layer(df: DataFrame, path: str, sort_by: Sequence[str] = ("symbol", "date")) -> str:
-    """Full rebuild of a derived layer (S11). Rows are range-partitioned on
-    ``sort_by`` (sampled boundaries, so a hot symbol is split across
-    tasks) and sorted, which gives row groups tight min/max statistics for
-    pruning by symbol and date."""
-    cols = [c for c in sort_by if c in df.columns]
-    out = df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
-    out.write.mode("overwrite").parquet(path)
-    return path
-
-
 def _with_partitions(df: DataFrame, partitions: dict[str, Column]) -> DataFrame:
     return df.withColumns(partitions) if partitions else df
 
@@ -95,45 +85,151 @@ def _write(df: DataFrame, path: str, partition_cols: list[str], dynamic: bool) -
     w.parquet(path)
 
 
-def upsert_table(spark: SparkSession, source: DataFrame, path: str,
-                 keys: Sequence[str] = ("symbol", "date"),
-                 partitions: dict[str, Column] | None = None,
-                 order: Sequence[str] | None = None) -> DataFrame:
-    """MERGE ``source`` into the table at ``path`` on ``keys``.
-
-    First load: the de-duplicated source is written as the table (S7).
-    Later loads (S8): only the partitions the source touches are read
-    (dynamic partition pruning on the partition column), merged by
-    anti-join + union, staged in the shared checkpoint folder and swapped in
-    with a dynamic partition overwrite, so untouched partitions are never
-    rewritten. Re-running the same upsert after a failure gives the same
-    table, since the merge is idempotent. Returns the table as read back.
-    """
-    from barforge.operators.upsert import dedup_by_key
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read back."""
+    path = staging_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def partition_filter(columns: Sequence[str], values: Sequence[tuple]) -> Column:
+    """A literal filter for these partition values (NULL included), which
+    prunes the file listing."""
+    if not values:
+        return F.lit(False)
+    first: dict = {}
+    for v in values:
+        first.setdefault(v[0], []).append(v[1:])
+
+    def within(c: str, vs: list) -> Column:
+        some = [v for v in vs if v is not None]
+        cond = F.col(c).isin(*some) if some else F.lit(False)
+        return cond | F.col(c).isNull() if len(some) < len(vs) else cond
+
+    if len(columns) == 1:
+        return within(columns[0], list(first))
+    out = None
+    for v, rest in first.items():
+        cond = within(columns[0], [v]) & partition_filter(columns[1:], rest)
+        out = cond if out is None else out | cond
+    return out
+
+
+def swap_folder(path: str) -> str:
+    """Where a staged change of a table lies: beside it, under a fixed name."""
+    return f"{path.rstrip('/')}__swap"
+
+
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Finish a swap that was cut short: a complete staged change (its data
+    was committed) is applied again, an incomplete one is dropped. Called
+    before every change of the table. Returns whether one was applied."""
+    stage = swap_folder(path)
+    if not path_exists(spark, stage):
+        return False
+    done = path_exists(spark, f"{stage}/data/_SUCCESS")
+    if done:
+        _apply_swap(spark, path)
+    delete_path(spark, stage)
+    return done
+
+
+def _apply_swap(spark: SparkSession, path: str) -> None:
+    stage = swap_folder(path)
+    plan = spark.read.parquet(f"{stage}/plan").first()
+    _write(spark.read.parquet(f"{stage}/data"), path, list(plan["columns"]), dynamic=bool(plan["columns"]))
+    for sub in plan["removed"]:
+        delete_path(spark, f"{path.rstrip('/')}/{sub}")
+
+
+def _swap(spark: SparkSession, path: str, pcols: list[str], layout: DataFrame,
+          removed: Sequence[str] = ()) -> None:
+    """Stage ``layout`` (laid-out rows) beside the table, then swap it in.
+    Until the staged copy is complete the table is untouched; from then on
+    the swap can be repeated (``finish_swap``), so no row is ever lost."""
+    stage = swap_folder(path)
+    delete_path(spark, stage)
+    spark.createDataFrame([(list(pcols), list(removed))], "columns array<string>, removed array<string>"
+                          ).coalesce(1).write.parquet(f"{stage}/plan")
+    w = layout.write.partitionBy(*pcols) if pcols else layout.write
+    w.parquet(f"{stage}/data")
+    _apply_swap(spark, path)
+    delete_path(spark, stage)
+    spark.catalog.refreshByPath(path)
+
+
+@dataclass
+class Change:
+    """What an upsert will change: rows that differ from the stored ones."""
+    rows: DataFrame
+    path: str
+    keys: Sequence[str]
+    partitions: dict[str, Column]
+    touched: list[tuple]
+    earliest: dt.date | None
+    exists: bool
+
+
+def plan_upsert(spark: SparkSession, source: DataFrame, path: str,
+                keys: Sequence[str] = ("symbol", "date"),
+                partitions: dict[str, Column] | None = None,
+                order: Sequence[str] | None = None) -> Change:
+    """De-duplicate ``source`` once (written), read only the partitions it
+    touches (literal values, bounded by the calendar), and keep the rows
+    that are new or differ from the stored row: a feed that sends old rows
+    again changes nothing."""
     from barforge.operators.staging import DEDUP_ORDER
+    from barforge.operators.upsert import dedup_by_key
 
+    finish_swap(spark, path)
     partitions = partitions or {}
     pcols = list(partitions)
-    order = DEDUP_ORDER if order is None else order
-    src = _with_partitions(dedup_by_key(source, keys, order), partitions)
-    if not table_exists(spark, path):
-        _write(src.repartitionByRange(*(pcols + list(keys))) if pcols else src,
-               path, pcols, dynamic=False)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
-    if pcols:
-        touched = src.select(*pcols).distinct()
-        target = target.join(touched, pcols, "left_semi")
-    merged = upsert(target, src.select(*target.columns), keys, order=None)
-    stage = staging_path(spark)
-    # The staged copy is laid out once (range-partitioned, so a hot month or
-    # symbol is split across tasks); the swap copies it file by file.
-    _write(merged.repartitionByRange(*(pcols + list(keys))) if pcols else merged,
-           stage, pcols, dynamic=False)
-    _write(spark.read.parquet(stage), path, pcols, dynamic=bool(pcols))
-    delete_path(spark, stage)
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+    src = materialise(_with_partitions(
+        dedup_by_key(source, keys, DEDUP_ORDER if order is None else order), partitions))
+
+    def touched(df: DataFrame) -> list[tuple]:
+        return [tuple(r) for r in df.select(*pcols).distinct().collect()] if pcols else []
+
+    exists = table_exists(spark, path)
+    if exists:
+        target = spark.read.parquet(path)
+        if pcols:
+            target = target.where(partition_filter(pcols, touched(src)))
+        same = None
+        t = target.select(*[F.col(c).alias(f"_t_{c}") for c in src.columns])
+        for c in src.columns:
+            eq = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+            same = eq if same is None else same & eq
+        src = materialise(src.join(t, same, "left_anti"))
+    earliest = src.agg(F.min("date")).first()[0] if "date" in src.columns else None
+    return Change(src, path, keys, partitions, touched(src), earliest, exists)
+
+
+def apply_upsert(spark: SparkSession, change: Change) -> DataFrame:
+    """Merge a planned change: untouched partitions are neither read nor
+    written. Stored rows whose key holds a NULL match nothing and stay."""
+    pcols = list(change.partitions)
+    layout = list(pcols) + list(change.keys)
+    if not change.exists:
+        rows = change.rows
+        _write(rows.repartitionByRange(*layout) if pcols else rows, change.path, pcols, dynamic=False)
+        return spark.read.parquet(change.path)
+    if not change.rows.isEmpty():
+        target = spark.read.parquet(change.path)
+        if pcols:
+            target = target.where(partition_filter(pcols, change.touched))
+        merged = upsert(target, change.rows.select(*target.columns), change.keys, order=None)
+        _swap(spark, change.path, pcols, merged.repartitionByRange(*layout) if pcols else merged)
+    return spark.read.parquet(change.path)
+
+
+def upsert_table(spark: SparkSession, source: DataFrame, path: str,
+                 keys: Sequence[str] = ("symbol", "date"),
+                 partitions: dict[str, Column] | None = None,
+                 order: Sequence[str] | None = None) -> DataFrame:
+    """MERGE ``source`` into the table at ``path`` on ``keys`` (S7 first
+    load, S8 later): ``plan_upsert`` and ``apply_upsert`` in one."""
+    return apply_upsert(spark, plan_upsert(spark, source, path, keys, partitions, order))
 
 
 def partition_floor(columns: list[str], since: dt.date) -> Column | None:
@@ -177,7 +273,9 @@ def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
 def write_partitioned(df: DataFrame, path: str, partitions: dict[str, Column],
                       sort_by: Sequence[str] = ("symbol", "date")) -> str:
     """Full write of a layer partitioned by ``partitions``; rows are
-    range-partitioned (sampled bounds split hot keys) and sorted inside."""
+    range-partitioned (sampled bounds split hot keys) and sorted inside, so
+    every partition is in ``sort_by`` order (O1)."""
+    finish_swap(df.sparkSession, path)
     pcols = list(partitions)
     out = df.withColumns(partitions)
     out = out.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
@@ -190,10 +288,10 @@ def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date
                  sort_by: Sequence[str] = ("symbol", "date")) -> None:
     """Replace every row dated on or after ``since`` with ``rows`` (which
     must hold only such rows); rows before ``since`` stay. Only partitions
-    from ``since`` on are read and rewritten (staged, then swapped in by a
-    dynamic partition overwrite); a partition left without rows is removed.
-    Idempotent: re-running after a failure gives the same table."""
+    from ``since`` on are read and rewritten; a partition left without rows
+    is removed. A swap that was cut short is finished first."""
     pcols = list(partitions)
+    finish_swap(spark, path)
     if not table_exists(spark, path):
         write_partitioned(rows, path, partitions, sort_by)
         return
@@ -201,21 +299,13 @@ def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date
     floor = partition_floor(old.columns, since)
     touched = old.where(floor) if floor is not None else old
     kept = touched.where(F.col(date_col) < F.lit(since))
-    new = rows.withColumns(partitions).select(*old.columns)
-    merged = kept.unionByName(new)
-    stage = staging_path(spark)
-    (merged.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
-           .write.mode("overwrite").partitionBy(*pcols).parquet(stage))
-    staged = spark.read.parquet(stage)
+    merged = materialise(kept.unionByName(rows.withColumns(partitions).select(*old.columns)))
     # Partition values are bounded by the calendar from ``since`` on.
     before = {tuple(r) for r in touched.select(*pcols).distinct().collect()}
-    after = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
-    _write(staged, path, pcols, dynamic=True)
-    for values in before - after:
-        sub = "/".join(f"{c}={v}" for c, v in zip(pcols, values))
-        delete_path(spark, f"{path.rstrip('/')}/{sub}")
-    delete_path(spark, stage)
-    spark.catalog.refreshByPath(path)
+    after = {tuple(r) for r in merged.select(*pcols).distinct().collect()}
+    removed = ["/".join(f"{c}={v}" for c, v in zip(pcols, values)) for values in before - after]
+    layout = merged.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
+    _swap(spark, path, pcols, layout, removed)
 
 
 def layer_name(custom: str | None, default: str) -> str:

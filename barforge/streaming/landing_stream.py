@@ -13,11 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql import functions as F
-
 from barforge.plans.pending import record_pending
 from barforge.schemas import LANDING
-from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
 from barforge.sources.landing import normalize_landing, to_bronze
 
@@ -31,7 +28,8 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
     (``available_now=True`` stops once the folder is drained). With
     ``pending_path``, each micro-batch first records its earliest date for
     the incremental silver refresh."""
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing_stream"
+    # Beside the table by default: the same for every application.
+    ckpt = checkpoint_location or f"{bronze_path.rstrip('/')}__stream"
     reader = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -39,12 +37,11 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = to_bronze(normalize_landing(batch, exchange_tz))
-        if pending_path:
-            earliest = rows.agg(F.min("date")).first()[0]
-            if earliest is not None:
-                record_pending(batch.sparkSession, pending_path, earliest)
-        storage.upsert_table(batch.sparkSession, rows, bronze_path,
-                             keys=("symbol", "date"), partitions=storage.month_partition())
+        change = storage.plan_upsert(batch.sparkSession, rows, bronze_path,
+                                     keys=("symbol", "date"), partitions=storage.month_partition())
+        if pending_path and change.earliest is not None:
+            record_pending(batch.sparkSession, pending_path, change.earliest)
+        storage.apply_upsert(batch.sparkSession, change)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -10,12 +10,11 @@ def test_cli_setup_daily_transform(spark, scratch, capsys):
     lake = f"{scratch}/lake"
     assert main(["setup", "--root", lake], spark=spark) == 0
     rc = main(["daily", "--root", lake, "--master", f"{scratch}/master",
-               "--landing", f"{scratch}/landing", "--run-date", "2001-10-01",
-               "--run-id", "cli1", "--layout", "day", "--symbol-buckets", "2"], spark=spark)
+               "--landing", f"{scratch}/landing", "--run-date", "2001-12-31",
+               "--exchange-tz", "UTC", "--run-id", "cli1", "--layout", "day", "--symbol-buckets", "2"], spark=spark)
     assert rc == 0
     assert "symbols_ok" in capsys.readouterr().out
     assert main(["transform", "--root", lake], spark=spark) == 0
-    assert main(["compact", "--root", lake], spark=spark) == 0
     assert {"day", "bucket"} <= set(spark.read.parquet(f"{lake}/bronze").columns)
     assert spark.read.parquet(f"{lake}/gold/weekly_technical_analysis").count() > 0
 

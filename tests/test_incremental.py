@@ -214,12 +214,3 @@ def test_control_log_reads_as_the_merge(spark, scratch):
     assert log.where("_seq = 1").count() > 0 and log.where("_seq = 2").count() > 0
     current = read_control(spark, ctl)
     assert current.count() == 10 and current.where("last_run_id = 'second'").count() > 0
-    # compaction keeps the current state and drops the older files
-    from barforge.plans.incremental import compact_control
-    snapshot = sorted(current.collect(), key=repr)
-    assert compact_control(spark, ctl) > 0
-    assert sorted(read_control(spark, ctl).collect(), key=repr) == snapshot
-    log = spark.read.option("mergeSchema", "true").parquet(ctl)
-    assert log.count() == 10 and log.select("_seq").distinct().count() == 1
-    assert compact_control(spark, ctl) > 0   # again: same state, one snapshot left
-    assert sorted(read_control(spark, ctl).collect(), key=repr) == snapshot

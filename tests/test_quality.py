@@ -18,4 +18,3 @@ def test_checks_report_exactly_the_bad_rows(spark):
         "t", df, ["date", "symbol", "close"], [quality.BAR_KEY_EXPR], {"flag": [0, 1]}).collect()}
     assert rep == {("not_null", "date"): 1, ("not_null", "symbol"): 1, ("not_null", "close"): 1,
                    ("unique", quality.BAR_KEY_EXPR): 1, ("accepted_values", "flag"): 2}
-    assert quality.failures(quality.layer_report("t", df, ["date"])).count() == 1

@@ -97,19 +97,3 @@ def test_named_lazy_layers(spark):
     register(spark, stage_daily(spark.table("ext_daily_prices")), "stg_daily_prices")  # view (S10)
     n = spark.sql("SELECT COUNT(*) AS n FROM stg_daily_prices").first()["n"]
     assert n == stage_daily(fx.prices(spark, SF_SMALL)).count()
-
-
-def test_written_layer_is_range_sorted(spark, scratch):
-    from pyspark.sql import functions as F
-    from barforge.sources import fixtures as fx
-    from conftest import SF_SMALL
-    df = fx.prices(spark, SF_SMALL)
-    storage.write_layer(df, f"{scratch}/t")
-    files = (spark.read.parquet(f"{scratch}/t")
-             .groupBy(F.input_file_name().alias("f"))
-             .agg(F.min(F.struct("symbol", "date")).alias("lo"),
-                  F.max(F.struct("symbol", "date")).alias("hi"))
-             .orderBy("lo").collect())
-    # files cover disjoint, ordered key ranges (a global sort on disk, O1)
-    for a, b in zip(files, files[1:]):
-        assert tuple(a["hi"]) <= tuple(b["lo"])
