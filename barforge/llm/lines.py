@@ -84,7 +84,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, tsig, line_no (from 0) and line of every line that takes part."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tsig"),
-        F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
+        # An outer explode: an inner one would split the texts again for a filter.
+        F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"),
     )
     return rows.where((F.length("line") >= MIN_CHARS) & F.col("line").rlike(r"\S"))
 

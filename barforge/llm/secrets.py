@@ -101,7 +101,9 @@ def build_index(docs: DataFrame, grams: list[str] | None = None) -> DataFrame:
         found = F.array_distinct(F.regexp_extract_all("low", F.lit("(?s)(?=(...))"), F.lit(1)))
     else:
         found = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams)))
-    return materialise(low.select("doc_id", F.explode(found).alias("gram")), "secrets-postings")
+    # An outer explode: an inner one would search the texts again for a filter.
+    postings = low.select("doc_id", F.explode_outer(found).alias("gram")).where("gram is not null")
+    return materialise(postings, "secrets-postings")
 
 
 def candidates(index: DataFrame, rules) -> DataFrame:
