@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from barforge.operators import bars, indicators, quality, staging
 from barforge.plans.pending import clear_pending, pending_files, read_pending
@@ -67,10 +68,15 @@ def silver_partition() -> dict:
     return storage.month_partition()
 
 
+def stored_schema(schema: StructType) -> StructType:
+    """A layer's columns and its partition column: also for a table without rows."""
+    return StructType([*schema.fields, *(StructField(c, IntegerType()) for c in silver_partition())])
+
+
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """A stored bar table with its declared columns (partition column
     dropped)."""
-    return conform(spark.read.parquet(path), BARS)
+    return conform(spark.read.schema(stored_schema(BARS)).parquet(path), BARS)
 
 
 def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
@@ -100,7 +106,7 @@ GOLD_CONTEXT_WEEKS = 156
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """The stored gold table with its declared columns."""
-    return conform(spark.read.parquet(path), GOLD)
+    return conform(spark.read.schema(stored_schema(GOLD)).parquet(path), GOLD)
 
 
 def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
@@ -114,13 +120,13 @@ def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
     listings). The window functions are therefore exact."""
     need = indicators.lookback_bars()
     ctx_lo = week_from - dt.timedelta(weeks=context_weeks)
-    recent = conform(storage.read_range(spark, paths.weekly, since=ctx_lo), BARS)
+    recent = conform(storage.read_range(spark, paths.weekly, since=ctx_lo, schema=stored_schema(BARS)), BARS)
     touched = recent.where(F.col("date") >= F.lit(week_from)).select("symbol").distinct()
     have = (recent.where(F.col("date") < F.lit(week_from))
                   .groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")))
     short = (touched.join(have, "symbol", "left")
                     .where(F.coalesce(F.col("_n"), F.lit(0)) < need).select("symbol"))
-    older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo), BARS)
+    older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo, schema=stored_schema(BARS)), BARS)
     older = older.join(short, "symbol", "left_semi")
     context = recent.unionByName(older)
     fresh = (indicators.weekly_technical_analysis(context)
@@ -197,11 +203,13 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
         week_from = checked_from - dt.timedelta(days=checked_from.weekday())
         month_from = checked_from.replace(day=1)
         layers = {
-            "weekly_prices": conform(storage.read_range(spark, paths.weekly, since=week_from), BARS),
-            "monthly_prices": conform(storage.read_range(spark, paths.monthly, since=month_from),
-                                      BARS),
+            "weekly_prices": conform(storage.read_range(
+                spark, paths.weekly, since=week_from, schema=stored_schema(BARS)), BARS),
+            "monthly_prices": conform(storage.read_range(
+                spark, paths.monthly, since=month_from, schema=stored_schema(BARS)), BARS),
             "weekly_technical_analysis": conform(
-                storage.read_range(spark, paths.technical, since=week_from), GOLD)}
+                storage.read_range(spark, paths.technical, since=week_from,
+                                   schema=stored_schema(GOLD)), GOLD)}
     if check_staging and stg is not None:
         # Staging rows recomputed by this run (all of them on a full build).
         layers = {"stg_daily_prices": stg, **layers}

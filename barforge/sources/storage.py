@@ -137,7 +137,9 @@ def finish_swap(spark: SparkSession, path: str) -> bool:
 def _apply_swap(spark: SparkSession, path: str) -> None:
     stage = swap_folder(path)
     plan = spark.read.parquet(f"{stage}/plan").first()
-    _write(spark.read.parquet(f"{stage}/data"), path, list(plan["columns"]), dynamic=bool(plan["columns"]))
+    # The stage's own types: a lone NULL partition would have none.
+    data = spark.read.schema(plan["types"]).parquet(f"{stage}/data")
+    _write(data, path, list(plan["columns"]), dynamic=bool(plan["columns"]))
     for sub in plan["removed"]:
         delete_path(spark, f"{path.rstrip('/')}/{sub}")
 
@@ -149,8 +151,9 @@ def _swap(spark: SparkSession, path: str, pcols: list[str], layout: DataFrame,
     the swap can be repeated (``finish_swap``), so no row is ever lost."""
     stage = swap_folder(path)
     delete_path(spark, stage)
-    spark.createDataFrame([(list(pcols), list(removed))], "columns array<string>, removed array<string>"
-                          ).coalesce(1).write.parquet(f"{stage}/plan")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout.schema.fields)
+    spark.createDataFrame([(list(pcols), list(removed), types)],
+                          "columns array<string>, removed array<string>, types string").coalesce(1).write.parquet(f"{stage}/plan")
     w = layout.write.partitionBy(*pcols) if pcols else layout.write
     w.parquet(f"{stage}/data")
     _apply_swap(spark, path)
@@ -257,10 +260,11 @@ def partition_ceiling(columns: list[str], before: dt.date) -> Column | None:
 
 
 def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
-               before: dt.date | None = None) -> DataFrame:
+               before: dt.date | None = None, schema=None) -> DataFrame:
     """Rows of a date-partitioned table with ``since <= date < before``,
-    reading only the partitions that can hold them."""
-    df = spark.read.parquet(path)
+    reading only the partitions that can hold them. ``schema``: for tables
+    that may hold no rows."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if since is not None:
         floor = partition_floor(df.columns, since)
         df = (df.where(floor) if floor is not None else df).where(F.col("date") >= F.lit(since))
@@ -295,7 +299,7 @@ def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date
     if not table_exists(spark, path):
         write_partitioned(rows, path, partitions, sort_by)
         return
-    old = spark.read.parquet(path)
+    old = spark.read.schema(rows.withColumns(partitions).schema).parquet(path)   # it may hold no rows
     floor = partition_floor(old.columns, since)
     touched = old.where(floor) if floor is not None else old
     kept = touched.where(F.col(date_col) < F.lit(since))
