@@ -33,41 +33,49 @@ MIN_CHARS = 20
 COUNTED = "entairos"
 
 
-def _segment(length: Column, k: int, i: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment i (from 1) of k: the last ones take the remainder."""
-    base, longer = F.floor(length / k).cast("int"), (length % k).cast("int")
-    start = 1 + (i - 1) * base + F.greatest(F.lit(0), (i - 1) - (k - longer))
-    return start.cast("int"), base + F.when(F.lit(i) > k - longer, 1).otherwise(0)
-
-
-def index_keys(line: Column, n: Column, edits: int = MAX_EDITS) -> list[Column]:
-    """One key per segment of the line."""
-    out = []
-    for i in range(1, edits + 2):
-        start, size = _segment(n, edits + 1, i)
-        out.append(F.xxhash64(n, F.lit(i), F.substring(line, start, size)))
-    return out
+def index_places(edits: int = MAX_EDITS) -> list[tuple[int, int, int]]:
+    """(0, segment, 0) of every segment that a line is indexed by."""
+    return [(0, i, 0) for i in range(1, edits + 2)]
 
 
-def probe_keys(line: Column, n: Column, edits: int = MAX_EDITS) -> list[Column]:
-    """Keys of all substrings by which a line as long or shorter can be met."""
+def probe_places(edits: int = MAX_EDITS) -> list[tuple[int, int, int]]:
+    """(characters less, segment, shift) of all substrings by which a line meets one as long or shorter."""
     k, out = edits + 1, []
     for less in range(edits + 1):
-        length = (n - less).cast("int")
         for i in range(1, k + 1):
-            start, size = _segment(length, k, i)
             for shift in range(max(1 - i, less - (k - i)), min(i - 1, less + (k - i)) + 1):
-                out.append(F.xxhash64(length, F.lit(i), F.substring(line, start + shift, size)))
+                out.append((less, i, shift))
     return out
 
 
+def segment_keys(line: Column, n: Column, places: list[tuple[int, int, int]], edits: int = MAX_EDITS) -> Column:
+    """A key per place: hash of the length, the segment's number (from 1) and its text.
+
+    The last segments of a line take the remainder of its length.  One lambda
+    over the places keeps the compiled code small.
+    """
+    k = edits + 1
+    wanted = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("less", "i", "shift"), p))) for p in places))
+
+    def key(p: Column) -> Column:
+        length = n - p["less"]
+        base, longer = F.floor(length / k).cast("int"), (length % k).cast("int")
+        start = 1 + (p["i"] - 1) * base + F.greatest(F.lit(0), p["i"] - 1 - (k - longer)) + p["shift"]
+        size = base + F.when(p["i"] > k - longer, 1).otherwise(0)
+        return F.xxhash64(length, p["i"], F.substring(line, start, size))
+
+    return F.transform(wanted, key)
+
+
 def _letters(line: Column) -> Column:
     """Counts of the letters, at most 255 each, one per byte of a number."""
-    out = F.lit(0).cast("long")
-    for k, c in enumerate(COUNTED):
-        count = F.least(F.lit(255), F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))))
-        out = out.bitwiseOR(F.shiftleft(count.cast("long"), 8 * k))
-    return out
+    n = F.length(line)
+
+    def add(acc: Column, c: Column) -> Column:
+        count = F.least(F.lit(255), n - F.length(F.replace(line, c, F.lit(""))))
+        return F.shiftleft(acc, 8).bitwiseOR(count.cast("long"))
+
+    return F.aggregate(F.array(*(F.lit(c) for c in COUNTED)), F.lit(0).cast("long"), add)
 
 
 def _letter_distance(a: Column, b: Column) -> Column:
@@ -82,8 +90,9 @@ def _letter_distance(a: Column, b: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, tsig, line_no (from 0) and line of every line that takes part."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tsig"),
+    # What stands beside an explode is computed for each of its rows: all else comes first.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tsig"), "text").select(
+        "doc_id", "tsig",
         # An outer explode: an inner one would split the texts again for a filter.
         F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"),
     )
@@ -96,16 +105,17 @@ def _digest(line: Column) -> Column:
 
 def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Links (a, b, edits) between different lines, by their digests."""
-    n = F.col("n")
-    texts = _lines(docs).select("line", F.length("line").alias("n"), F.xxhash64("line").alias("id"))
-    keys = F.array(*index_keys(F.col("line"), n, edits), *probe_keys(F.col("line"), n, edits))
-    # The first keys are the line's own segments, the others what it probes.
-    each = texts.select("id", _letters(F.col("line")).alias("letters"), F.posexplode(keys).alias("k", "key"))
-    each = each.select("key", "id", "letters", (F.col("k") > edits).alias("probes"))
-    # One shuffle by key; equal lines are dropped where they meet.
-    each = each.repartition("key").dropDuplicates(["key", "id", "letters", "probes"])
-    index = each.where("not probes").select("key", F.col("id").alias("ia"), F.col("letters").alias("la"))
-    probe = each.where("probes").select("key", F.col("id").alias("ib"), F.col("letters").alias("lb"))
+    texts = _lines(docs).select(
+        "line", F.length("line").alias("n"), F.xxhash64("line").alias("id"), _letters(F.col("line")).alias("letters")
+    )
+
+    def side(name: str, places: list[tuple[int, int, int]]) -> DataFrame:
+        keys = segment_keys(F.col("line"), F.col("n"), places, edits)
+        each = texts.select(F.col("id").alias(f"i{name}"), F.col("letters").alias(f"l{name}"), F.explode_outer(keys).alias("key"))
+        # One shuffle by key; equal lines are dropped where they meet.
+        return each.repartition("key").dropDuplicates(["key", f"i{name}", f"l{name}"])
+
+    index, probe = side("a", index_places(edits)), side("b", probe_places(edits))
     near = _letter_distance(F.col("la"), F.col("lb")) <= 2 * edits
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("ia") != F.col("ib")) & near)
     pairs = materialise(met.select(F.least("ia", "ib").alias("ia"), F.greatest("ia", "ib").alias("ib")).distinct(), "line-pairs")
