@@ -9,10 +9,11 @@ well as on their number, so they follow edit similarity.  Documents of at most
 sampled both ways.
 
 Equal word sequences form one class before anything else.  A bucket of equal
-samples is never expanded into its pairs: its members are aligned with its
-leader, and members that do not match are handed on to further leaders, to
-which all members are then compared, until none is left.  Two classes are
-linked if their word-level edit distance is at most (1 - NEAR) of the longer;
+samples is never expanded into its pairs: its members are aligned with one
+leader.  While a bucket holds more than one connected component, members
+outside its least component lead in turn and are aligned with the members of
+the other components, so no connection inside a bucket is lost.  Two classes
+are linked if their word-level edit distance is at most (1 - NEAR) of the longer;
 groups are the connected components.
 
 Defined cases: documents without a word (null and empty texts too) are never
@@ -40,7 +41,7 @@ PICKS, SHORT_PICKS = 6, 2
 #: Lengths in k-mers: up to SHORT few picks are taken, from LONG on many.
 #: SHORT * NEAR is at least LONG, so that near copies always share a way.
 SHORT, LONG = 40, 32
-#: Leaders a bucket names per round; each round names four times as many.
+#: Leaders a bucket names in the first round, and by how much more in each further one.
 FIRST_LEADERS, MORE_LEADERS = 1, 4
 _ODD = np.random.default_rng(20240501).integers(1, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -110,7 +111,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, sig (null without words), node (a number from sig), keys of every row (written)."""
+    """doc_id, sig (null without words), node (a number from sig), keys and words of every row (written)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,11 +122,11 @@ def _sketched(docs: DataFrame) -> DataFrame:
             keys = [sketch(flat[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
             sizes = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array((ends - starts).astype(np.int32))], names=["doc_id", "sig", "keys", "n"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     hashed = rows.select("doc_id", signature(F.col("words")).alias("sig"), F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
-    out = hashed.mapInArrow(run, "doc_id long, sig string, keys array<long>")
+    out = hashed.mapInArrow(run, "doc_id long, sig string, keys array<long>, n int")
     return materialise(out.withColumn("node", F.conv(F.substring("sig", 1, 15), 16, 10).cast("long")), "sketches")
 
 
@@ -135,7 +136,8 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok, far = [], []
-            for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+            for k in range(batch.num_rows):  # one pair at a time as Python numbers
+                x, y = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
                 most = max(len(x), len(y))
                 d = edit_distance(x, y, int((1 - near) * most + 1e-9))
                 ok.append(d is not None)
@@ -158,43 +160,54 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
 def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR) -> DataFrame:
     """Verified links (sig_a, sig_b, distance) between classes of equal word sequences."""
     nodes = sketches.where("sig is not null").groupBy("sig").agg(F.first("node").alias("node"), F.min("doc_id").alias("doc_id"))
-    keyed = sketches.where("sig is not null").select("node", F.explode("keys").alias("key")).distinct()
+    keyed = sketches.where("sig is not null").select("node", "n", F.explode("keys").alias("key")).distinct()
     keyed = materialise(keyed, "keys")
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     # Members of the buckets that hold more than one class.
     members = materialise(keyed.join(shared.select("key"), "key"), "members")
     wanted = members.select("node").distinct().join(nodes, "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
-    texts = texts.withColumn("sig", signature(F.col("words"))).where("sig is not null")
+    # Words cross the network as numbers.
+    texts = texts.select(
+        "doc_id", signature(F.col("words")).alias("sig"), F.transform("words", lambda w: F.hash(w)).alias("words")
+    ).where("sig is not null")
     same = (texts["sig"] == wanted["sig"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = texts.join(wanted, same).select(
-        wanted["node"], wanted["sig"], F.transform("words", lambda w: F.hash(w)).alias("words")
-    ).dropDuplicates(["node", "sig"])
+    texts = texts.join(wanted, same).select(wanted["node"], wanted["sig"], "words").dropDuplicates(["node", "sig"])
     texts = materialise(texts, "class-words")
 
-    links, done, open_, count = None, None, members, FIRST_LEADERS
-    while not open_.isEmpty():
+    links, done, led, count = None, None, None, FIRST_LEADERS
+    placed = members.withColumn("part", F.col("node"))
+    while True:
+        # Buckets with more than one component; there, members outside the
+        # least component that have not led the bucket yet may lead it.
+        bounds = placed.groupBy("key").agg(F.min("part").alias("base"), F.max("part").alias("top")).where("base <> top")
+        mixed = placed.join(bounds.select("key", "base"), "key")
+        free = mixed.where("part <> base") if led is not None else mixed
+        if led is not None:
+            free = free.join(led, ["key", "node"], "left_anti")
         first = Window.partitionBy("key").orderBy("node")
         # Cut to the leaders before the shuffle (window group limit), also in a very large bucket.
-        leaders = open_.withColumn("k", F.row_number().over(first)).where(F.col("k") <= count).select(
-            "key", F.col("node").alias("leader")
-        )
-        met = members.join(leaders, "key").where("node <> leader")
+        leaders = free.withColumn("k", F.row_number().over(first)).where(F.col("k") <= count).select("key", "node", "part", "n")
+        leaders = materialise(leaders, "leaders")
+        if leaders.isEmpty():
+            break
+        led = leaders.select("key", "node") if led is None else led.unionByName(leaders.select("key", "node"))
+        other = leaders.select(F.col("key").alias("at"), F.col("node").alias("leader"), F.col("part").alias("leads"), F.col("n").alias("m"))
+        # Texts whose lengths are too far apart never meet.
+        near_length = F.least("n", "m") >= F.greatest("n", "m") * near
+        met = mixed.join(other, (F.col("key") == F.col("at")) & (F.col("part") != F.col("leads")) & near_length)
         pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        checked = _aligned(pairs, texts, near)
-        found = checked.where("linked").select("a", "b", "sig_a", "sig_b", "distance")
+        found = _aligned(pairs, texts, near).where("linked").select("a", "b", "sig_a", "sig_b", "distance")
         links = found if links is None else links.unionByName(found)
         done = pairs if done is None else done.unionByName(pairs)
-        # Still open: neither a leader nor linked with one of its bucket's leaders.
-        linked = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        joined = open_.join(leaders, "key").join(
-            linked.select(F.col("a").alias("node"), F.col("b").alias("leader"), F.lit(True).alias("ok")), ["node", "leader"], "left"
+        # Members that are connected by now need no further comparison.
+        parts = connected_components(links.select("a", "b")).select("node", F.col("component").alias("part"))
+        placed = materialise(
+            members.join(parts, "node", "left").select("node", "key", "n", F.coalesce("part", "node").alias("part")), "placed"
         )
-        rest = joined.groupBy("key", "node").agg(F.max(F.coalesce("ok", F.col("node") == F.col("leader"))).alias("ok"))
-        open_ = materialise(rest.where("not ok").select("node", "key"), "open")
         count *= MORE_LEADERS
     if links is None:
         return docs.sparkSession.createDataFrame([], "sig_a string, sig_b string, distance int")
