@@ -57,21 +57,37 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _hash_of(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Digest of the n words from each place; words past the end count as nothing."""
-    out = np.zeros(len(at), np.uint64)
-    for j in range(n):
-        inside = at + j < len(h)
-        out = _mixed(out + np.where(inside, h[np.minimum(at + j, len(h) - 1)], np.uint64(1)))
-    return out
+class _Digests:
+    """Digests of any run of a document's words, from one prefix sum.
+
+    The sum of word hash times base to the place, modulo 2 ** 64, of a run is
+    a difference of prefix sums; the inverse power moves it to place 0.
+    """
+
+    _base = np.uint64(0x9E3779B97F4A7C15)
+    _inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+    _up = _down = np.ones(1, np.uint64)
+
+    def __init__(self, h: np.ndarray):
+        if len(self._up) <= len(h):
+            size = 2 * len(h) + 1
+            for name, base in (("_up", self._base), ("_down", self._inverse)):
+                setattr(_Digests, name, np.cumprod(np.append(np.uint64(1), np.full(size, base)), dtype=np.uint64))
+        self.n = len(h)
+        self.sums = np.append(np.uint64(0), np.cumsum(h * self._up[: len(h)], dtype=np.uint64))
+
+    def at(self, places: np.ndarray, words: int) -> np.ndarray:
+        """Digests of the words from each place on; past the end they are shorter."""
+        lo, hi = np.minimum(places, self.n), np.minimum(places + words, self.n)
+        return _mixed((self.sums[hi] - self.sums[lo]) * self._down[lo] + (hi - lo).astype(np.uint64))
 
 
-def sample_places(h: np.ndarray) -> np.ndarray:
+def sample_places(digests: _Digests) -> np.ndarray:
     """Places whose k-mer is the least (the first of equal ones) of a window, with KEY_WORDS words left."""
-    n = len(h) - KMER + 1
-    if len(h) < MIN_WORDS:
+    n = digests.n - KMER + 1
+    if digests.n < MIN_WORDS:
         return np.empty(0, np.int64)
-    grams = _hash_of(h, np.arange(n), KMER)
+    grams = digests.at(np.arange(n), KMER)
     width = WINDOW - KMER + 1
     # The least of every window by doubling, as the rank of the k-mer at its place.
     rank = np.empty(n, np.int64)
@@ -85,7 +101,7 @@ def sample_places(h: np.ndarray) -> np.ndarray:
     place[rank] = np.arange(n)
     found = place[np.unique(least)]
     found.sort()
-    return found[found <= len(h) - KEY_WORDS]
+    return found[found <= digests.n - KEY_WORDS]
 
 
 def _samples(docs: DataFrame) -> DataFrame:
@@ -97,15 +113,15 @@ def _samples(docs: DataFrame) -> DataFrame:
             row, pos, key, blocks = [], [], [], [[] for _ in range(BLOCKS)]
             with np.errstate(over="ignore"):
                 for r, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
-                    h = flat[a:b]
-                    at = sample_places(h)
+                    digests = _Digests(flat[a:b])
+                    at = sample_places(digests)
                     if not len(at):
                         continue
                     row.append(np.full(len(at), r))
                     pos.append(at.astype(np.int32))
-                    key.append(_hash_of(h, at, KEY_WORDS).view(np.int64))
+                    key.append(digests.at(at, KEY_WORDS).view(np.int64))
                     for k in range(BLOCKS):
-                        digest = _hash_of(h, at + KEY_WORDS + k * BLOCK, BLOCK)
+                        digest = digests.at(at + KEY_WORDS + k * BLOCK, BLOCK)
                         blocks[k].append((digest >> np.uint64(32)).astype(np.uint32).view(np.int32))
             if row:
                 rows = pa.array(np.concatenate(row))
@@ -272,10 +288,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     ends = pairs.select(F.col("a_id").alias("doc_id"), F.col("a_sig").alias("tsig")).unionAll(
         pairs.select(F.col("b_id").alias("doc_id"), F.col("b_sig").alias("tsig"))
     ).distinct()
-    rows = _rows(docs)
+    # Words cross the network as numbers.
+    rows = _rows(docs).select("doc_id", "tsig", F.transform("words", lambda w: F.hash(w)).alias("w"))
     wanted = ends.select(F.col("doc_id").alias("__id"), F.col("tsig").alias("__sig"))
     same = (rows["tsig"] == wanted["__sig"]) & rows["doc_id"].eqNullSafe(wanted["__id"])
-    texts = rows.join(wanted, same, "left_semi").select("doc_id", "tsig", F.transform("words", lambda w: F.hash(w)).alias("w"))
+    texts = rows.join(wanted, same, "left_semi")
     texts = materialise(texts.dropDuplicates(["doc_id", "tsig"]), "suffix-words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
