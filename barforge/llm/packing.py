@@ -73,7 +73,8 @@ def with_offsets(tokens: DataFrame) -> DataFrame:
     # One row per partition of the input: a prefix sum over those few rows.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return tokens.join(bases, "part").withColumn("at", F.col("base") + F.col("first"))
+    # One row of 16 bytes per input partition, whatever the partitions hold.
+    return tokens.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("first"))
 
 
 def pack(
