@@ -109,13 +109,15 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         "line", F.length("line").alias("n"), F.xxhash64("line").alias("id"), _letters(F.col("line")).alias("letters")
     )
 
-    def side(name: str, places: list[tuple[int, int, int]]) -> DataFrame:
-        keys = segment_keys(F.col("line"), F.col("n"), places, edits)
-        each = texts.select(F.col("id").alias(f"i{name}"), F.col("letters").alias(f"l{name}"), F.explode_outer(keys).alias("key"))
-        # One shuffle by key; equal lines are dropped where they meet.
-        return each.repartition("key").dropDuplicates(["key", f"i{name}", f"l{name}"])
-
-    index, probe = side("a", index_places(edits)), side("b", probe_places(edits))
+    own = index_places(edits)
+    keys = segment_keys(F.col("line"), F.col("n"), [*own, *probe_places(edits)], edits)
+    each = texts.select("id", "letters", F.posexplode_outer(keys).alias("k", "key"))
+    each = each.withColumn("role", F.when(F.col("k") < len(own), 1).otherwise(2)).drop("k")
+    # One scan and one shuffle by key for both sides of the join; equal lines
+    # are one row where they meet, with the roles in which the key is theirs.
+    each = each.repartition("key").groupBy("key", "id", "letters").agg(F.bit_or("role").alias("roles"))
+    index = each.where(F.col("roles").bitwiseAND(F.lit(1)) != 0).select("key", F.col("id").alias("ia"), F.col("letters").alias("la"))
+    probe = each.where(F.col("roles").bitwiseAND(F.lit(2)) != 0).select("key", F.col("id").alias("ib"), F.col("letters").alias("lb"))
     near = _letter_distance(F.col("la"), F.col("lb")) <= 2 * edits
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("ia") != F.col("ib")) & near)
     pairs = materialise(met.select(F.least("ia", "ib").alias("ia"), F.greatest("ia", "ib").alias("ib")).distinct(), "line-pairs")
