@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from barforge.functions import bar_key, month_key, typical_price, week_key
 from barforge.operators import bars, incremental as inc, indicators as ind, quality, staging
-from barforge.operators.upsert import upsert
+from barforge.operators.upsert import dedup_by_key, upsert
 from barforge.schemas import BRONZE, conform
 from barforge.sources import fixtures as fx
-from barforge.sources.landing import normalize_landing, table_stats
+from barforge.sources.landing import normalize_landing, table_stats, to_bronze
 from barforge.sources.master import master_symbols
 from barforge.sources.storage import materialise
 
@@ -138,6 +138,12 @@ def _bronze() -> dict[str, Query]:
         "master_symbols": lambda s, d: master_symbols(fx.constituents(s, d)),
         "landing_normalized": lambda s, d: normalize_landing(fx.landing_all(s, d)),
         "nan_to_null": lambda s, d: normalize_landing(fx.landing_with_nan(s, d)),
+        # A feed without dividends and splits: what is there in order, the rest NULL.
+        "landing_tolerant": lambda s, d: to_bronze(
+            normalize_landing(fx.landing_all(s, d).drop("Dividends", "Stock Splits"))),
+        # First load: the de-duplicated source is the table.
+        "bronze_first_load": lambda s, d: _bronze_cols(dedup_by_key(
+            to_bronze(normalize_landing(fx.landing_all(s, d))), ["symbol", "date"], staging.DEDUP_ORDER)),
         "bronze_upsert": upserted,
         "table_stats": lambda s, d: table_stats(upserted(s, d)),
         "union_extracts": lambda s, d: _run(s, d).all_extracted,

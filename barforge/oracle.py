@@ -338,6 +338,10 @@ def _bronze() -> dict[str, str]:
                    CASE WHEN k % 7 = 3 AND dayofmonth(date) = 1 THEN NULL ELSE close END AS close,
                    volume, dividends, stock_splits, symbol
             FROM trades"""),
+        "landing_tolerant": with_("trades", """
+            SELECT date, open, high, low, close, volume, CAST(NULL AS DOUBLE) AS dividends,
+                   CAST(NULL AS DOUBLE) AS stock_splits, symbol FROM trades"""),
+        "bronze_first_load": with_("trade_stg", f"SELECT {STG_ORDER} FROM trade_stg"),
         "bronze_upsert": with_("upserted", "SELECT * FROM upserted"),
         "table_stats": with_("upserted", """
             SELECT COUNT(*) AS row_count, COUNT(DISTINCT symbol) AS symbol_count,
