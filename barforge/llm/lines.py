@@ -1,15 +1,18 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 A line counts as repeated if an earlier line (by document, then place) is
-equal or within ``MAX_EDITS`` edits.  Every distinct line of n characters is
-indexed by its MAX_EDITS + 1 segments; a line probes the indexes of its own
+equal or within the edit budget of the shorter of the two: ``MAX_EDITS`` from
+``MIN_CHARS`` characters on, below that the same share of the length, rounded
+down (1 from 10 characters on), so that it falls to 0 and the shortest lines
+repeat only if they are equal.  Every distinct line of n characters and budget
+e is indexed by its e + 1 segments; a line probes the indexes of its own
 length and of up to MAX_EDITS characters less, with just those substrings that
 a match can shift to (the multi-match-aware window of segment joins).  Lines
 that share a segment and whose letter counts can be that near are candidates;
 they are verified by ``levenshtein`` with its threshold, which computes the
 band around the diagonal only.
 
-Lines of fewer than ``MIN_CHARS`` characters and blank lines are left alone.
+Every line takes part but blank ones, which are left alone.
 Equal lines are gathered first, so a line in a third of all documents is one
 row of the join.  The letter counts are part of the join's condition: rows
 that cannot match are not made, also in a large group with a common segment.
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from barforge.llm.common import materialise
 
 MAX_EDITS = 2
+#: Characters from which a line has all its edits.
 MIN_CHARS = 20
 #: Letters that are counted for the filter (fixed: frequent ones of Latin scripts).
 COUNTED = "entairos"
@@ -48,21 +52,39 @@ def probe_places(edits: int = MAX_EDITS) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(line: Column, n: Column, places: list[tuple[int, int, int]], edits: int = MAX_EDITS) -> Column:
-    """A key per place: hash of the length, the segment's number (from 1) and its text.
+def edit_budget(n: Column, edits: int = MAX_EDITS) -> Column:
+    """Edits by which a line of n characters may differ from one as long or longer."""
+    return F.least(F.lit(edits), F.floor(n * edits / MIN_CHARS).cast("int"))
 
-    The last segments of a line take the remainder of its length.  One lambda
-    over the places keeps the compiled code small.
+
+def segment_keys(line: Column, n: Column, edits: int = MAX_EDITS) -> Column:
+    """Key and role (1 indexed, 2 probing) of every place: hash of the length, the segment's number (from 1) and its text.
+
+    Only places whose indexed length has the budget they were made for; the
+    last segments of a line take the remainder of its length.  One lambda over
+    the places keeps the compiled code small.
     """
-    k = edits + 1
-    wanted = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("less", "i", "shift"), p))) for p in places))
+    names = ("less", "i", "shift", "budget", "role")
+    places = [
+        (*p, budget, role)
+        for budget in range(1, edits + 1)
+        for role, some in ((1, index_places(budget)), (2, probe_places(budget)))
+        for p in some
+    ]
+
+    def array(some: list[tuple[int, ...]]) -> Column:
+        return F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(names, p))) for p in some))
+
+    wanted = F.when(n >= MIN_CHARS + edits, array([p for p in places if p[3] == edits])).otherwise(
+        F.filter(array(places), lambda p: edit_budget(n - p["less"], edits) == p["budget"])
+    )
 
     def key(p: Column) -> Column:
-        length = n - p["less"]
+        length, k = n - p["less"], p["budget"] + 1
         base, longer = F.floor(length / k).cast("int"), (length % k).cast("int")
         start = 1 + (p["i"] - 1) * base + F.greatest(F.lit(0), p["i"] - 1 - (k - longer)) + p["shift"]
         size = base + F.when(p["i"] > k - longer, 1).otherwise(0)
-        return F.xxhash64(length, p["i"], F.substring(line, start, size))
+        return F.struct(F.xxhash64(length, p["i"], F.substring(line, start, size)).alias("key"), p["role"].alias("role"))
 
     return F.transform(wanted, key)
 
@@ -96,7 +118,7 @@ def _lines(docs: DataFrame) -> DataFrame:
         # An outer explode: an inner one would split the texts again for a filter.
         F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"),
     )
-    return rows.where((F.length("line") >= MIN_CHARS) & F.col("line").rlike(r"\S"))
+    return rows.where(F.col("line").rlike(r"\S"))
 
 
 def _digest(line: Column) -> Column:
@@ -109,10 +131,9 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         "line", F.length("line").alias("n"), F.xxhash64("line").alias("id"), _letters(F.col("line")).alias("letters")
     )
 
-    own = index_places(edits)
-    keys = segment_keys(F.col("line"), F.col("n"), [*own, *probe_places(edits)], edits)
-    each = texts.select("id", "letters", F.posexplode_outer(keys).alias("k", "key"))
-    each = each.withColumn("role", F.when(F.col("k") < len(own), 1).otherwise(2)).drop("k")
+    long_enough = texts.where(edit_budget(F.col("n"), edits) > 0)
+    keys = segment_keys(F.col("line"), F.col("n"), edits)
+    each = long_enough.select("id", "letters", F.explode_outer(keys).alias("at")).select("id", "letters", "at.key", "at.role")
     # One scan and one shuffle by key for both sides of the join; equal lines
     # are one row where they meet, with the roles in which the key is theirs.
     each = each.repartition("key").groupBy("key", "id", "letters").agg(F.bit_or("role").alias("roles"))
@@ -125,7 +146,8 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     found = materialise(texts.join(wanted, "id", "left_semi").select("id", "line").distinct(), "line-texts")
     both = pairs.join(found.select(F.col("id").alias("ia"), F.col("line").alias("x")), "ia")
     both = both.join(found.select(F.col("id").alias("ib"), F.col("line").alias("y")), "ib")
-    measured = both.select("x", "y", F.levenshtein("x", "y", edits).alias("edits")).where("edits between 1 and " + str(edits))
+    most = edit_budget(F.least(F.length("x"), F.length("y")), edits)
+    measured = both.select("x", "y", F.levenshtein("x", "y", edits).alias("edits"), most.alias("most")).where("edits between 1 and most")
     return measured.select(_digest(F.col("x")).alias("a"), _digest(F.col("y")).alias("b"), "edits")
 
 
