@@ -1,17 +1,18 @@
 """Passages that repeat across documents: a sparse suffix array over words.
 
-Only suffixes at content-selected places are kept: a place is sampled if its
-k-mer of words is the least of some window, so equal passages sample equal
-places, and every passage of ``MIN_WORDS`` words has a sample that is followed
-by at least ``KEY_WORDS`` more of its words.  Samples are sorted over all
-partitions by their text (digests of the first words and of the next blocks),
-and a suffix is compared with the neighbours that share the most blocks with
-it: the first of them, so that many copies refer to the same document.  Every
-such pair of documents is then matched along its diagonal, to the left and to
-the right, and the matches of at least ``MIN_WORDS`` words are kept.
-
-A very frequent passage is spread over several partitions by the sort; the
-ends of neighbouring partitions are compared in a second step.
+Only suffixes at content-selected places are kept: every window of
+``MIN_WORDS`` words is assigned the place whose k-mer is the least of its first
+``WINDOW`` words, so equal windows are assigned equal places, each followed by
+at least ``KEY_WORDS`` more words of the window.  A window can repeat only if
+the first words of its suffix (the key) stand in two documents.  Where they do,
+the windows assigned to the suffix are told apart by a digest of all their
+words, to the left of the place as well as to the right, and those that two
+documents hold are kept.  No partner is chosen, so none can hide another.
+
+Suffixes are sorted by key over all partitions, and windows by digest, both
+with the document behind, so that a very frequent passage is spread over
+several partitions by the sort; a task holds the rows of one document at a
+time, and the ends of partitions are compared in a second step.
 
 Words are runs of letters and digits in lower case; spans are word offsets.
 Defined cases: null and empty texts have no passages; rows that are equal in
@@ -27,8 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barforge.llm.common import materialise
@@ -38,13 +38,13 @@ MIN_WORDS = 50
 WINDOW = 32
 KEY_WORDS = MIN_WORDS - WINDOW + 1
 KMER = 4
-#: Words of each further block by which suffixes are ordered.
-BLOCK, BLOCKS = 8, 4
-#: Suffixes with one key that a task compares at a time.
+#: Windows that a task holds before it hands them on.
 MAX_HELD = 200_000
 _MIX = np.uint64(0x94D049BB133111EB)
-_ORDER = ["key", *(f"b{k}" for k in range(BLOCKS)), "doc_id", "tsig", "pos"]
-_SAMPLES = "doc_id long, tsig long, pos int, key long, " + ", ".join(f"b{k} int" for k in range(BLOCKS))
+_ROWS = "doc_id long, tsig long, key long, first int, stop int"
+_NAMES = ["doc_id", "tsig", "key", "first", "stop"]
+#: What is known of a row: another document holds its key; the rows beyond the partition's end tell; the row is such an end.
+SHARED, OPEN, EDGE = 0, 1, 2
 
 
 def words(text: Column) -> Column:
@@ -82,11 +82,11 @@ class _Digests:
         return _mixed((self.sums[hi] - self.sums[lo]) * self._down[lo] + (hi - lo).astype(np.uint64))
 
 
-def sample_places(digests: _Digests) -> np.ndarray:
-    """Places whose k-mer is the least (the first of equal ones) of a window, with KEY_WORDS words left."""
+def sample_places(digests: _Digests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places whose k-mer is the least (the first of equal ones) of a window's first words, and the windows (first, stop) of each."""
     n = digests.n - KMER + 1
     if digests.n < MIN_WORDS:
-        return np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 3
     grams = digests.at(np.arange(n), KMER)
     width = WINDOW - KMER + 1
     # The least of every window by doubling, as the rank of the k-mer at its place.
@@ -99,9 +99,9 @@ def sample_places(digests: _Digests) -> np.ndarray:
     least = np.minimum(least[: n - width + 1], least[width - span: n - span + 1])
     place = np.empty(n, np.int64)
     place[rank] = np.arange(n)
-    found = place[np.unique(least)]
-    found.sort()
-    return found[found <= digests.n - KEY_WORDS]
+    chosen = place[least[: digests.n - MIN_WORDS + 1]]
+    first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+    return chosen[first], first, np.append(first[1:], len(chosen))
 
 
 def _samples(docs: DataFrame) -> DataFrame:
@@ -110,29 +110,27 @@ def _samples(docs: DataFrame) -> DataFrame:
             column = batch.column(2)
             flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
-            row, pos, key, blocks = [], [], [], [[] for _ in range(BLOCKS)]
+            row, key, first, stop = [], [], [], []
             with np.errstate(over="ignore"):
                 for r, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
                     digests = _Digests(flat[a:b])
-                    at = sample_places(digests)
+                    at, lo, hi = sample_places(digests)
                     if not len(at):
                         continue
                     row.append(np.full(len(at), r))
-                    pos.append(at.astype(np.int32))
                     key.append(digests.at(at, KEY_WORDS).view(np.int64))
-                    for k in range(BLOCKS):
-                        digest = digests.at(at + KEY_WORDS + k * BLOCK, BLOCK)
-                        blocks[k].append((digest >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                    first.append(lo.astype(np.int32))
+                    stop.append(hi.astype(np.int32))
             if row:
                 rows = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), batch.column(1).take(rows)]
-                    + [pa.array(np.concatenate(x)) for x in (pos, key, *blocks)],
-                    names=["doc_id", "tsig", "pos", "key", *(f"b{k}" for k in range(BLOCKS))],
+                    + [pa.array(np.concatenate(x)) for x in (key, first, stop)],
+                    names=_NAMES,
                 )
 
     hashed = _rows(docs).select("doc_id", "tsig", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    return materialise(hashed.mapInArrow(run, _SAMPLES), "suffix-samples")
+    return materialise(hashed.mapInArrow(run, _ROWS), "suffix-samples")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -141,201 +139,127 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-_PAIRS = (
-    "a_id long, a_sig long, a_pos int, b_id long, b_sig long, b_pos int, "
-    "part int, edge int, key long"
-)
-
-
-def _partners(block: dict[str, np.ndarray]) -> np.ndarray:
-    """For each suffix the first other document's suffix that shares the most blocks; -1 if none shares the key."""
-    n = len(block["key"])
-    doc = block["doc"]
-    partner = np.full(n, -1, np.int64)
-    same = np.ones(n, bool)  # with the one before, up to this block
-    same[0] = False
-    for name in ["key", *(f"b{k}" for k in range(BLOCKS))]:
-        column = block[name]
-        same[1:] &= column[1:] == column[:-1]
-        starts = np.flatnonzero(~same)
-        group = np.cumsum(~same) - 1
-        sizes = np.diff(np.append(starts, n))
-        # The group's least document number, and the least of the others.
-        least = np.minimum.reduceat(doc, starts)
-        others = np.where(doc == least[group], np.iinfo(np.int64).max, doc)
-        second = np.minimum.reduceat(others, starts)
-        shared = second[group] < np.iinfo(np.int64).max
-        chosen = np.where(doc == least[group], second[group], least[group])
-        # The place of the chosen document's first suffix in the group.
-        big = sizes[group] > 1
-        rows = np.flatnonzero(shared & big)
-        if not len(rows):
-            break
-        order = np.lexsort((np.arange(n), doc, group))
-        place = np.searchsorted(_joint(group[order], doc[order]), _joint(group[rows], chosen[rows]))
-        partner[rows] = order[place]
-    return partner
-
-
-def _joint(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    return group * (1 << 31) + doc
-
-
-def _compare(samples: DataFrame) -> DataFrame:
-    """Pairs of suffixes to match, and the first and last suffix of every partition (edge 1 and 2)."""
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition, sorted by key and document, whose key two documents hold or may hold, with ``state``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, first, last = TaskContext.get().partitionId(), None, None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            key = table["key"].to_numpy()
-            first = table.slice(0, 1) if first is None else first
-            last = table.slice(table.num_rows - 1, 1)
-            # The last key may go on in the next batch.
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield from pairs(table.slice(0, cut), part)
-                table = table.slice(cut)
-            elif table.num_rows > MAX_HELD:
-                # One very frequent key: go on from its last suffix, which links both pieces.
-                yield from pairs(table, part)
-                table = last
-            held = table.combine_chunks().to_batches()[0]
-        if held is not None:
-            yield from pairs(pa.Table.from_batches([held]), part)
-            for edge, one in ((1, first), (2, last)):
-                yield from _edge(one, part, edge)
-
-    def pairs(table: pa.Table, part: int) -> Iterator[pa.RecordBatch]:
-        columns = {k: table[k].to_numpy() for k in ("key", "pos", *(f"b{j}" for j in range(BLOCKS)))}
-        ids = table["doc_id"].combine_chunks()
-        sig = table["tsig"].to_numpy()
-        known = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
-        order = np.lexsort((sig, known))
-        new = np.append(True, (np.diff(known[order]) != 0) | (np.diff(sig[order]) != 0))
-        doc = np.empty(len(sig), np.int64)
-        doc[order] = np.cumsum(new) - 1
-        partner = _partners(columns | {"doc": doc})
-        a = np.flatnonzero(partner >= 0)
-        b = partner[a]
-        if len(a):
-            n = len(a)
+    def out(table: pa.Table, state: int) -> Iterator[pa.RecordBatch]:
+        for batch in table.combine_chunks().to_batches():
             yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(a)), pa.array(sig[a]), pa.array(columns["pos"][a]),
-                    ids.take(pa.array(b)), pa.array(sig[b]), pa.array(columns["pos"][b]),
-                    pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, np.int32)), pa.array(columns["key"][a]),
-                ],
-                names=_NAMES,
+                [*batch.columns, pa.array(np.full(batch.num_rows, state, np.int32))], names=[*_NAMES, "state"]
             )
 
-    ordered = samples.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
-    return materialise(ordered.mapInArrow(run, _PAIRS), "suffix-pairs")
-
-
-_NAMES = ["a_id", "a_sig", "a_pos", "b_id", "b_sig", "b_pos", "part", "edge", "key"]
-
-
-def _edge(one: pa.Table, part: int, edge: int) -> Iterator[pa.RecordBatch]:
-    own = [one[k].combine_chunks() for k in ("doc_id", "tsig", "pos")]
-    yield pa.RecordBatch.from_arrays(
-        [*own, *own, pa.array([part], pa.int32()), pa.array([edge], pa.int32()), one["key"].combine_chunks()], names=_NAMES
-    )
-
-
-def _all_pairs(compared: DataFrame) -> DataFrame:
-    """Diagonals (a, b, shift) to match, with those across the ends of partitions."""
-    inside = compared.where("edge = 0").select("a_id", "a_sig", "b_id", "b_sig", (F.col("a_pos") - F.col("b_pos")).alias("shift"))
-    # Two rows per partition: the last of one beside the first of the next.
-    edges = compared.where("edge > 0")
-    along = Window.orderBy("part", "edge")
-    across = edges.select(
-        "a_id", "a_sig", "a_pos", "edge", "key",
-        *(F.lag(c).over(along).alias(f"l_{c}") for c in ("a_id", "a_sig", "a_pos", "key")),
-    ).where("edge = 1 and key = l_key and (a_sig <> l_a_sig or not (a_id <=> l_a_id))")
-    across = across.select(
-        "a_id", "a_sig", F.col("l_a_id").alias("b_id"), F.col("l_a_sig").alias("b_sig"),
-        (F.col("a_pos") - F.col("l_a_pos")).alias("shift"),
+    # Of the last key so far: its first row, its rows as long as they are of one document, whether there are more documents.
+    lead, held, several, begun, last = None, None, False, False, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        goes_on = lead is not None and lead["key"][0].as_py() == table["key"][0].as_py()
+        if lead is not None and not goes_on:
+            # The key of the batch before has ended with it.
+            if not begun:
+                yield from out(pa.concat_tables([lead, last]), EDGE)
+                if held is not None:
+                    yield from out(held, OPEN)
+                begun = True
+            lead, held, several = None, None, False
+        if held is not None:
+            table = pa.concat_tables([held, table]).combine_chunks()
+        key, sig = table["key"].to_numpy(), table["tsig"].to_numpy()
+        ids = table["doc_id"].combine_chunks()
+        known, none = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), pc.is_null(ids).to_numpy(zero_copy_only=False)
+        same = key[1:] == key[:-1]
+        other = same & ((sig[1:] != sig[:-1]) | (known[1:] != known[:-1]) | (none[1:] != none[:-1]))
+        starts = np.flatnonzero(np.append(True, ~same))
+        ends = np.append(starts[1:], table.num_rows)
+        more = np.logical_or.reduceat(np.append(False, other), starts)
+        more[0] |= several
+        yield from out(table.filter(pa.array(np.repeat(more, ends - starts))), SHARED)
+        if lead is None:
+            lead = table.slice(0, 1)
+        if len(starts) > 1:
+            if not begun:
+                yield from out(pa.concat_tables([lead, table.slice(int(ends[0]) - 1, 1)]), EDGE)
+                if not more[0]:
+                    yield from out(table.slice(0, int(ends[0])), OPEN)
+                begun = True
+            lead = table.slice(int(starts[-1]), 1)
+        several = bool(more[-1])
+        held = None if several else table.slice(int(starts[-1]))
+        last = table.slice(table.num_rows - 1, 1)
+    if lead is not None:
+        yield from out(pa.concat_tables([lead, last]), EDGE)
+        if held is not None:
+            yield from out(held, OPEN)
+
+
+def _held_by_two(rows: DataFrame, name: str) -> DataFrame:
+    """The rows whose key rows of another document hold too: doc_id, tsig, first, stop."""
+    order = ["key", "tsig", "doc_id", "first"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = ordered.mapInArrow(_marked, f"{_ROWS}, state int")
+    # A key that is decided is not needed any more.
+    marked = materialise(marked.withColumn("key", F.when(F.col("state") != SHARED, F.col("key"))), name)
+    # At most four rows of each partition.
+    document = F.struct("tsig", "doc_id")
+    across = marked.where(F.col("state") == EDGE).groupBy("key").agg(F.min(document).alias("least"), F.max(document).alias("most"))
+    across = across.where("not (least <=> most)").select("key")
+    undecided = marked.where(F.col("state") == OPEN).join(across, "key", "left_semi")
+    columns = ["doc_id", "tsig", "first", "stop"]
+    return marked.where(F.col("state") == SHARED).select(columns).unionByName(undecided.select(columns))
+
+
+def _windows(docs: DataFrame) -> DataFrame:
+    """Every window (first to stop - 1) whose suffix's key another document holds too, with its digest as the key."""
+    shared = _held_by_two(_samples(docs), "suffix-shared")
+    wanted = shared.groupBy(F.col("doc_id").alias("__id"), F.col("tsig").alias("__sig")).agg(
+        F.collect_set(F.struct("first", "stop")).alias("runs")
     )
-    both = inside.unionByName(across)
-    # Each diagonal once: the lesser document first.
-    less = F.struct("a_id", "a_sig") <= F.struct("b_id", "b_sig")
-    swapped = [F.when(less, F.col(f"{x}_{c}")).otherwise(F.col(f"{y}_{c}")).alias(f"{x}_{c}") for x, y in ("ab", "ba") for c in ("id", "sig")]
-    return both.select(*swapped, F.when(less, F.col("shift")).otherwise(-F.col("shift")).alias("shift")).distinct()
-
-
-def matches_on(x: np.ndarray, y: np.ndarray, shift: int, least: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(start in x, start in y, length) of the maximal equal runs where x's place is y's plus shift."""
-    lo = max(0, shift)
-    n = min(len(x) - lo, len(y) - (lo - shift))
-    if n < least:
-        return []
-    equal = np.zeros(n + 2, np.int8)
-    equal[1:-1] = x[lo: lo + n] == y[lo - shift: lo - shift + n]
-    turn = np.diff(equal)
-    start, stop = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
-    return [(lo + a, lo - shift + a, b - a) for a, b in zip(start.tolist(), stop.tolist()) if b - a >= least]
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, tsig, ``spans`` (sorted array of start, end in words): words in passages that other documents hold too.
-
-    One row per document that has such a passage.
-    """
-    pairs = materialise(_all_pairs(_compare(_samples(docs))), "suffix-diagonals")
-    ends = pairs.select(F.col("a_id").alias("doc_id"), F.col("a_sig").alias("tsig")).unionAll(
-        pairs.select(F.col("b_id").alias("doc_id"), F.col("b_sig").alias("tsig"))
-    ).distinct()
     # Words cross the network as numbers.
     rows = _rows(docs).select("doc_id", "tsig", F.transform("words", lambda w: F.hash(w)).alias("w"))
-    wanted = ends.select(F.col("doc_id").alias("__id"), F.col("tsig").alias("__sig"))
     same = (rows["tsig"] == wanted["__sig"]) & rows["doc_id"].eqNullSafe(wanted["__id"])
-    texts = rows.join(wanted, same, "left_semi")
-    texts = materialise(texts.dropDuplicates(["doc_id", "tsig"]), "suffix-words")
+    texts = rows.join(wanted, same).select("doc_id", "tsig", "w", "runs.first", "runs.stop")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[] for _ in range(4)]
-            xs, ys = batch.column(4), batch.column(5)
-            columns = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 6))
-            for k, (a_id, a_sig, b_id, b_sig, shift) in enumerate(zip(*columns)):
-                x, y = xs[k].values.to_numpy(), ys[k].values.to_numpy()
-                for a, b, n in matches_on(x, y, shift):
-                    for values in ((a_id, a_sig, a, a + n), (b_id, b_sig, b, b + n)):
-                        for column, value in zip(out, values):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                names=["doc_id", "tsig", "start", "end"],
-            )
+            row, start, digest, held = [], [], [], 0
 
-    def side(k: str) -> DataFrame:
-        return texts.select(F.col("doc_id").alias(f"__{k}i"), F.col("tsig").alias(f"__{k}s"), F.col("w").alias(f"w{k}"))
-
-    joined = pairs
-    for k in "ab":
-        other = side(k)
-        joined = joined.join(other, (joined[f"{k}_sig"] == other[f"__{k}s"]) & joined[f"{k}_id"].eqNullSafe(other[f"__{k}i"]))
-    found = joined.select("a_id", "a_sig", "b_id", "b_sig", "wa", "wb", "shift").mapInArrow(
-        run, "doc_id long, tsig long, start int, end int"
-    )
-    lists = found.groupBy("doc_id", "tsig").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("all"))
-    return lists.select("doc_id", "tsig", _merged(F.col("all")).alias("spans"))
+            def out() -> pa.RecordBatch:
+                rows = pa.array(np.concatenate(row))
+                columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
+                at = np.concatenate(start).astype(np.int32)
+                columns += [pa.array(np.concatenate(digest).view(np.int64)), pa.array(at), pa.array(at + np.int32(1))]
+                return pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+            for r in range(batch.num_rows):
+                w, first, stop = (batch.column(k)[r].values.to_numpy() for k in (2, 3, 4))
+                at = np.concatenate([np.arange(a, b) for a, b in zip(first.tolist(), stop.tolist())])
+                with np.errstate(over="ignore"):
+                    digest.append(_Digests(_mixed(w.astype(np.int64).view(np.uint64) + _MIX)).at(at, MIN_WORDS))
+                row.append(np.full(len(at), r))
+                start.append(at)
+                held += len(at)
+                if held >= MAX_HELD:
+                    yield out()
+                    row, start, digest, held = [], [], [], 0
+            if row:
+                yield out()
 
+    return materialise(texts.mapInArrow(run, _ROWS), "suffix-windows")
 
-def _merged(spans: Column) -> Column:
-    """Sorted spans with overlapping and touching ones joined."""
-    none = F.array().cast("array<struct<start:int,end:int>>")
 
-    def add(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        one = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        joins = (F.size(done) > 0) & (s["start"] <= F.try_element_at(done, F.lit(-1))["end"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(one))).otherwise(F.concat(done, F.array(s)))
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, tsig, ``spans`` (sorted array of start, end in words): words in passages that other documents hold too.
 
-    return F.aggregate(spans, none, add)
+    One row per document that has such a passage.
+    """
+    found = _held_by_two(_windows(docs), "suffix-found")
+    starts = found.groupBy("doc_id", "tsig").agg(F.array_sort(F.collect_set("first")).alias("starts"))
+    # Windows that follow each other are one span.
+    ahead = F.filter("starts", lambda s, k: (k == 0) | (F.get("starts", k - 1) + MIN_WORDS < s))
+    last = F.filter("starts", lambda s, k: (k == F.size("starts") - 1) | (s + MIN_WORDS < F.get("starts", k + 1)))
+    spans = F.zip_with("heads", "tails", lambda a, b: F.struct(a.alias("start"), (b + MIN_WORDS).alias("end")))
+    return starts.select("doc_id", "tsig", ahead.alias("heads"), last.alias("tails")).select("doc_id", "tsig", spans.alias("spans"))
 
 
 def report(spans: DataFrame) -> DataFrame:
