@@ -8,9 +8,11 @@ well as on their number, so they follow edit similarity.  Documents of at most
 ``SHORT`` k-mers are sampled with fewer picks; documents near that length are
 sampled both ways.
 
-Equal word sequences form one class before anything else.  A bucket of equal
-samples is never expanded into its pairs: its members are aligned with one
-leader.  While a bucket holds more than one connected component, members
+Equal word sequences form one class before anything else.  For the links of
+a class every pair of classes that share a sample is aligned once; copies are
+not expanded.  Where only groups are asked for (``drop_near``), a bucket of
+equal samples is not expanded into its pairs either: its members are aligned
+with one leader.  While a bucket holds more than one connected component, members
 outside its least component lead in turn and are aligned with the members of
 the other components, so no connection inside a bucket is lost.  Two classes
 are linked if their word-level edit distance is at most (1 - NEAR) of the longer;
@@ -157,8 +159,19 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
     return materialise(out, "alignments")
 
 
-def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR) -> DataFrame:
-    """Verified links (sig_a, sig_b, distance) between classes of equal word sequences."""
+def _candidates(members: DataFrame, near: float) -> DataFrame:
+    """Every pair (a, b) of classes that share a sample and whose lengths can be near, once."""
+    other = members.select(F.col("key").alias("at"), F.col("node").alias("b"), F.col("n").alias("m"))
+    near_length = F.least("n", "m") >= F.greatest("n", "m") * near
+    met = members.join(other, (F.col("key") == F.col("at")) & (F.col("node") < F.col("b")) & near_length)
+    return materialise(met.select(F.col("node").alias("a"), "b").distinct(), "pairs")
+
+
+def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole: bool = True) -> DataFrame:
+    """Verified links (sig_a, sig_b, distance) between classes of equal word sequences.
+
+    All links of the candidates, or (``whole`` False) enough of them to connect the groups.
+    """
     nodes = sketches.where("sig is not null").groupBy("sig").agg(F.first("node").alias("node"), F.min("doc_id").alias("doc_id"))
     keyed = sketches.where("sig is not null").select("node", "n", F.explode("keys").alias("key")).distinct()
     keyed = materialise(keyed, "keys")
@@ -175,6 +188,10 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR) -> Data
     texts = texts.join(wanted, same).select(wanted["node"], wanted["sig"], "words").dropDuplicates(["node", "sig"])
     texts = materialise(texts, "class-words")
 
+    if whole:
+        found = _aligned(_candidates(members, near), texts, near).where("linked")
+        return found.select("sig_a", "sig_b", "distance").distinct()
+
     links, done, led, count = None, None, None, FIRST_LEADERS
     placed = members.withColumn("part", F.col("node"))
     while True:
@@ -214,14 +231,15 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR) -> Data
     return links.select("sig_a", "sig_b", "distance").distinct()
 
 
-def near_groups(docs: DataFrame, near: float = NEAR) -> DataFrame:
+def near_groups(docs: DataFrame, near: float = NEAR, whole: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, group_id, links of its class, and ``sig``.
 
-    ``class_id`` and ``group_id`` are the least ``doc_id`` with the same words
+    ``links`` counts the other classes that the class is near to, if ``whole``;
+    else only links that connect the group.  ``class_id`` and ``group_id`` are the least ``doc_id`` with the same words
     and in the same connected component; without words the row's own.
     """
     sketches = _sketched(docs)
-    links = materialise(near_links(docs, sketches, near), "near-links")
+    links = materialise(near_links(docs, sketches, near, whole), "near-links")
     parts = connected_components(links.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")))
     ends = links.select(F.col("sig_a").alias("sig")).unionAll(links.select(F.col("sig_b").alias("sig")))
     degree = ends.groupBy("sig").agg(F.count(F.lit(1)).alias("links"))
@@ -244,7 +262,7 @@ def drop_near(docs: DataFrame, near: float = NEAR) -> DataFrame:
 
     Documents without a word all stay.
     """
-    groups = near_groups(docs, near).where("sig is not null")
+    groups = near_groups(docs, near, whole=False).where("sig is not null")
     # The least (doc_id, digest) of a group: null ids count as the largest.
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("sig").alias("digest"))
     kept = groups.groupBy("component").agg(F.min(order).alias("least"))
