@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barforge.llm import decontaminate, imatch, langid, lines, order_minhash, packing, quality, secrets, suffixes, wavelet
+from barforge.llm import (
+    decontaminate, filter_audit, imatch, langid, lines, order_minhash, packing, quality, secrets, sharding, suffixes,
+    token_alignment, wavelet,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +65,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(_documents(spark, sf_dir)))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(_documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(
+        _documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_order_minhash, op2_pu_quality, op3_decontaminate, op4_ppm_language, op5_packing, op6_line_join,
-        op7_sparse_suffixes, op8_imatch, op9_wavelet_tokens, op10_secrets,
+        op7_sparse_suffixes, op8_imatch, op9_wavelet_tokens, op10_secrets, op11_filter_audit, op12_sharding, op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_join": lines.oracle(), "op8_imatch": imatch.oracle(), "op10_secrets": secrets.oracle()}
+    return {
+        "op6_line_join": lines.oracle(), "op8_imatch": imatch.oracle(), "op10_secrets": secrets.oracle(),
+        "op11_filter_audit": filter_audit.oracle(),
+    }
