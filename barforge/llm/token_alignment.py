@@ -41,9 +41,11 @@ from barforge.llm.common import materialise
 from barforge.llm.word_cache import _BYTE_SYMBOLS, Encoder
 
 #: Characters of text in a block, unless a single text is longer.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
+#: Rows of a batch that become Python texts at a time.
+SLICE_ROWS = 500
 #: Windows held by the memo before it starts anew.
-MEMO_WINDOWS = 400_000
+MEMO_WINDOWS = 150_000
 SPACE_MARK = "▁"
 #: Marks the ids of B in a window's key, so that a key tells both tuples apart.
 _B_FLAG = np.uint32(1 << 31)
@@ -277,14 +279,14 @@ def align_blocks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, both = TaskContext.get().partitionId(), aligner(a_path, b_path)
         number, ids, texts, size = 0, [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text or "")
-                if size >= BLOCK_CHARS:
-                    yield _block_rows(part << 32 | number, ids, both.align(texts), keep_groups)
-                    number, ids, texts, size = number + 1, [], [], 0
+        slices = (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS))
+        for doc_id, text in (row for s in slices for row in zip(*(c.to_pylist() for c in s.columns))):
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text or "")
+            if size >= BLOCK_CHARS:
+                yield _block_rows(part << 32 | number, ids, both.align(texts), keep_groups)
+                number, ids, texts, size = number + 1, [], [], 0
         if ids:
             yield _block_rows(part << 32 | number, ids, both.align(texts), keep_groups)
 
