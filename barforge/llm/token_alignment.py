@@ -2,11 +2,11 @@
 
 Every text is tokenised whole by both tokenizers: A, a byte-level BPE, on a
 space and the text, and B, a SentencePiece model that adds the space itself.
-The bytes of both token rows are compared with the text's.  Where both have a
-token end and the next tokens begin with a space mark, the text is cut (the
-anchors); between anchors lie windows, mostly one word.  A window's alignment
-depends on its token ids only, so it is worked out once for every pair of id
-tuples and kept in a bounded memo.  In a window, A and B tokens are cut into
+Where both have a token end and the next tokens begin with a space mark, the
+text is cut (the anchors); between anchors lie windows, mostly one word.  A
+window's alignment depends on its token ids only, so it is worked out, and its
+bytes of A and B compared, once for every pair of id tuples and kept in a
+bounded memo; the bytes of A are compared with the whole text.  In a window, A and B tokens are cut into
 groups where both end, and a link is a pair of tokens whose bytes overlap.
 
 Corpus counts of linked id pairs: tasks write their documents in blocks of
@@ -27,6 +27,7 @@ so other columns may have any names.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from collections.abc import Iterator
@@ -44,8 +45,8 @@ from barforge.llm.word_cache import _BYTE_SYMBOLS, Encoder
 BLOCK_CHARS = 1_000_000
 #: Rows of a batch that become Python texts at a time.
 SLICE_ROWS = 500
-#: Windows held by the memo before it starts anew.
-MEMO_WINDOWS = 150_000
+#: Windows of a generation of the memo.
+MEMO_WINDOWS = 100_000
 SPACE_MARK = "▁"
 #: Marks the ids of B in a window's key, so that a key tells both tuples apart.
 _B_FLAG = np.uint32(1 << 31)
@@ -70,8 +71,13 @@ class ByteTokenizer:
         ranks = {token: i for i, token in self.tokens.items()}
         self.encoding = tiktoken.Encoding("from-file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def token_ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encoding.encode_ordinary(" " + t), np.uint32) for t in texts]
+    def token_ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of a space and each text; None if they do not spell it out."""
+        out = []
+        for t in texts:
+            ids = self.encoding.encode_ordinary(" " + t)
+            out.append(np.array(ids, np.uint32) if self.encoding.decode_bytes(ids) == (" " + t).encode() else None)
+        return out
 
 
 class PieceTokenizer(Encoder):
@@ -136,7 +142,9 @@ class Aligner:
         self.a, self.b = ByteTokenizer(a_path), PieceTokenizer(b_path)
         self.a_size, self.b_size = (self._table(t.tokens, len) for t in (self.a, self.b))
         self.a_space = self._table(self.a.tokens, lambda token: token[:1] == b" ").astype(bool)
-        self._forget()
+        #: Two generations of windows: groups as text, their number, links (A id in the high half of each).
+        self.new: dict[bytes, tuple[str, int, bytes] | None] = {}
+        self.old: dict[bytes, tuple[str, int, bytes] | None] = {}
 
     @staticmethod
     def _table(tokens: dict[int, bytes], of) -> np.ndarray:
@@ -144,85 +152,94 @@ class Aligner:
         out[list(tokens)] = [of(t) for t in tokens.values()]
         return out
 
-    def _forget(self) -> None:
-        self.memo: dict[bytes, int] = {}
-        #: Per window: its groups as text, their number, and its links (A id in the high half).
-        self.texts: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[bytes] = []
-
     def _tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B; none for a text that either of them does not spell out."""
+        """Ids of A and B; none for a text that A does not spell out, or B not in as many bytes."""
         none = np.empty(0, np.uint32)
         a, b = [none] * len(texts), [none] * len(texts)
         some = [k for k, t in enumerate(texts) if t]
-        both = zip(some, self.a.token_ids([texts[k] for k in some]), self.b.token_ids([texts[k] for k in some]))
-        for k, x, y in both:
-            data = (" " + texts[k]).encode()
-            spelled = (b"".join(map(t.__getitem__, ids.tolist())) for t, ids in ((self.a.tokens, x), (self.b.tokens, y)))
-            if all(s == data for s in spelled):
+        spelled = self.a.token_ids([texts[k] for k in some])
+        for k, x, y in zip(some, spelled, self.b.token_ids([texts[k] for k in some])):
+            if x is not None and self.a_size[x].sum() == self.b_size[y].sum():
                 a[k], b[k] = x, y
         return a, b
 
     def _learn(self, keys: list[bytes]) -> None:
-        """Align windows that the memo lacks, all in one run."""
+        """Align windows that the memo lacks, all in one run; a window that A and B spell differently has no entry."""
         ids = np.frombuffer(b"".join(keys), np.uint32)
-        window = np.repeat(np.arange(len(keys)), np.fromiter(map(len, keys), np.int64, len(keys)) // 4)
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys)) // 4
+        window = np.repeat(np.arange(len(keys)), sizes)
         in_b = ids >= _B_FLAG
         a, b, of_a = ids[~in_b], ids[in_b] ^ _B_FLAG, window[~in_b]
+        a_list, b_list = a.tolist(), b.tolist()
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        a_bytes, b_bytes = b"".join(map(self.a.tokens.__getitem__, a_list)), b"".join(map(self.b.tokens.__getitem__, b_list))
         # Every stretch between neighbouring ends, of A or B, is what one pair shares.
         ends = np.union1d(a_ends, b_ends)
         i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        links = (a[i].astype(np.int64) << 32) | b[j].astype(np.int64)
-        cuts = np.searchsorted(of_a[i], np.arange(len(keys) + 1)) * 8
-        raw = links.tobytes()
-        shared = (a_ends[i] == ends) & (b_ends[j] == ends)
-        to_a, to_b = (i[shared] + 1).tolist(), (j[shared] + 1).tolist()
-        a_names, b_names = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = [
-            ",".join(a_names[x:y]) + "|" + ",".join(b_names[z:w])
-            for x, y, z, w in zip([0, *to_a], to_a, [0, *to_b], to_b)
-        ]
-        number = np.searchsorted(of_a[i[shared]], np.arange(len(keys) + 1)).tolist()
+        raw = ((a[i].astype(np.int64) << 32) | b[j].astype(np.int64)).tobytes()
+        linked = np.searchsorted(of_a[i], np.arange(len(keys) + 1))
+        shared = np.flatnonzero((a_ends[i] == ends) & (b_ends[j] == ends))
+        grouped = np.searchsorted(of_a[i[shared]], np.arange(len(keys) + 1))
+        # Names of the ids with the sign that follows each, group by group.
+        a_last, b_last, done = np.zeros(len(a), bool), np.zeros(len(b), int), i[shared] + 1
+        a_last[i[shared]], b_last[j[shared]], b_last[j[shared][grouped[1:] - 1]] = True, 1, 2
+        names = [f"{x}|" if last else f"{x}," for x, last in zip(a_list, a_last.tolist())]
+        names += [f"{y}{',;'[last]}" if last < 2 else str(y) for y, last in zip(b_list, b_last.tolist())]
+        a_group = np.searchsorted(done, np.arange(len(a)), "right")
+        b_group = np.searchsorted(j[shared] + 1, np.arange(len(b)), "right")
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        names = list(map(names.__getitem__, order.tolist()))
+        upto, links, groups = np.concatenate([[0], np.cumsum(sizes)]).tolist(), (linked * 8).tolist(), np.diff(grouped).tolist()
+        byte_ends = a_ends[np.cumsum(np.bincount(of_a, minlength=len(keys))) - 1].tolist() if a_bytes != b_bytes else []
+        at = 0
         for k, key in enumerate(keys):
-            self.memo[key] = len(self.texts)
-            self.texts.append(";".join(groups[number[k]:number[k + 1]]))
-            self.groups.append(number[k + 1] - number[k])
-            self.links.append(raw[cuts[k]:cuts[k + 1]])
+            if byte_ends:
+                spelled = a_bytes[at:byte_ends[k]] == b_bytes[at:byte_ends[k]]
+                at = byte_ends[k]
+                if not spelled:
+                    self.new[key] = None
+                    continue
+            self.new[key] = ("".join(names[upto[k]:upto[k + 1]]), groups[k], raw[links[k]:links[k + 1]])
+
+    def _look_up(self, keys: list[bytes]) -> list[tuple[str, int, bytes] | None]:
+        """What the memo holds for the windows, in their order; unseen ones are learnt first."""
+        if len(self.new) > MEMO_WINDOWS:
+            self.old, self.new = self.new, {}
+        lacking = [k for k in dict.fromkeys(keys) if k not in self.new]
+        self.new.update((k, self.old[k]) for k in lacking if k in self.old)
+        if unseen := [k for k in lacking if k not in self.old]:
+            self._learn(unseen)
+        return list(map(self.new.__getitem__, keys))
 
     def align(self, texts: list[str | None]) -> dict:
         """n_a, n_b, n_groups and group text of every text; all links in order, with offsets per text."""
         a_rows, b_rows = self._tokens(texts)
-        n_a, n_b = (np.fromiter(map(len, rows), np.int64, len(rows)) for rows in (a_rows, b_rows))
-        a, b = np.concatenate([np.empty(0, np.uint32), *a_rows]), np.concatenate([np.empty(0, np.uint32), *b_rows])
-        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        # Anchors: shared ends before a token with a space mark, and the ends of texts.
-        at = np.searchsorted(b_ends, a_ends)
-        shared = np.flatnonzero(b_ends[at] == a_ends) if len(a) else np.empty(0, np.int64)
-        before = np.ones(len(a), bool)
-        before[:-1] = self.a_space[a[1:]]
-        before[np.cumsum(n_a)[n_a > 0] - 1] = True
-        anchors = shared[before[shared]]
-        a_to, b_to = (anchors + 1) * 4, (at[anchors] + 1) * 4
-        raw_a, raw_b = a.tobytes(), (b | _B_FLAG).tobytes()
-        x, y = a_to.tolist(), b_to.tolist()
-        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip([0, *x], x, [0, *y], y)]
-        if len(self.memo) > MEMO_WINDOWS:
-            self._forget()
-        if new := [k for k in dict.fromkeys(keys) if k not in self.memo]:
-            self._learn(new)
-        found = list(map(self.memo.__getitem__, keys))
-        # Windows before the end of every text.
-        upto = np.concatenate([[0], np.searchsorted(anchors, np.cumsum(n_a) - 1, "right")])
-        upto[1:][np.cumsum(n_a) == 0] = 0
-        links = list(map(self.links.__getitem__, found))
+        while True:
+            n_a, n_b = (np.fromiter(map(len, rows), np.int64, len(rows)) for rows in (a_rows, b_rows))
+            a, b = np.concatenate([np.empty(0, np.uint32), *a_rows]), np.concatenate([np.empty(0, np.uint32), *b_rows])
+            a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            # Anchors: shared ends before a token with a space mark, and the ends of texts.
+            at = np.searchsorted(b_ends, a_ends)
+            shared = np.flatnonzero(b_ends[at] == a_ends) if len(a) else np.empty(0, np.int64)
+            before = np.ones(len(a), bool)
+            before[:-1] = self.a_space[a[1:]]
+            before[np.cumsum(n_a)[n_a > 0] - 1] = True
+            anchors = shared[before[shared]]
+            raw_a, raw_b = a.tobytes(), (b | _B_FLAG).tobytes()
+            x, y = ((anchors + 1) * 4).tolist(), ((at[anchors] + 1) * 4).tolist()
+            found = self._look_up([raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip([0, *x], x, [0, *y], y)])
+            # Windows up to the end of every text.
+            upto = np.concatenate([[0], np.searchsorted(anchors, np.cumsum(n_a) - 1, "right")])
+            cuts = upto.tolist()
+            if None not in found:
+                break
+            for k, (p, q) in enumerate(zip(cuts, cuts[1:])):
+                if None in found[p:q]:
+                    a_rows[k], b_rows[k] = a_rows[k][:0], b_rows[k][:0]
+        names, groups, links = zip(*found) if found else ((), (), ())
         sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
-        groups = np.fromiter(map(self.groups.__getitem__, found), np.int64, len(found))
-        names = list(map(self.texts.__getitem__, found))
-        cuts = upto.tolist()
         return {
-            "n_a": n_a, "n_b": n_b, "n_groups": _sums(groups, upto),
+            "n_a": n_a, "n_b": n_b, "n_groups": _sums(np.array(groups, np.int64), upto),
             "groups": [";".join(names[p:q]) for p, q in zip(cuts, cuts[1:])],
             "links": np.frombuffer(b"".join(links), np.int64), "offsets": np.concatenate([[0], np.cumsum(sizes)])[upto],
         }
@@ -279,6 +296,7 @@ def align_blocks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, both = TaskContext.get().partitionId(), aligner(a_path, b_path)
         number, ids, texts, size = 0, [], [], 0
+        gc.freeze()  # the vocabularies and the memo hold no cycles: not worth a pass each time
         slices = (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS))
         for doc_id, text in (row for s in slices for row in zip(*(c.to_pylist() for c in s.columns))):
             ids.append(doc_id)
