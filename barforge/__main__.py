@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
                    help="also partition bronze by hash(symbol) into N buckets")
     t = sub.add_parser("transform")
     t.add_argument("--root", required=True)
-    t.add_argument("--full", action="store_true", help="ignore the pending record, rebuild all")
+    t.add_argument("--full", action="store_true", help="ignore the change set, rebuild all")
     st = sub.add_parser("stream")
     st.add_argument("--root", required=True)
     st.add_argument("--landing", required=True)
@@ -85,13 +85,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from barforge.plans.transform import TransformPaths, run_transform
         report = run_transform(spark, f"{root}/bronze",
                                TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"),
-                               pending_path=f"{root}/pending_since", full=args.full)
+                               changes_path=f"{root}/changes", full=args.full)
         report.show(50, truncate=False)
         return 1 if report.where("violations > 0").count() else 0
     elif args.command == "stream":
         from barforge.streaming import start_landing_stream
         start_landing_stream(spark, args.landing, f"{root}/bronze", exchange_tz=args.exchange_tz,
-                             pending_path=f"{root}/pending_since").awaitTermination()
+                             changes_path=f"{root}/changes").awaitTermination()
     return 0
 
 

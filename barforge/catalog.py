@@ -78,8 +78,8 @@ def _silver_gold() -> dict[str, Query]:
 def _run(spark, sf) -> inc.IncrementalRun:
     """The incremental-load fixture run: first pass over the landing files,
     retry over landing plus late landing."""
-    land = normalize_landing(fx.landing(spark, sf))
-    late = normalize_landing(fx.landing(spark, sf, late=True))
+    land = normalize_landing(fx.landing(spark, sf), "UTC")
+    late = normalize_landing(fx.landing(spark, sf, late=True), "UTC")
     return inc.plan_run(fx.master(spark, sf), fx.control(spark, sf), land, fx.RUN_DATE,
                         retry_landing_norm=land.unionByName(late))
 
@@ -136,14 +136,14 @@ def _bronze() -> dict[str, Query]:
     return {
         "scan_bronze": lambda s, d: conform(fx.trades(s, d).drop("stock_splits"), BRONZE),
         "master_symbols": lambda s, d: master_symbols(fx.constituents(s, d)),
-        "landing_normalized": lambda s, d: normalize_landing(fx.landing_all(s, d)),
-        "nan_to_null": lambda s, d: normalize_landing(fx.landing_with_nan(s, d)),
+        "landing_normalized": lambda s, d: normalize_landing(fx.landing_all(s, d), "UTC"),
+        "nan_to_null": lambda s, d: normalize_landing(fx.landing_with_nan(s, d), "UTC"),
         # A feed without dividends and splits: what is there in order, the rest NULL.
         "landing_tolerant": lambda s, d: to_bronze(
-            normalize_landing(fx.landing_all(s, d).drop("Dividends", "Stock Splits"))),
+            normalize_landing(fx.landing_all(s, d).drop("Dividends", "Stock Splits"), "UTC")),
         # First load: the de-duplicated source is the table.
         "bronze_first_load": lambda s, d: _bronze_cols(dedup_by_key(
-            to_bronze(normalize_landing(fx.landing_all(s, d))), ["symbol", "date"], staging.DEDUP_ORDER)),
+            to_bronze(normalize_landing(fx.landing_all(s, d), "UTC")), ["symbol", "date"], staging.DEDUP_ORDER)),
         "bronze_upsert": upserted,
         "table_stats": lambda s, d: table_stats(upserted(s, d)),
         "union_extracts": lambda s, d: _run(s, d).all_extracted,
@@ -161,7 +161,7 @@ def _layers(spark, sf) -> dict[str, DataFrame]:
 def _checks() -> dict[str, Query]:
     def not_null(s, d):
         # The glitchy feed after NaN -> NULL: the close check has work to do.
-        raw = normalize_landing(fx.landing_with_nan(s, d))
+        raw = normalize_landing(fx.landing_with_nan(s, d), "UTC")
         return quality.layer_report("landing", raw, not_null=["date", "symbol", "close"])
 
     def unique(s, d):

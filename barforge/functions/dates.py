@@ -37,15 +37,16 @@ def lookback_start(run_date: dt.date | Column, months: int = 60) -> Column:
     return F.add_months(d, -months)
 
 
-def to_trading_day(ts, field: T.DataType, exchange_tz: str, session_tz: str) -> Column:
+def to_trading_day(ts, field: T.DataType, exchange_tz: str | Column, session_tz: str) -> Column:
     """Calendar day of a landing timestamp on the exchange's wall clock.
 
     An instant (``TIMESTAMP``) is rendered in ``exchange_tz`` before taking
     the day; a wall-clock value (``TIMESTAMP_NTZ``, ``DATE``, text) is used
-    as is. Independent of the session time zone."""
+    as is. ``exchange_tz`` is a name or a column of names. Independent of the
+    session time zone."""
     c = _col(ts)
     if isinstance(field, T.TimestampType):
-        wall = F.convert_timezone(F.lit(session_tz), F.lit(exchange_tz),
+        wall = F.convert_timezone(F.lit(session_tz), exchange_tz if isinstance(exchange_tz, Column) else F.lit(exchange_tz),
                                   c.cast(T.TimestampNTZType()))
         return F.to_date(wall)
     return F.to_date(c)

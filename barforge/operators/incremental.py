@@ -1,9 +1,10 @@
 """Incremental load: watermarks, classification, extract plans, results and
 the control merge (C1-C10, J5-J7, A5-A9, U1).
 
-Everything is one lazy plan over distributed frames. The only values that
-reach the driver are scalars: the shared DELTA start date is a scalar
-subquery (one row, computed once and inlined), never a collected list.
+Everything is a plan over distributed frames; ``tag_attempts`` writes the
+joined extract once. The only values that reach the driver are scalars: the
+shared DELTA start date is a scalar subquery (one row, computed once and
+inlined), never a collected list.
 """
 
 from __future__ import annotations
@@ -149,14 +150,35 @@ def control_upsert(control: DataFrame, results: DataFrame, run_id: str,
                   ["symbol"], order=None)
 
 
-def run_summary(classified: DataFrame, results: DataFrame, extracted: DataFrame) -> DataFrame:
+def extract_figures() -> list[Column]:
+    """What is counted of an extract, as aggregates: for ``DataFrame.observe``
+    in the pass that writes it, or for ``agg`` (A5, A8, Q1)."""
+    return [F.count(F.lit(1)).alias("total_rows"), F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+            *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("symbol", "date", "close"))]
+
+
+def add_figures(a: dict, b: dict) -> dict:
+    """The figures of two extracts together."""
+    known = lambda k: [x[k] for x in (a, b) if x[k] is not None]
+    pick = {"min_date": min, "max_date": max}
+    return {k: (pick.get(k, sum)(known(k)) if known(k) else None) for k in a}
+
+
+def run_summary(classified: DataFrame, results: DataFrame, extracted: DataFrame | None = None,
+                figures: dict | None = None) -> DataFrame:
     """One-row run report (A8, A9): class counts, successes, failures,
-    rows fetched and their date range. The class counts and the row figures
-    are two scalar subqueries (one struct each), so no join of one-row
-    frames is needed."""
+    rows fetched and their date range. The class counts are a scalar
+    subquery (one struct), so no join of one-row frames is needed.
+
+    ``figures`` are those observed while the extract was written; without
+    them they are a second scalar subquery over ``extracted``."""
     st = F.col("last_status")
-    rows = extracted.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"),
-                                  F.max("date").alias("hi")).alias("r")).scalar()
+    if figures is None:
+        r = extracted.agg(F.struct(*extract_figures()).alias("r")).scalar()
+        rows = [r.getField(k).alias(k) for k in ("total_rows", "min_date", "max_date")]
+    else:
+        rows = [F.lit(figures["total_rows"]).cast("bigint").alias("total_rows"),
+                *(F.lit(figures[k]).cast("date").alias(k) for k in ("min_date", "max_date"))]
     c = F.col("class")
     cls = classified.agg(F.struct(F.count_if(c == NEW).alias("new"),
                                   F.count_if(c == DELTA).alias("delta"),
@@ -166,10 +188,7 @@ def run_summary(classified: DataFrame, results: DataFrame, extracted: DataFrame)
                    .select(cls.getField("new").alias("new_symbols"),
                            cls.getField("delta").alias("delta_symbols"),
                            cls.getField("up").alias("up_to_date_symbols"),
-                           "symbols_ok", "symbols_failed",
-                           rows.getField("n").alias("total_rows"),
-                           rows.getField("lo").alias("min_date"),
-                           rows.getField("hi").alias("max_date")))
+                           "symbols_ok", "symbols_failed", *rows))
 
 
 def failed_symbols(results: DataFrame) -> DataFrame:

@@ -56,9 +56,13 @@ def check_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataF
 
 def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
                  unique: Sequence[str] = (),
-                 accepted_values: Mapping[str, Sequence] | None = None) -> DataFrame:
+                 accepted_values: Mapping[str, Sequence] | None = None,
+                 known_nulls: Mapping[str, int] | None = None) -> DataFrame:
     """Violation counts of a layer's checks, one row per check (Q4).
 
+    ``known_nulls`` are NULLs per column counted while the layer was written
+    (``Version.figures``): the not-null checks then read nothing.
+
     The layer is read once: with a uniqueness check, one grouping by the key
     also counts the NULLs of each column (partial sums per key, then
     summed); without one, a single global aggregate does the column checks.
@@ -75,6 +79,10 @@ def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
                      F.col(f"_v{i}").cast("bigint").alias("violations"))
             for i, (chk, col) in enumerate(labels)])))
 
+    if known_nulls is not None and not_null:
+        given = ", ".join(f"('not_null', '{c}', {int(known_nulls[c])}L)" for c in not_null)
+        parts.append(df.sparkSession.sql(f"SELECT * FROM VALUES {given} AS v(check, column, violations)"))
+        not_null = []
     if unique:
         first, rest = unique[0], unique[1:]
         nn = [F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)]
@@ -114,11 +122,13 @@ def layer_report(layer: str, df: DataFrame, not_null: Sequence[str] = (),
 
 
 def quality_report(layers: Mapping[str, DataFrame],
-                   suite: Mapping[str, Mapping] = SUITE) -> DataFrame:
+                   suite: Mapping[str, Mapping] = SUITE,
+                   known_nulls: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
     """The declared checks over every given layer, as one report."""
     out = None
     for name, df in layers.items():
         spec = suite[name]
-        r = layer_report(name, df, spec["not_null"], spec["unique"], spec["accepted_values"])
+        r = layer_report(name, df, spec["not_null"], spec["unique"], spec["accepted_values"],
+                         (known_nulls or {}).get(name))
         out = r if out is None else out.unionByName(r)
     return out

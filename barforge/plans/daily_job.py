@@ -19,11 +19,11 @@ def run_daily_job(spark: SparkSession, master: DataFrame, landing_norm: DataFram
                  bronze_layout: dict | None = None,
                  publish_master: bool = True) -> dict[str, DataFrame | None]:
     """``root`` holds ``master_data/`` (the published master list, S6),
-    ``bronze/``, ``control/``, ``silver/``, ``gold/`` and the pending-change
-    record. Silver is refreshed from the earliest changed
-    bronze date (built in full on the first run)."""
+    ``bronze/``, ``control/``, ``silver/``, ``gold/`` and the change set
+    (``changes/``). Silver and gold are refreshed for the changed symbols
+    (built in full on the first run)."""
     root = root.rstrip("/")
-    pending = f"{root}/pending_since"
+    changes = f"{root}/changes"
     if publish_master:
         # The list may have been read from the folder it is written to, so
         # it is materialised first (one row per index member).
@@ -31,8 +31,8 @@ def run_daily_job(spark: SparkSession, master: DataFrame, landing_norm: DataFram
         write_master(master, f"{root}/master_data")
     summary = run_incremental(spark, master, landing_norm, f"{root}/control", f"{root}/bronze",
                               run_date, run_ts, run_id, retry_landing_norm,
-                              bronze_layout=bronze_layout, pending_path=pending)
+                              bronze_layout=bronze_layout, changes_path=changes)
     report = run_transform(spark, f"{root}/bronze",
                            TransformPaths(silver=f"{root}/silver", gold=f"{root}/gold"),
-                           pending_path=pending)
+                           changes_path=changes)
     return {"summary": summary, "quality": report}

@@ -3,9 +3,9 @@
 Order, as in the reference: classify -> plan -> extract (+ retry) ->
 bronze upsert -> control upsert -> refresh -> summary. Bronze is written
 before control, so a crash between the two re-fetches the same rows next
-time, which the key-based upsert absorbs. The control table is an
-append-only log read as "latest row per symbol", so its update is a single
-committed append.
+time, which the key-based upsert absorbs. The control table is merged on
+symbol (``inc.control_upsert``) and published as a whole. The figures of the
+run summary are observed while the extract is written.
 """
 
 from __future__ import annotations
@@ -13,58 +13,29 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators import incremental as inc
-from barforge.plans.pending import record_pending
+from barforge.plans.changes import record_changes
 from barforge.schemas import CONTROL, LOOKBACK_MONTHS, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
 from barforge.sources.landing import to_bronze
 
 
-SEQ = "_seq"   # append number of a control row (storage only)
-
-
-def _read_log(spark: SparkSession, path: str) -> DataFrame:
-    # Seeded files lack the sequence column, so the file schemas are merged
-    # (the log holds one row per symbol and run: small).
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """The control table: the latest stored row of every symbol. The table
-    is an append-only log (each run appends its result rows with a larger
-    ``_seq``), so the latest row per symbol is exactly what the reference's
-    MERGE leaves. Rows without ``_seq`` (a seeded table) rank first. A table
-    that does not exist yet is empty (every symbol is then NEW); other read
-    errors are raised, not swallowed."""
+    """The control table: one row per symbol. A table that does not exist yet
+    is empty (every symbol is then NEW); read errors are raised, not swallowed."""
     if not storage.table_exists(spark, path):
         return spark.createDataFrame([], CONTROL)
-    log = _read_log(spark, path)
-    if SEQ not in log.columns:
-        return conform(log, CONTROL)
-    cols = [f.name for f in CONTROL.fields]
-    latest = (log.groupBy("symbol")
-                 .agg(F.max_by(F.struct(*cols), F.coalesce(F.col(SEQ), F.lit(0)))
-                       .alias("_row")))
-    return conform(latest.select("_row.*"), CONTROL)
+    return conform(storage.read_table(spark, path), CONTROL)
 
 
-def append_control(spark: SparkSession, rows: DataFrame, path: str) -> int:
-    """Append control rows under the next sequence number (C9). An append
-    is committed whole or not at all, so a crash never loses the previous
-    state. Returns the sequence number used."""
-    seq = 1
-    if storage.table_exists(spark, path):
-        log = _read_log(spark, path)
-        if SEQ in log.columns:
-            seq = (log.agg(F.max(SEQ)).first()[0] or 0) + 1
-    (conform(rows, CONTROL).withColumn(SEQ, F.lit(seq).cast("bigint"))
-        .write.mode("append").parquet(path))
-    spark.catalog.refreshByPath(path)
-    return seq
+def write_control(spark: SparkSession, control: DataFrame, path: str) -> None:
+    """Publish the whole control table (one row per symbol: small). Readers
+    see the old table or the new one."""
+    storage.replace_table(conform(control, CONTROL), path, sort_by=("symbol",))
 
 
 def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFrame,
@@ -73,15 +44,16 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
                     retry_landing_norm: DataFrame | None = None,
                     months: int = LOOKBACK_MONTHS,
                     bronze_layout: dict | None = None,
-                    pending_path: str | None = None) -> DataFrame | None:
+                    changes_path: str | None = None) -> DataFrame | None:
     """Load new landing rows into bronze and record the run in the control
     table. Returns the one-row run summary, or ``None`` when nothing was
     fetched (bronze and control are then left untouched, C10).
 
     ``bronze_layout`` is the partition spec of bronze (default: by month;
     see ``storage.day_partition`` and ``storage.symbol_buckets``).
-    ``pending_path``: where the earliest changed date is recorded for the
-    incremental transform, before bronze is touched."""
+    ``changes_path``: where the changed symbols, each with its earliest
+    changed date, are recorded for the incremental transform, before bronze
+    is published."""
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run_id = run_id or uuid.uuid4().hex[:8]
@@ -90,29 +62,33 @@ def run_incremental(spark: SparkSession, master: DataFrame, landing_norm: DataFr
     classified = inc.classify(master, inc.read_watermarks(control), run_date).checkpoint(eager=True)
     plan = inc.extract_plan(classified, run_date, months).checkpoint(eager=True)
     # First attempt: one scan of the landing data, written once; results,
-    # failures, the bronze write and the summary read the columns they need.
-    first = storage.materialise(inc.extract(landing_norm, plan))
+    # failures and the bronze write read the columns they need.
+    first, figures = write_observed(inc.extract(landing_norm, plan))
     failed = inc.failed_results(plan, inc.extract_results(first), run_date)
     rplan = inc.retry_plan(failed, plan, run_date, months).checkpoint(eager=True)
     tagged = first.withColumn("attempt", F.lit(1))
     # The same landing data cannot hold what it did not hold before: a second
     # attempt reads only a source of its own.
     if retry_landing_norm is not None and not rplan.isEmpty():
-        second = storage.materialise(inc.extract(retry_landing_norm, rplan))
+        second, more = write_observed(inc.extract(retry_landing_norm, rplan))
         tagged = inc.union_extracts(tagged, second.withColumn("attempt", F.lit(2)))
-    if tagged.isEmpty():
+        figures = inc.add_figures(figures, more)
+    if not figures["total_rows"]:
         return None
     run = inc.from_tagged(classified, plan, rplan, tagged, run_date)
     change = storage.plan_upsert(spark, to_bronze(run.all_extracted), bronze_path,
                                  keys=("symbol", "date"),
                                  partitions=bronze_layout or storage.month_partition())
-    if pending_path and change.earliest is not None:
-        record_pending(spark, pending_path, change.earliest)
-    storage.apply_upsert(spark, change)
-    # One row, materialised before the control log grows.
-    summary = inc.run_summary(run.classified, run.results, run.all_extracted).checkpoint(eager=True)
-    # MERGE on symbol = append this run's rows; readers take the latest row
-    # per symbol (read_control), which equals inc.control_upsert(...).
-    append_control(spark, inc.control_rows(run.results, run_id, run_ts), control_path)
-    storage.refresh(spark, bronze_path)
+    storage.apply_upsert(spark, change, before_publish=(
+        lambda c: record_changes(spark, changes_path, c.rows, run_id)) if changes_path else None)
+    summary = inc.run_summary(run.classified, run.results, figures=figures).checkpoint(eager=True)
+    write_control(spark, inc.control_upsert(control, run.results, run_id, run_ts), control_path)
     return summary
+
+
+def write_observed(extracted: DataFrame) -> tuple[DataFrame, dict]:
+    """An extract written to the shared checkpoint folder, and its figures
+    (rows, date range, NULLs of the required columns) taken in that pass."""
+    seen = Observation(f"extract {uuid.uuid4().hex}")
+    rows = storage.materialise(extracted.observe(seen, *inc.extract_figures()))
+    return rows, seen.get

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barforge.plans.incremental import write_control
 from barforge.plans.transform import GOLD_SCHEMA, SILVER_SCHEMA
 from barforge.schemas import CONTROL
 from barforge.sources import storage
@@ -26,7 +27,7 @@ def setup_lake(spark: SparkSession, root: str, silver_schema: str | None = None,
     verification report (one row per expected object)."""
     paths = lake_paths(root)
     if replace_control or not storage.table_exists(spark, paths["control"]):
-        spark.createDataFrame([], CONTROL).write.mode("overwrite").parquet(paths["control"])
+        write_control(spark, spark.createDataFrame([], CONTROL), paths["control"])
     names = [storage.layer_name(silver_schema, SILVER_SCHEMA),
              storage.layer_name(gold_schema, GOLD_SCHEMA)]
     storage.ensure_namespaces(spark, names)

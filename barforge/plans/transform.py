@@ -7,11 +7,12 @@ Plan shape (per run):
      segments are checkpointed to the shared checkpoint folder, so the
      daily data is read and de-duplicated once for both bar tables;
   3. weekly and monthly bars fold the segments (small aggregates), written
-     as month-partitioned tables; gold reads the written weekly table back
-     (lineage cut). After an incremental load only the weeks and months
-     from the earliest changed date on are recomputed (``refresh_silver``);
+     as month-partitioned versions; gold reads the written weekly version
+     back (lineage cut). After an incremental load only the weeks and months
+     of changed symbols, from their earliest changed date on, are recomputed;
   4. gold: one Window node (single sort on symbol, date) over weekly rows;
-     the benchmark side is an aggregate with one row per date.
+     the benchmark side is an aggregate with one row per date;
+  5. checks on the versions, then all tables are moved to them.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from barforge.operators import bars, indicators, quality, staging
-from barforge.plans.pending import clear_pending, pending_files, read_pending
-from barforge.schemas import BARS, GOLD, conform
+from barforge.plans.changes import clear_changes, read_changes
+from barforge.schemas import BARS, BENCHMARK_SYMBOLS, GOLD, conform
 from barforge.session import ensure_checkpoint_dir
 from barforge.sources import storage
 from barforge.sources.landing import read_bronze
@@ -76,27 +77,44 @@ def stored_schema(schema: StructType) -> StructType:
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """A stored bar table with its declared columns (partition column
     dropped)."""
-    return conform(spark.read.schema(stored_schema(BARS)).parquet(path), BARS)
+    return conform(storage.read_table(spark, path, stored_schema(BARS)), BARS)
+
+
+def _week_start(date: str = "since"):
+    return F.trunc(date, "week")
+
+
+#: Changed symbols up to this many reach the scan as an IN filter; beyond it the semi-join alone decides.
+PUSHED_SYMBOLS = 1000
+
+
+def _rows_of(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows of the symbols of ``bounds`` from their ``start`` on."""
+    some = [r[0] for r in bounds.select("symbol").limit(PUSHED_SYMBOLS + 1).collect()]
+    if len(some) <= PUSHED_SYMBOLS:
+        df = df.where(F.col("symbol").isin(*some) if some else F.lit(False))
+    return df.join(bounds.select("symbol", "start"), "symbol").where(F.col("date") >= F.col("start")).select(*df.columns)
 
 
 def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
-                   since: dt.date) -> DataFrame:
-    """Incremental silver: bronze rows dated ``since`` or later changed, so
-    only bars of weeks from Monday of ``since``'s week and of months from the
-    1st of its month can differ; they are recomputed from the bronze rows of
-    that range (partition-pruned) and replace the stored ones. Every older
-    bar only depends on unchanged days. Returns the recomputed staging
-    rows (for the checks)."""
-    week_from = since - dt.timedelta(days=since.weekday())
-    month_from = since.replace(day=1)
-    lo = min(week_from, month_from)
-    bronze = read_bronze(spark, bronze_path, since=lo)
-    stg, weekly, monthly = build_silver(bronze)
-    storage.replace_from(spark, weekly.where(F.col("date") >= F.lit(week_from)), paths.weekly,
-                         week_from, silver_partition())
-    storage.replace_from(spark, monthly.where(F.col("date") >= F.lit(month_from)), paths.monthly,
-                         month_from, silver_partition())
-    return stg
+                   changed: DataFrame) -> tuple[DataFrame, storage.Version, storage.Version]:
+    """Incremental silver: for every changed symbol (``symbol``, ``since``)
+    only its bars of weeks from Monday of ``since``'s week and of months from
+    the 1st of its month can differ. They are recomputed from that symbol's
+    bronze rows (partitions before the earliest date pruned, the symbols
+    pushed into the scan); every other bar, of the same symbol or of others,
+    is not computed. Returns the staging rows read and the two versions."""
+    starts = changed.select("symbol", _week_start().alias("week"), F.trunc("since", "month").alias("month"))
+    both = storage.materialise(starts.withColumn("start", F.least("week", "month")))
+    lo = both.agg(F.min("start")).first()[0]
+    stg, weekly, monthly = build_silver(_rows_of(read_bronze(spark, bronze_path, since=lo), both))
+    out = []
+    for fresh, column, path in ((weekly, "week", paths.weekly), (monthly, "month", paths.monthly)):
+        bounds = both.select("symbol", F.col(column).alias("start"))
+        # A period that began before its symbol's start is complete in the table already.
+        rows = fresh.join(bounds, "symbol").where(F.col("date") >= F.col("start")).select(*fresh.columns)
+        out.append(storage.replace_changed(spark, path, rows, bounds, silver_partition()))
+    return stg, out[0], out[1]
 
 
 # Calendar look-back read for an incremental gold refresh; it normally holds
@@ -106,114 +124,99 @@ GOLD_CONTEXT_WEEKS = 156
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """The stored gold table with its declared columns."""
-    return conform(spark.read.schema(stored_schema(GOLD)).parquet(path), GOLD)
-
-
-def refresh_gold(spark: SparkSession, paths: TransformPaths, week_from: dt.date,
-                 context_weeks: int = GOLD_CONTEXT_WEEKS) -> None:
-    """Incremental gold: only rows dated ``week_from`` or later can change
-    (every input of an older row is an older, unchanged bar). They are
-    recomputed over a context that holds, for every symbol, all the
-    preceding bars any indicator reads: a calendar window of
-    ``context_weeks``, plus the whole older history of the symbols that
+    return conform(storage.read_table(spark, path, stored_schema(GOLD)), GOLD)
+
+
+def gold_bounds(weekly: DataFrame, changed: DataFrame) -> DataFrame:
+    """``symbol``, ``start``: from when on gold rows can differ. A changed
+    benchmark changes the relative strength of every symbol."""
+    own = changed.select("symbol", _week_start().alias("start"))
+    base = own.where(F.col("symbol").isin(*BENCHMARK_SYMBOLS)).agg(F.min("start")).first()[0]
+    if base is None:
+        return own
+    others = weekly.where(F.col("date") >= F.lit(base)).select("symbol").distinct().withColumn("start", F.lit(base))
+    return own.unionByName(others).groupBy("symbol").agg(F.min("start").alias("start"))
+
+
+def refresh_gold(spark: SparkSession, paths: TransformPaths, weekly: DataFrame, changed: DataFrame,
+                 context_weeks: int = GOLD_CONTEXT_WEEKS) -> storage.Version:
+    """Incremental gold over ``weekly`` (the table as it will be published).
+    Rows of a changed symbol from its start on are recomputed over a context
+    that holds all the preceding bars any indicator reads: a calendar window
+    of ``context_weeks``, plus the whole older history of the symbols that
     have fewer than ``lookback_bars()`` bars in that window (gaps, new
-    listings). The window functions are therefore exact."""
+    listings), and the benchmarks. The window functions are therefore exact."""
+    bounds = storage.materialise(gold_bounds(weekly, changed))
+    lo = bounds.agg(F.min("start")).first()[0]
     need = indicators.lookback_bars()
-    ctx_lo = week_from - dt.timedelta(weeks=context_weeks)
-    recent = conform(storage.read_range(spark, paths.weekly, since=ctx_lo, schema=stored_schema(BARS)), BARS)
-    touched = recent.where(F.col("date") >= F.lit(week_from)).select("symbol").distinct()
-    have = (recent.where(F.col("date") < F.lit(week_from))
-                  .groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")))
-    short = (touched.join(have, "symbol", "left")
-                    .where(F.coalesce(F.col("_n"), F.lit(0)) < need).select("symbol"))
-    older = conform(storage.read_range(spark, paths.weekly, before=ctx_lo, schema=stored_schema(BARS)), BARS)
-    older = older.join(short, "symbol", "left_semi")
-    context = recent.unionByName(older)
-    fresh = (indicators.weekly_technical_analysis(context)
-             .where(F.col("date") >= F.lit(week_from)))
-    storage.replace_from(spark, fresh, paths.technical, week_from, silver_partition())
+    ctx_lo = lo - dt.timedelta(weeks=context_weeks)
+    floor, ceiling = storage.partition_floor(weekly.columns, ctx_lo), storage.partition_ceiling(weekly.columns, ctx_lo)
+    benchmark = F.col("symbol").isin(*BENCHMARK_SYMBOLS)
+    recent = weekly.where(floor & (F.col("date") >= F.lit(ctx_lo)))
+    recent = recent.join(bounds, "symbol", "left").where(F.col("start").isNotNull() | benchmark)
+    have = recent.where(F.col("date") < F.col("start")).groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
+    short = bounds.join(have, "symbol", "left").where(F.coalesce("_n", F.lit(0)) < need).select("symbol")
+    older = weekly.where(ceiling & (F.col("date") < F.lit(ctx_lo))).join(short, "symbol", "left_semi")
+    context = conform(recent, BARS).unionByName(conform(older, BARS))
+    fresh = indicators.weekly_technical_analysis(context)
+    fresh = fresh.join(bounds, "symbol").where(F.col("date") >= F.col("start")).select(*[f.name for f in GOLD.fields])
+    return storage.replace_changed(spark, paths.technical, fresh, bounds, silver_partition())
 
 
 def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
                   check_staging: bool = True, register: bool = False,
                   silver_schema: str | None = None, gold_schema: str | None = None,
-                  since: dt.date | None = None,
-                  pending_path: str | None = None,
+                  changes_path: str | None = None,
                   gold_context_weeks: int = GOLD_CONTEXT_WEEKS, full: bool = False) -> DataFrame:
     """Build silver and gold from bronze; return the quality report of every
     layer (small, one row per check).
 
-    The pending record is cleared only after the checks ran without a
-    violation; otherwise the next run covers the change again. Without any
-    bronze table, or with nothing pending, nothing is built or checked and
-    the report is empty. ``full`` rebuilds everything.
-
-    Full rebuild when silver does not exist yet or nothing says what
-    changed; incremental silver refresh when ``since`` (or the pending
-    record at ``pending_path``) names the earliest changed bronze date;
-    nothing to recompute when a pending record is tracked but absent. Gold
-    follows silver: built in full, or refreshed from the same week on
-    (``refresh_gold``). The checks cover whole tables after a full build and
-    the rewritten range after a refresh. With ``register``, the written
-    layers are also catalog tables."""
+    Every layer is first written as a version that no reader sees. The
+    checks run on those versions, and only if none is violated are they
+    published and the change set cleared; else the tables stay as they were
+    and the next run covers the change again. Without any bronze table, or
+    with nothing changed, nothing is built or checked and the report is empty.
+
+    Full rebuild when silver does not exist yet, when no change set is
+    tracked, or with ``full``; else the changed symbols only
+    (``refresh_silver``, ``refresh_gold``). The checks cover whole tables
+    after a full build and the rewritten partitions after a refresh. NULLs
+    are counted while the versions are written. With ``register``, the
+    published layers are also views in the layer namespaces."""
     ensure_checkpoint_dir(spark)
-    read: list[str] = []
-    if pending_path:
-        read = pending_files(spark, pending_path)
-        p = read_pending(spark, pending_path, read)
-        since = p if since is None else (since if p is None else min(p, since))
     nothing = spark.createDataFrame([], "layer string, check string, column string, violations bigint")
-    storage.finish_swap(spark, bronze_path)
+    change = read_changes(spark, changes_path) if changes_path else None
     if not storage.table_exists(spark, bronze_path):
         return nothing
-    have_silver = (storage.table_exists(spark, paths.weekly)
-                   and storage.table_exists(spark, paths.monthly)
-                   and storage.table_exists(spark, paths.technical))
-    stg = None
-    checked_from: dt.date | None = None   # None: check whole tables
-    if full or not have_silver or (since is None and not pending_path):
-        stg, weekly, monthly = build_silver(read_bronze(spark, bronze_path))
-        storage.write_partitioned(weekly, paths.weekly, silver_partition())
-        storage.write_partitioned(monthly, paths.monthly, silver_partition())
-        weekly_t = read_bars(spark, paths.weekly)
-        storage.write_partitioned(indicators.weekly_technical_analysis(weekly_t),
-                                  paths.technical, silver_partition())
-    elif since is not None:
-        stg = refresh_silver(spark, bronze_path, paths, since)
-        refresh_gold(spark, paths, since - dt.timedelta(days=since.weekday()),
-                     gold_context_weeks)
-        checked_from = since
-    else:
+    have_layers = all(storage.table_exists(spark, p) for p in (paths.weekly, paths.monthly, paths.technical))
+    if full or not have_layers or change is None:
+        stg, weekly_rows, monthly_rows = build_silver(read_bronze(spark, bronze_path))
+        weekly = storage.write_version(weekly_rows, paths.weekly, silver_partition())
+        monthly = storage.write_version(monthly_rows, paths.monthly, silver_partition())
+        gold = storage.write_version(indicators.weekly_technical_analysis(conform(weekly.rows(spark), BARS)),
+                                     paths.technical, silver_partition())
+    elif change.symbols.isEmpty():
         return nothing
-    weekly_t = read_bars(spark, paths.weekly)
+    else:
+        stg, weekly, monthly = refresh_silver(spark, bronze_path, paths, change.symbols)
+        gold = refresh_gold(spark, paths, weekly.table(spark), change.symbols, gold_context_weeks)
+    versions = {"weekly_prices": weekly, "monthly_prices": monthly, "weekly_technical_analysis": gold}
+    # A (symbol, date) key can only repeat inside the partition that holds its date.
+    layers = {name: v.rows(spark).drop(*v.columns) for name, v in versions.items()}
+    nulls = {name: {k.removeprefix("null "): n for k, n in v.figures.items()} for name, v in versions.items()}
+    if check_staging:
+        layers = {"stg_daily_prices": stg, **layers}
+    report = quality.quality_report(layers, known_nulls=nulls).checkpoint(eager=True)
+    if not report.where("violations > 0").isEmpty():
+        return report
+    for version in versions.values():
+        storage.publish(spark, version)
+    if change is not None:
+        clear_changes(spark, changes_path, change.loads)
     if register:
         storage.register_tables(spark, {"weekly_prices": paths.weekly,
                                         "monthly_prices": paths.monthly},
                                 storage.layer_name(silver_schema, SILVER_SCHEMA))
         storage.register_tables(spark, {"weekly_technical_analysis": paths.technical},
                                 storage.layer_name(gold_schema, GOLD_SCHEMA))
-    if checked_from is None:
-        layers = {"weekly_prices": weekly_t,
-                  "monthly_prices": read_bars(spark, paths.monthly),
-                  "weekly_technical_analysis": read_gold(spark, paths.technical)}
-    else:
-        # Only the rewritten rows can break a check: older rows are unchanged
-        # and were checked when written, and a (symbol, date) key can only
-        # repeat inside the range that holds its date.
-        week_from = checked_from - dt.timedelta(days=checked_from.weekday())
-        month_from = checked_from.replace(day=1)
-        layers = {
-            "weekly_prices": conform(storage.read_range(
-                spark, paths.weekly, since=week_from, schema=stored_schema(BARS)), BARS),
-            "monthly_prices": conform(storage.read_range(
-                spark, paths.monthly, since=month_from, schema=stored_schema(BARS)), BARS),
-            "weekly_technical_analysis": conform(
-                storage.read_range(spark, paths.technical, since=week_from,
-                                   schema=stored_schema(GOLD)), GOLD)}
-    if check_staging and stg is not None:
-        # Staging rows recomputed by this run (all of them on a full build).
-        layers = {"stg_daily_prices": stg, **layers}
-    report = quality.quality_report(layers).checkpoint(eager=True)
-    if report.where("violations > 0").isEmpty():
-        clear_pending(spark, read)
     return report

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions import nan_to_null, to_trading_day
@@ -24,11 +24,13 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING).parquet(path)
 
 
-def normalize_landing(landing: DataFrame, exchange_tz: str = "UTC",
+def normalize_landing(landing: DataFrame, exchange_tz: str | Column,
                       strict_volume: bool = True) -> DataFrame:
     """Rename to snake case, take the exchange-local trading day, cast
     volume to bigint, turn NaN into NULL, keep the known columns in a fixed
-    order (absent ones skipped, as the reference does).
+    order (absent ones skipped). ``exchange_tz`` names the zone in which a
+    bar's day is counted, or is a column that names it row by row
+    (``with_exchange_zone``).
 
     Volume: fractions truncate; a NaN raises, and a NULL volume raises too
     when ``strict_volume`` (an integer cast fails on a missing value)."""
@@ -51,6 +53,22 @@ def normalize_landing(landing: DataFrame, exchange_tz: str = "UTC",
     return df.select(*[c for c in KEEP if c in df.columns])
 
 
+#: The column of the master list that names a symbol's exchange zone.
+ZONE = "exchange_tz"
+
+
+def with_exchange_zone(landing: DataFrame, master: DataFrame, column: str = ZONE) -> DataFrame:
+    """Landing rows with the zone of their symbol's exchange from the master
+    list (P4 by row), for ``normalize_landing(rows, F.col(column))``. A symbol
+    listed twice has one zone, the first in order; rows of symbols without a
+    zone are an error when their day is taken, not a silent UTC day. The list
+    has one row per symbol, so AQE broadcasts it only at a measured size."""
+    zones = master.groupBy(F.col("symbol").alias("Symbol")).agg(F.min(column).alias(column))
+    named = landing.join(zones, "Symbol", "left")
+    missing = F.raise_error(F.concat(F.lit("no exchange zone for symbol "), F.coalesce("Symbol", F.lit("NULL"))))
+    return named.withColumn(column, F.coalesce(F.col(column), missing.cast("string")))
+
+
 def to_bronze(df: DataFrame) -> DataFrame:
     """Tolerant projection completed: absent columns as typed NULLs."""
     return conform(df, BRONZE)
@@ -60,9 +78,9 @@ def read_bronze(spark: SparkSession, path: str, since=None) -> DataFrame:
     """The bronze table read with its declared types (S4). Partition columns
     of the storage layout are dropped. ``since`` keeps rows dated on or
     after it, pruning whole partitions of a date-partitioned layout."""
-    from barforge.sources.storage import partition_floor
+    from barforge.sources.storage import partition_floor, read_table
 
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     if since is not None:
         floor = partition_floor(df.columns, since)
         if floor is not None:
@@ -82,8 +100,9 @@ def table_stats(df: DataFrame) -> DataFrame:
 
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files behind a stored table (S9), from file metadata."""
-    df = spark.read.parquet(path)
-    return df.select(F.col("_metadata.file_path")).distinct().count()
+    from barforge.sources.storage import read_table
+
+    return len(set(read_table(spark, path).inputFiles()))
 
 
 __all__ = ["KEEP", "RENAMES", "file_count", "normalize_landing", "read_bronze",

@@ -1,5 +1,5 @@
-"""Stored layers: full-rebuild writes, partition-scoped upserts, layer
-namespaces and verification (S7, S8, S10-S14).
+"""Stored layers: versions that are checked before they are published,
+partition-scoped upserts, views, namespaces and verification (S5, S7, S8, S10-S14).
 
 Paths may be on any Hadoop file system the cluster shares (HDFS, object
 stores); nothing here touches a machine-local folder.
@@ -8,26 +8,28 @@ stores); nothing here touches a machine-local folder.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from barforge.operators.upsert import upsert
 
 # Bronze layout: one folder per calendar month. A daily delta rewrites only
 # the current month's folder; a backfill rewrites the months it touches.
 def month_partition() -> dict[str, Column]:
-    """``month = yyyymm`` of the row's date (an int partition column)."""
-    return {"month": (F.year("date") * 100 + F.month("date")).cast("int")}
+    """``month = yyyymm`` of the row's date (an int partition column); 0 without one."""
+    return {"month": F.coalesce(F.year("date") * 100 + F.month("date"), F.lit(0)).cast("int")}
 
 
 def day_partition() -> dict[str, Column]:
     """``day = yyyymmdd``: a daily delta rewrites only the days it touches."""
-    return {"day": (F.year("date") * 10000 + F.month("date") * 100
-                    + F.dayofmonth("date")).cast("int")}
+    return {"day": F.coalesce(F.year("date") * 10000 + F.month("date") * 100 + F.dayofmonth("date"), F.lit(0)).cast("int")}
 
 
 def symbol_buckets(n: int) -> dict[str, Column]:
@@ -62,27 +64,57 @@ def staging_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/barforge-staging/{uuid.uuid4().hex}"
 
 
+# --- tables and their versions -------------------------------------------
+#
+# A stored table is a folder of versions and a catalog table that points to
+# them: every write goes to a fresh version folder, which no reader sees, and
+# is published by moving the table (or the partitions it replaces) there.
+
+NAMESPACE = "barforge"
+
+
+class TableChanged(RuntimeError):
+    """Another application published the same partitions meanwhile."""
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def table_name(spark: SparkSession, path: str) -> str:
+    """The catalog name of the table stored at ``path``: its last part and a hash of the whole."""
+    full = _qualified(spark, path)
+    leaf = re.sub(r"\W", "_", full.rsplit("/", 1)[-1]).lower()
+    return f"{NAMESPACE}.{leaf}_{hashlib.md5(full.encode()).hexdigest()[:12]}"
+
+
+def is_published(spark: SparkSession, path: str) -> bool:
+    return spark.catalog.tableExists(table_name(spark, path))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A stored table exists once a committed write left data under it."""
+    """A stored table exists once a version was published, or once plain
+    Parquet files were committed under its path (a table that was never
+    written by this module)."""
+    if is_published(spark, path):
+        return True
     if not path_exists(spark, path):
         return False
     fs, p = _fs(spark, path)
-    return any(not s.getPath().getName().startswith(("_", "."))
-               or s.getPath().getName() == "_SUCCESS"
-               for s in fs.listStatus(p))
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return any(n == "_SUCCESS" or not n.startswith(("_", ".", VERSION)) for n in names)
 
 
-def _with_partitions(df: DataFrame, partitions: dict[str, Column]) -> DataFrame:
-    return df.withColumns(partitions) if partitions else df
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The published rows of the table at ``path``, or its plain files if nothing was published."""
+    if is_published(spark, path):
+        return spark.table(table_name(spark, path))
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def _write(df: DataFrame, path: str, partition_cols: list[str], dynamic: bool) -> None:
-    w = df.write.mode("overwrite")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+def _with_partitions(df: DataFrame, partitions: dict[str, Column]) -> DataFrame:
+    return df.withColumns(partitions) if partitions else df
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -93,84 +125,167 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def partition_filter(columns: Sequence[str], values: Sequence[tuple]) -> Column:
-    """A literal filter for these partition values (NULL included), which
-    prunes the file listing."""
+    """A literal filter for these partition values, which prunes the listing."""
     if not values:
         return F.lit(False)
+    if len(columns) == 1:
+        return F.col(columns[0]).isin(*[v[0] for v in values])
     first: dict = {}
     for v in values:
         first.setdefault(v[0], []).append(v[1:])
-
-    def within(c: str, vs: list) -> Column:
-        some = [v for v in vs if v is not None]
-        cond = F.col(c).isin(*some) if some else F.lit(False)
-        return cond | F.col(c).isNull() if len(some) < len(vs) else cond
-
-    if len(columns) == 1:
-        return within(columns[0], list(first))
     out = None
     for v, rest in first.items():
-        cond = within(columns[0], [v]) & partition_filter(columns[1:], rest)
+        cond = (F.col(columns[0]) == F.lit(v)) & partition_filter(columns[1:], rest)
         out = cond if out is None else out | cond
     return out
 
 
-def swap_folder(path: str) -> str:
-    """Where a staged change of a table lies: beside it, under a fixed name."""
-    return f"{path.rstrip('/')}__swap"
+def partition_values(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The partitions that the rows lie in (bounded by the calendar)."""
+    return [tuple(r) for r in df.select(*columns).distinct().collect()] if columns else []
 
 
-def finish_swap(spark: SparkSession, path: str) -> bool:
-    """Finish a swap that was cut short: a complete staged change (its data
-    was committed) is applied again, an incomplete one is dropped. Called
-    before every change of the table. Returns whether one was applied."""
-    stage = swap_folder(path)
-    if not path_exists(spark, stage):
-        return False
-    done = path_exists(spark, f"{stage}/data/_SUCCESS")
-    if done:
-        _apply_swap(spark, path)
-    delete_path(spark, stage)
-    return done
-
-
-def _apply_swap(spark: SparkSession, path: str) -> None:
-    stage = swap_folder(path)
-    plan = spark.read.parquet(f"{stage}/plan").first()
-    # The stage's own types: a lone NULL partition would have none.
-    data = spark.read.schema(plan["types"]).parquet(f"{stage}/data")
-    _write(data, path, list(plan["columns"]), dynamic=bool(plan["columns"]))
-    for sub in plan["removed"]:
-        delete_path(spark, f"{path.rstrip('/')}/{sub}")
-
-
-def _swap(spark: SparkSession, path: str, pcols: list[str], layout: DataFrame,
-          removed: Sequence[str] = ()) -> None:
-    """Stage ``layout`` (laid-out rows) beside the table, then swap it in.
-    Until the staged copy is complete the table is untouched; from then on
-    the swap can be repeated (``finish_swap``), so no row is ever lost."""
-    stage = swap_folder(path)
-    delete_path(spark, stage)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout.schema.fields)
-    spark.createDataFrame([(list(pcols), list(removed), types)],
-                          "columns array<string>, removed array<string>, types string").coalesce(1).write.parquet(f"{stage}/plan")
-    w = layout.write.partitionBy(*pcols) if pcols else layout.write
-    w.parquet(f"{stage}/data")
-    _apply_swap(spark, path)
-    delete_path(spark, stage)
-    spark.catalog.refreshByPath(path)
+VERSION = "v-"
+
+
+@dataclass
+class Version:
+    """Rows written beside a table that no reader of the table sees yet."""
+    path: str                      # of the table
+    folder: str                    # of this version
+    schema: StructType             # with the partition columns
+    columns: list[str]             # partition columns
+    values: list[tuple]            # partitions that hold rows
+    replaces: list[tuple] | None   # partitions that the version stands for; None: the whole table
+    figures: dict[str, int]        # rows, and NULLs per column, counted while they were written
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The rows of this version alone."""
+        return spark.read.schema(self.schema).parquet(self.folder)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The whole table as it will be once the version is published."""
+        new = self.rows(spark)
+        if self.replaces is None or not table_exists(spark, self.path):
+            return new
+        old = read_table(spark, self.path, self.schema)
+        return old.where(~partition_filter(self.columns, self.replaces)).select(*new.columns).unionByName(new)
+
+
+def write_version(df: DataFrame, path: str, partitions: dict[str, Column] | None = None,
+                  sort_by: Sequence[str] = ("symbol", "date"),
+                  replaces: list[tuple] | None = None) -> Version:
+    """Write ``df`` as a new, unpublished version of the table at ``path``.
+
+    Rows are range-partitioned (sampled bounds split hot keys) and sorted by
+    partition and ``sort_by``. The row count and the NULLs of every column
+    are observed in the pass that writes, after the exchange, so nothing is
+    read again for them."""
+    spark, partitions = df.sparkSession, partitions or {}
+    pcols = list(partitions)
+    out = _with_partitions(df, {k: v for k, v in partitions.items() if k not in df.columns})
+    order = [*pcols, *[c for c in sort_by if c in out.columns]]
+    if order:
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    seen = Observation(f"version {uuid.uuid4().hex}")
+    names = [c for c in out.columns if c not in pcols]
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"),
+                      *(F.count_if(F.col(f"`{c}`").isNull()).alias(f"null {c}") for c in names))
+    folder = f"{path.rstrip('/')}/{VERSION}{uuid.uuid4().hex}"
+    (out.write.partitionBy(*pcols) if pcols else out.write).parquet(folder)
+    figures = {k: int(v) for k, v in seen.get.items()}
+    types = {f.name: f for f in out.schema.fields}
+    schema = StructType([types[c] for c in names + pcols])
+    values = partition_values(spark.read.schema(schema).parquet(folder), pcols) if figures["rows"] else []
+    return Version(path, folder, schema, pcols, values, replaces, figures)
+
+
+def _spec(columns: Sequence[str], value: tuple) -> str:
+    def literal(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{c}`={literal(v)}" for c, v in zip(columns, value))
+
+
+def publish(spark: SparkSession, version: Version) -> DataFrame:
+    """Make a version part of its table: one catalog statement for a table
+    without partitions, else one per replaced partition and one for all new
+    ones. Files of older versions stay until ``remove_unused``, so a reader
+    that began before goes on reading them."""
+    name, pcols = table_name(spark, version.path), version.columns
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {NAMESPACE}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema.fields)
+    if not pcols:
+        if is_published(spark, version.path):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.folder}'")
+        else:
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{version.folder}'")
+    else:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                  f"PARTITIONED BY ({', '.join(pcols)}) LOCATION '{version.path.rstrip('/')}'")
+        kinds = {f.name: f.dataType for f in version.schema.fields}
+
+        def parsed(text: str) -> tuple:
+            parts = dict(p.split("=", 1) for p in text.split("/"))
+            return tuple(int(parts[c]) if isinstance(kinds[c], (IntegerType, LongType)) else parts[c] for c in pcols)
+
+        present = {parsed(r[0]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        where = {v: f"{version.folder}/" + "/".join(f"{c}={x}" for c, x in zip(pcols, v)) for v in version.values}
+        gone = (present if version.replaces is None else present & set(version.replaces)) - set(where)
+        for v in sorted(present & set(where)):
+            spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(pcols, v)}) SET LOCATION '{where[v]}'")
+        if fresh := sorted(set(where) - present):
+            spark.sql(f"ALTER TABLE {name} ADD " + " ".join(
+                f"PARTITION ({_spec(pcols, v)}) LOCATION '{where[v]}'" for v in fresh))
+        if gone:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({_spec(pcols, v)})" for v in sorted(gone)))
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def replace_table(df: DataFrame, path: str, partitions: dict[str, Column] | None = None,
+                  sort_by: Sequence[str] = ("symbol", "date")) -> DataFrame:
+    """Write and publish the whole table at ``path``."""
+    return publish(df.sparkSession, write_version(df, path, partitions, sort_by))
+
+
+def remove_unused(spark: SparkSession, path: str, older_than: dt.timedelta = dt.timedelta(days=7)) -> list[str]:
+    """Delete version folders that no published partition lies in and that
+    are old enough for every reader and unpublished writer to have ended.
+    Returns their paths."""
+    if not is_published(spark, path):
+        return []
+    used = {f.split(f"/{VERSION}", 1)[1].split("/", 1)[0] for f in read_table(spark, path).inputFiles() if f"/{VERSION}" in f}
+    fs, p = _fs(spark, path)
+    before = (dt.datetime.now() - older_than).timestamp() * 1000
+    old = [s.getPath().toString() for s in fs.listStatus(p)
+           if s.getPath().getName().startswith(VERSION) and s.getModificationTime() < before
+           and s.getPath().getName()[len(VERSION):] not in used]
+    for folder in old:
+        delete_path(spark, folder)
+    return old
 
 
 @dataclass
 class Change:
     """What an upsert will change: rows that differ from the stored ones."""
     rows: DataFrame
+    source: DataFrame              # de-duplicated, written
     path: str
     keys: Sequence[str]
     partitions: dict[str, Column]
     touched: list[tuple]
     earliest: dt.date | None
-    exists: bool
+    seen: list[str] | None         # the files that the plan has read; None: no table yet
+
+
+def _target(spark: SparkSession, path: str, partitions: dict[str, Column], touched: list[tuple]) -> DataFrame | None:
+    if not table_exists(spark, path):
+        return None
+    target = read_table(spark, path)
+    if partitions and is_published(spark, path):
+        return target.where(partition_filter(list(partitions), touched))
+    return _with_partitions(target, {k: v for k, v in partitions.items() if k not in target.columns})
 
 
 def plan_upsert(spark: SparkSession, source: DataFrame, path: str,
@@ -184,46 +299,51 @@ def plan_upsert(spark: SparkSession, source: DataFrame, path: str,
     from barforge.operators.staging import DEDUP_ORDER
     from barforge.operators.upsert import dedup_by_key
 
-    finish_swap(spark, path)
     partitions = partitions or {}
-    pcols = list(partitions)
     src = materialise(_with_partitions(
         dedup_by_key(source, keys, DEDUP_ORDER if order is None else order), partitions))
+    return _plan(spark, src, path, keys, partitions)
 
-    def touched(df: DataFrame) -> list[tuple]:
-        return [tuple(r) for r in df.select(*pcols).distinct().collect()] if pcols else []
 
-    exists = table_exists(spark, path)
-    if exists:
-        target = spark.read.parquet(path)
-        if pcols:
-            target = target.where(partition_filter(pcols, touched(src)))
+def _plan(spark: SparkSession, src: DataFrame, path: str, keys: Sequence[str], partitions: dict[str, Column]) -> Change:
+    pcols, rows, seen = list(partitions), src, None
+    target = _target(spark, path, partitions, partition_values(src, pcols))
+    if target is not None:
+        seen = sorted(target.inputFiles())
         same = None
         t = target.select(*[F.col(c).alias(f"_t_{c}") for c in src.columns])
         for c in src.columns:
             eq = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
             same = eq if same is None else same & eq
-        src = materialise(src.join(t, same, "left_anti"))
-    earliest = src.agg(F.min("date")).first()[0] if "date" in src.columns else None
-    return Change(src, path, keys, partitions, touched(src), earliest, exists)
-
-
-def apply_upsert(spark: SparkSession, change: Change) -> DataFrame:
-    """Merge a planned change: untouched partitions are neither read nor
-    written. Stored rows whose key holds a NULL match nothing and stay."""
-    pcols = list(change.partitions)
-    layout = list(pcols) + list(change.keys)
-    if not change.exists:
-        rows = change.rows
-        _write(rows.repartitionByRange(*layout) if pcols else rows, change.path, pcols, dynamic=False)
-        return spark.read.parquet(change.path)
-    if not change.rows.isEmpty():
-        target = spark.read.parquet(change.path)
-        if pcols:
-            target = target.where(partition_filter(pcols, change.touched))
-        merged = upsert(target, change.rows.select(*target.columns), change.keys, order=None)
-        _swap(spark, change.path, pcols, merged.repartitionByRange(*layout) if pcols else merged)
-    return spark.read.parquet(change.path)
+        rows = materialise(src.join(t, same, "left_anti"))
+    earliest = rows.agg(F.min("date")).first()[0] if "date" in rows.columns else None
+    return Change(rows, src, path, keys, partitions, partition_values(rows, pcols), earliest, seen)
+
+
+def apply_upsert(spark: SparkSession, change: Change, attempts: int = 3,
+                 before_publish: Callable[[Change], None] | None = None) -> DataFrame:
+    """Merge a planned change into a new version of the touched partitions
+    and publish it: others are neither read nor written. Stored rows whose
+    key holds a NULL match nothing and stay.
+
+    If the files that the plan read are no longer the published ones, another
+    application was faster: the merge is planned again on what it published.
+    ``before_publish`` sees every change that is about to be published."""
+    for _ in range(attempts):
+        if change.seen is not None and change.rows.isEmpty():
+            return read_table(spark, change.path)
+        target = _target(spark, change.path, change.partitions, change.touched)
+        merged = change.rows if target is None else upsert(
+            target, change.rows.select(*target.columns), change.keys, order=None)
+        whole = not change.partitions or not is_published(spark, change.path)
+        version = write_version(merged, change.path, change.partitions, change.keys, None if whole else change.touched)
+        now = _target(spark, change.path, change.partitions, partition_values(change.source, list(change.partitions)))
+        if (None if now is None else sorted(now.inputFiles())) == change.seen:
+            if before_publish is not None:
+                before_publish(change)
+            return publish(spark, version)
+        change = _plan(spark, change.source, change.path, change.keys, change.partitions)
+    raise TableChanged(f"{change.path}: published by another application {attempts} times during this upsert")
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str,
@@ -264,7 +384,7 @@ def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
     """Rows of a date-partitioned table with ``since <= date < before``,
     reading only the partitions that can hold them. ``schema``: for tables
     that may hold no rows."""
-    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    df = read_table(spark, path, schema)
     if since is not None:
         floor = partition_floor(df.columns, since)
         df = (df.where(floor) if floor is not None else df).where(F.col("date") >= F.lit(since))
@@ -274,42 +394,23 @@ def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
     return df
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: dict[str, Column],
-                      sort_by: Sequence[str] = ("symbol", "date")) -> str:
-    """Full write of a layer partitioned by ``partitions``; rows are
-    range-partitioned (sampled bounds split hot keys) and sorted inside, so
-    every partition is in ``sort_by`` order (O1)."""
-    finish_swap(df.sparkSession, path)
-    pcols = list(partitions)
-    out = df.withColumns(partitions)
-    out = out.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
-    out.write.mode("overwrite").partitionBy(*pcols).parquet(path)
-    return path
-
-
-def replace_from(spark: SparkSession, rows: DataFrame, path: str, since: dt.date,
-                 partitions: dict[str, Column], date_col: str = "date",
-                 sort_by: Sequence[str] = ("symbol", "date")) -> None:
-    """Replace every row dated on or after ``since`` with ``rows`` (which
-    must hold only such rows); rows before ``since`` stay. Only partitions
-    from ``since`` on are read and rewritten; a partition left without rows
-    is removed. A swap that was cut short is finished first."""
+def replace_changed(spark: SparkSession, path: str, fresh: DataFrame, bounds: DataFrame,
+                    partitions: dict[str, Column], sort_by: Sequence[str] = ("symbol", "date")) -> Version:
+    """A version in which the rows of every symbol of ``bounds`` from its
+    ``start`` on are ``fresh`` (which holds only such rows); all other rows
+    of the partitions that hold a fresh or a replaced row are copied as they
+    are, and other partitions are not touched."""
     pcols = list(partitions)
-    finish_swap(spark, path)
-    if not table_exists(spark, path):
-        write_partitioned(rows, path, partitions, sort_by)
-        return
-    old = spark.read.schema(rows.withColumns(partitions).schema).parquet(path)   # it may hold no rows
-    floor = partition_floor(old.columns, since)
-    touched = old.where(floor) if floor is not None else old
-    kept = touched.where(F.col(date_col) < F.lit(since))
-    merged = materialise(kept.unionByName(rows.withColumns(partitions).select(*old.columns)))
-    # Partition values are bounded by the calendar from ``since`` on.
-    before = {tuple(r) for r in touched.select(*pcols).distinct().collect()}
-    after = {tuple(r) for r in merged.select(*pcols).distinct().collect()}
-    removed = ["/".join(f"{c}={v}" for c, v in zip(pcols, values)) for values in before - after]
-    layout = merged.repartitionByRange(*pcols, *sort_by).sortWithinPartitions(*pcols, *sort_by)
-    _swap(spark, path, pcols, layout, removed)
+    fresh = materialise(_with_partitions(fresh, partitions))
+    old = read_table(spark, path, fresh.schema).select(*fresh.columns)
+    met = old.join(bounds.select("symbol", "start"), "symbol", "left").select(*fresh.columns, "start")
+    replaced = F.coalesce(F.col("date") >= F.col("start"), F.lit(False))
+    since = bounds.agg(F.min("start")).first()[0]
+    floor = partition_floor(pcols, since) if since is not None else None
+    stale = (met.where(floor) if floor is not None else met).where(replaced)
+    touched = sorted({*partition_values(fresh, pcols), *partition_values(stale, pcols)})
+    kept = met.where(partition_filter(pcols, touched)).where(~replaced).drop("start")
+    return write_version(kept.unionByName(fresh), path, partitions, sort_by, touched)
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -324,24 +425,29 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str]) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{n}`")
 
 
-def register_tables(spark: SparkSession, tables: dict[str, str], namespace: str) -> list[str]:
-    """Expose stored layers as catalog tables ``namespace.name`` over their
-    paths (S11, S12), refreshing any cached listing (S13)."""
+def create_view(spark: SparkSession, name: str, sql: str) -> str:
+    """A persistent view ``namespace.name`` over SQL text (S5, S10): it is
+    kept in the catalog and read by every session."""
+    namespace, leaf = name.split(".")
     ensure_namespaces(spark, [namespace])
-    names = []
-    for name, path in tables.items():
-        full = f"`{namespace}`.`{name}`"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
-        if spark.sql(f"DESCRIBE TABLE {full}").where("col_name = '# Partition Information'").count():
-            spark.catalog.recoverPartitions(f"{namespace}.{name}")
-        spark.catalog.refreshTable(f"{namespace}.{name}")
-        names.append(f"{namespace}.{name}")
-    return names
+    spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{leaf}` AS {sql}")
+    return name
+
+
+def table_sql(spark: SparkSession, path: str) -> str:
+    """How SQL text names the table at ``path``."""
+    return table_name(spark, path) if is_published(spark, path) else f"parquet.`{_qualified(spark, path)}`"
+
+
+def register_tables(spark: SparkSession, tables: dict[str, str], namespace: str) -> list[str]:
+    """Expose stored layers as ``namespace.name`` (S11, S12): views over the
+    published tables, which follow every later version."""
+    return [create_view(spark, f"{namespace}.{name}", f"SELECT * FROM {table_sql(spark, path)}")
+            for name, path in tables.items()]
 
 
 def register_layer(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Expose a lazy layer under a name, like a view model or a named
-    source (S5, S10)."""
+    """Expose a lazy layer under a name in this session only."""
     df.createOrReplaceTempView(name)
 
 

@@ -13,20 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.plans.pending import record_pending
+from barforge.plans.changes import record_changes
 from barforge.schemas import LANDING
 from barforge.sources import storage
 from barforge.sources.landing import normalize_landing, to_bronze
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str,
-                         checkpoint_location: str | None = None, exchange_tz: str = "UTC",
+                         checkpoint_location: str | None = None, *, exchange_tz: str,
                          available_now: bool = True,
                          max_files_per_trigger: int | None = None,
-                         pending_path: str | None = None) -> StreamingQuery:
+                         changes_path: str | None = None) -> StreamingQuery:
     """Start the stream; call ``.awaitTermination()`` on the result to wait
     (``available_now=True`` stops once the folder is drained). With
-    ``pending_path``, each micro-batch first records its earliest date for
+    ``changes_path``, each micro-batch first records its changed symbols for
     the incremental silver refresh."""
     # Beside the table by default: the same for every application.
     ckpt = checkpoint_location or f"{bronze_path.rstrip('/')}__stream"
@@ -39,9 +39,9 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
         rows = to_bronze(normalize_landing(batch, exchange_tz))
         change = storage.plan_upsert(batch.sparkSession, rows, bronze_path,
                                      keys=("symbol", "date"), partitions=storage.month_partition())
-        if pending_path and change.earliest is not None:
-            record_pending(batch.sparkSession, pending_path, change.earliest)
-        storage.apply_upsert(batch.sparkSession, change)
+        session = batch.sparkSession
+        storage.apply_upsert(session, change, before_publish=(
+            lambda c: record_changes(session, changes_path, c.rows, f"batch-{batch_id}")) if changes_path else None)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,5 +1,5 @@
 from barforge.__main__ import main
-from barforge.sources import fixtures as fx
+from barforge.sources import fixtures as fx, storage
 from barforge.sources.master import write_master
 from conftest import SF_SMALL
 
@@ -15,8 +15,8 @@ def test_cli_setup_daily_transform(spark, scratch, capsys):
     assert rc == 0
     assert "symbols_ok" in capsys.readouterr().out
     assert main(["transform", "--root", lake], spark=spark) == 0
-    assert {"day", "bucket"} <= set(spark.read.parquet(f"{lake}/bronze").columns)
-    assert spark.read.parquet(f"{lake}/gold/weekly_technical_analysis").count() > 0
+    assert {"day", "bucket"} <= set(storage.read_table(spark, f"{lake}/bronze").columns)
+    assert storage.read_table(spark, f"{lake}/gold/weekly_technical_analysis").count() > 0
 
 
 def test_cli_master(spark, scratch):

@@ -15,8 +15,8 @@ def test_pipeline_end_to_end_and_rerun(spark, scratch):
     write_master(fx.master(spark, SF_SMALL), f"{scratch}/master")
     fx.control(spark, SF_SMALL).write.parquet(f"{scratch}/lake/control")
     master = read_master(spark, f"{scratch}/master")
-    land = normalize_landing(read_landing(spark, f"{scratch}/landing"))
-    late = normalize_landing(read_landing(spark, f"{scratch}/late"))
+    land = normalize_landing(read_landing(spark, f"{scratch}/landing"), "UTC")
+    late = normalize_landing(read_landing(spark, f"{scratch}/late"), "UTC")
     out = run_daily_job(spark, master, land, f"{scratch}/lake", fx.RUN_DATE, fx.RUN_TS,
                        fx.RUN_ID, retry_landing_norm=land.unionByName(late))
     s = out["summary"].first()

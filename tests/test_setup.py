@@ -1,4 +1,4 @@
-from barforge.plans.incremental import read_control
+from barforge.plans.incremental import read_control, write_control
 from barforge.plans.setup import setup_lake
 from barforge.schemas import CONTROL
 
@@ -10,7 +10,7 @@ def test_setup_creates_control_and_namespaces(spark, scratch):
     ctl = read_control(spark, f"{scratch}/lake/control")
     assert ctl.count() == 0 and ctl.schema == CONTROL
     # idempotent: a second setup keeps an existing control table
-    spark.createDataFrame([("A", None, 1, "r", None, "FULL", "SUCCESS", None)], CONTROL) \
-        .write.mode("overwrite").parquet(f"{scratch}/lake/control")
+    write_control(spark, spark.createDataFrame([("A", None, 1, "r", None, "FULL", "SUCCESS", None)], CONTROL),
+                  f"{scratch}/lake/control")
     setup_lake(spark, f"{scratch}/lake")
     assert read_control(spark, f"{scratch}/lake/control").count() == 1

@@ -14,7 +14,7 @@ def test_missing_optional_column_is_typed_null(spark):
         [(dt.datetime(2024, 3, 1), 1.0, 2.0, 0.5, 1.5, 10.9, 0.0, "A")],
         "Date timestamp, Open double, High double, Low double, Close double, Volume double, "
         "`Stock Splits` double, Symbol string")
-    norm = normalize_landing(land)
+    norm = normalize_landing(land, "UTC")
     assert "dividends" not in norm.columns  # tolerant projection skips it
     (r,) = to_bronze(norm).collect()
     assert r["dividends"] is None and r["volume"] == 10  # fraction truncated
@@ -37,8 +37,8 @@ def test_null_volume_raises(spark):
                                  "Close double, Volume double, Dividends double, "
                                  "`Stock Splits` double, Symbol string")
     with pytest.raises(Exception):
-        normalize_landing(land).collect()
-    assert normalize_landing(land, strict_volume=False).first()["volume"] is None
+        normalize_landing(land, "UTC").collect()
+    assert normalize_landing(land, "UTC", strict_volume=False).first()["volume"] is None
 
 
 def test_quoted_csv_and_folder_master(spark, scratch):

@@ -15,14 +15,14 @@ def test_file_stream_upserts_new_files_only(spark, scratch):
     land, bronze, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
     landing(spark, [("2024-03-07 00:00:00", "A", 1.0, 5.0),
                     ("2024-03-07 00:00:00", "A", 1.1, 9.0)]).write.mode("append").parquet(land)
-    start_landing_stream(spark, land, bronze, ckpt).awaitTermination(120)
+    start_landing_stream(spark, land, bronze, ckpt, exchange_tz="UTC").awaitTermination(120)
     assert [(r["close"], r["volume"]) for r in read_bronze(spark, bronze).collect()] == [(1.1, 9)]
     # a later file re-sends the day with a bigger volume and adds a new day
     landing(spark, [("2024-03-07 00:00:00", "A", 1.2, 20.0),
                     ("2024-03-08 00:00:00", "A", 1.3, 4.0)]).write.mode("append").parquet(land)
-    start_landing_stream(spark, land, bronze, ckpt,
-                         pending_path=f"{scratch}/pending").awaitTermination(120)
-    from barforge.plans.pending import read_pending
-    assert read_pending(spark, f"{scratch}/pending") == dt.date(2024, 3, 7)
+    start_landing_stream(spark, land, bronze, ckpt, exchange_tz="UTC",
+                         changes_path=f"{scratch}/changes").awaitTermination(120)
+    from barforge.plans.changes import read_changes
+    assert [tuple(r) for r in read_changes(spark, f"{scratch}/changes").symbols.collect()] == [("A", dt.date(2024, 3, 7))]
     got = sorted((r["date"].isoformat(), r["close"]) for r in read_bronze(spark, bronze).collect())
     assert got == [("2024-03-07", 1.2), ("2024-03-08", 1.3)]
