@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from barforge.functions import bar_key, month_key, typical_price, week_key
 from barforge.operators import bars, incremental as inc, indicators as ind, quality, staging
+from barforge.operators.ordering import with_position
 from barforge.operators.upsert import dedup_by_key, upsert
+from barforge.plans.incremental import read_control, run_incremental, write_control
 from barforge.schemas import BRONZE, conform
-from barforge.sources import fixtures as fx
-from barforge.sources.landing import normalize_landing, table_stats, to_bronze
-from barforge.sources.master import master_symbols
-from barforge.sources.storage import materialise
+from barforge.sources import fixtures as fx, storage
+from barforge.sources.landing import (
+    normalize_landing, read_bronze, stored_stats, table_stats, to_bronze, with_exchange_zone,
+)
+from barforge.sources.master import load_master, master_symbols, rejects_path
+from barforge.sources.storage import materialise, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +36,10 @@ def _ind(spark, sf):
     return ind.indicators(_weekly(spark, sf))
 
 
+def _gold(spark, sf):
+    return ind.weekly_technical_analysis(materialise(_weekly(spark, sf)))
+
+
 def _silver_gold() -> dict[str, Query]:
     q: dict[str, Query] = {
         "stg_not_null": lambda s, d: staging.not_null(fx.prices(s, d).select(*staging.STAGING_COLUMNS)),
@@ -67,7 +75,9 @@ def _silver_gold() -> dict[str, Query]:
                .alias("cci_34")),
         "rs_nifty50": lambda s, d: _ind(s, d).select("date", "symbol", "close", "rs_nifty50"),
         "rs_nifty500": lambda s, d: _ind(s, d).select("date", "symbol", "close", "rs_nifty500"),
-        "weekly_technical_analysis": lambda s, d: ind.weekly_technical_analysis(_weekly(s, d)),
+        # Weekly bars are planned once: both sides of the benchmark join read them back.
+        "weekly_technical_analysis": lambda s, d: _gold(s, d),
+        "ordered_gold": lambda s, d: with_position(_gold(s, d), ["symbol", "date"]),
     }
     for n in ind.BREAKOUT_WEEKS:
         q[f"breakout_{n}w"] = (lambda n: lambda s, d: _ind(s, d).select(
@@ -150,6 +160,55 @@ def _bronze() -> dict[str, Query]:
     }
 
 
+def _stored() -> dict[str, Query]:
+    """What production stores, read back from published tables."""
+    def upserted(s, d, partitions):
+        target, source = fx.upsert_pair(s, d)
+        path = staging_path(s)
+        storage.upsert_table(s, target, path, partitions=partitions)
+        storage.upsert_table(s, source, path, partitions=partitions)
+        return path
+
+    def stats(s, d):
+        # One file per month: the layout is ordered by the partition alone.
+        path = staging_path(s)
+        storage.replace_table(upsert(*fx.upsert_pair(s, d), ["symbol", "date"]), path, storage.month_partition(), sort_by=())
+        return stored_stats(s, path)
+
+    def ran(s, d) -> tuple[str, str]:
+        root = staging_path(s)
+        land = normalize_landing(fx.landing(s, d), "UTC")
+        late = normalize_landing(fx.landing(s, d, late=True), "UTC")
+        write_control(s, fx.control(s, d), f"{root}/control")
+        run_incremental(s, fx.master(s, d), land, f"{root}/control", f"{root}/bronze", fx.RUN_DATE, fx.RUN_TS, fx.RUN_ID,
+                        retry_landing_norm=land.unionByName(late))
+        return f"{root}/control", f"{root}/bronze"
+
+    def view(s, d):
+        path = staging_path(s)
+        storage.replace_table(fx.prices(s, d), path, storage.month_partition())
+        name = storage.create_view(s, storage.table_name(s, path) + "_stg", staging.staging_sql(storage.table_sql(s, path)))
+        return s.table(name)
+
+    def from_csv(s, d):
+        path = staging_path(s)
+        fx.master_lines(s, d).write.text(path)
+        good = load_master(s, path, header=False)
+        rejects = s.read.text(rejects_path(path)).withColumnRenamed("value", "record")
+        return good.unionByName(rejects, allowMissingColumns=True)
+
+    return {
+        "bronze_stored_upsert": lambda s, d: _bronze_cols(storage.read_table(s, upserted(s, d, storage.month_partition()))),
+        "bronze_stored_run": lambda s, d: read_bronze(s, ran(s, d)[1]),
+        "control_stored": lambda s, d: read_control(s, ran(s, d)[0]),
+        "stored_stats": stats,
+        "stg_view": view,
+        "master_from_csv": from_csv,
+        "landing_exchange_day": lambda s, d: normalize_landing(
+            with_exchange_zone(fx.landing_by_hour(s, d), fx.master_with_zones(s, d)), F.col("exchange_tz")),
+    }
+
+
 def _layers(spark, sf) -> dict[str, DataFrame]:
     stg = materialise(_stg(spark, sf))
     weekly = materialise(bars.resample_bars(stg, "week"))
@@ -190,4 +249,5 @@ def queries() -> dict[str, Query]:
     out.update(_silver_gold())
     out.update(_incremental())
     out.update(_checks())
+    out.update(_stored())
     return out

@@ -47,3 +47,13 @@ def stage_daily(bronze: DataFrame) -> DataFrame:
     (symbol, date)."""
     src = not_null(bronze.select(*STAGING_COLUMNS))
     return keep_first(src, ["symbol", "date"]).select(*STAGING_COLUMNS)
+
+
+def staging_sql(source: str) -> str:
+    """The staging view as SQL text over a named table (S10): what
+    ``stage_daily`` does, for ``storage.create_view``."""
+    columns = ", ".join(STAGING_COLUMNS)
+    given = " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED)
+    order = ", ".join(f"{c} DESC NULLS FIRST" for c in DEDUP_ORDER)
+    return (f"SELECT {columns} FROM (SELECT {columns}, row_number() OVER (PARTITION BY symbol, date ORDER BY {order}) AS nth "
+            f"FROM {source} WHERE {given}) WHERE nth = 1")

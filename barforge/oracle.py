@@ -395,10 +395,41 @@ def _checks() -> dict[str, str]:
     }
 
 
+def _stored() -> dict[str, str]:
+    same = {**_bronze(), **_incremental(), **_silver_gold()}
+    return {
+        "bronze_stored_upsert": same["bronze_upsert"],
+        "bronze_stored_run": same["incremental_run"],
+        "control_stored": same["control_upsert"],
+        "stg_view": same["stg_daily_prices"],
+        "stored_stats": with_("upserted", """
+            SELECT COUNT(DISTINCT strftime(date, '%Y%m')) AS file_count, COUNT(*) AS row_count,
+                   COUNT(DISTINCT symbol) AS symbol_count, MIN(date) AS min_date, MAX(date) AS max_date
+            FROM upserted"""),
+        "ordered_gold": with_("gold", """
+            SELECT *, row_number() OVER (ORDER BY symbol, date) AS position FROM gold"""),
+        "master_from_csv": """
+            SELECT CASE WHEN fits THEN symbol END AS symbol, CASE WHEN fits THEN name END AS company_name,
+                   CASE WHEN k % 10 = 4 THEN symbol WHEN k % 10 = 8 THEN symbol || ',"' || name || '",surplus' END AS record
+            FROM (SELECT s_suppkey AS k, 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, s_suppkey % 10 NOT IN (4, 8) AS fits,
+                         CASE WHEN s_suppkey % 10 = 6 THEN 'The "' || s_name || '", Ltd' ELSE s_name || ', Ltd' END AS name
+                  FROM supplier) AS listed""",
+        "landing_exchange_day": with_("trades", """
+            SELECT CAST(timezone(CASE WHEN k % 2 = 0 THEN 'Asia/Kolkata' ELSE 'America/New_York' END,
+                                 timezone('UTC', CAST(date AS TIMESTAMP) + to_hours(CAST((k * 5 + volume) % 24 AS BIGINT))
+                                                 + to_minutes(30))) AS DATE) AS date,
+                   open, high, low, close,
+                   CAST(trunc(volume + CASE WHEN k % 2 = 0 THEN 0.25e0 ELSE 0.75e0 END) AS BIGINT) AS volume,
+                   volume / 100.0e0 AS dividends, CASE WHEN k % 3 = 0 THEN 2.0e0 ELSE 0.0e0 END AS stock_splits, symbol
+            FROM trades"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_bronze())
     out.update(_silver_gold())
     out.update(_incremental())
     out.update(_checks())
+    out.update(_stored())
     return out

@@ -174,3 +174,39 @@ def constituents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, F.concat(F.lit(" "), sym, F.lit(" ")))
          .when(k % 3 == 1, F.concat(F.lit("\t"), sym, F.lit("\r\n"))).otherwise(sym).alias("Symbol"),
     )
+
+
+ZONES = ("Asia/Kolkata", "America/New_York")
+
+
+def master_with_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master list with each symbol's exchange zone: the first for even ``k``, the second for odd."""
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        _symbol(k).alias("symbol"), F.col("s_name").alias("company_name"),
+        F.when(k % 2 == 0, F.lit(ZONES[0])).otherwise(F.lit(ZONES[1])).alias("exchange_tz"))
+
+
+def landing_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trade as a landing row at half past hour ``(5 k + volume) % 24``
+    UTC, so days turn in both zones and on both sides of a clock change;
+    volumes have fractions, dividends and splits are not zero."""
+    t = trades(spark, sf_dir, with_key=True)
+    k, volume = F.col("k"), F.col("volume")
+    seconds = F.unix_date("date") * 86400 + ((k * 5 + volume) % 24) * 3600 + 1800
+    return t.select(
+        F.timestamp_seconds(seconds).alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
+        F.col("low").alias("Low"), F.col("close").alias("Close"),
+        (volume + F.when(k % 2 == 0, 0.25).otherwise(0.75)).alias("Volume"),
+        (volume / F.lit(100.0)).alias("Dividends"), F.when(k % 3 == 0, 2.0).otherwise(0.0).alias("Stock Splits"),
+        F.col("symbol").alias("Symbol"))
+
+
+def master_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A master list as CSV text without a header: quoted names with commas
+    and doubled quotes, short records for ``k % 10 = 4``, surplus ones for ``k % 10 = 8``."""
+    k, q = F.col("s_suppkey"), F.lit('"')
+    name = F.when(k % 10 == 6, F.concat(F.lit('The ""'), "s_name", F.lit('"", Ltd'))).otherwise(F.concat("s_name", F.lit(", Ltd")))
+    quoted = F.concat(_symbol(k), F.lit(","), q, name, q)
+    line = F.when(k % 10 == 4, _symbol(k)).when(k % 10 == 8, F.concat(quoted, F.lit(",surplus"))).otherwise(quoted)
+    return table(spark, sf_dir, "supplier").select(line.alias("value"))

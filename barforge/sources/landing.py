@@ -99,11 +99,37 @@ def table_stats(df: DataFrame) -> DataFrame:
 
 
 def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files behind a stored table (S9), from file metadata."""
+    """Number of data files behind a stored table (S9), from its listing."""
     from barforge.sources.storage import read_table
 
     return len(set(read_table(spark, path).inputFiles()))
 
 
-__all__ = ["KEEP", "RENAMES", "file_count", "normalize_landing", "read_bronze",
-           "read_landing", "table_stats", "to_bronze"]
+def footer_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and date range of a stored table from its Parquet footers alone
+    (S9): the aggregate is pushed into the scan, no data page is read. The
+    pushdown needs the DSv2 reader, so it runs in a session of its own."""
+    from barforge.sources.storage import read_table
+
+    files = sorted(set(read_table(spark, path).inputFiles()))
+    meta = spark.newSession()
+    meta.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    meta.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = meta.read.parquet(*files) if files else meta.createDataFrame([], BRONZE)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+
+
+def stored_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Statistics of a stored table, one row (S9): files from the listing,
+    rows and date range from the footers, symbols from that column alone."""
+    from barforge.sources.storage import read_table
+
+    seen = footer_stats(spark, path).first()
+    return read_table(spark, path).agg(F.count_distinct("symbol").alias("symbol_count")).select(
+        F.lit(file_count(spark, path)).cast("bigint").alias("file_count"),
+        F.lit(seen["row_count"]).cast("bigint").alias("row_count"), "symbol_count",
+        F.lit(seen["min_date"]).cast("date").alias("min_date"), F.lit(seen["max_date"]).cast("date").alias("max_date"))
+
+
+__all__ = ["KEEP", "RENAMES", "file_count", "footer_stats", "normalize_landing", "read_bronze",
+           "read_landing", "stored_stats", "table_stats", "to_bronze", "with_exchange_zone"]
