@@ -202,6 +202,9 @@ def _stored() -> dict[str, Query]:
         "bronze_stored_run": lambda s, d: read_bronze(s, ran(s, d)[1]),
         "control_stored": lambda s, d: read_control(s, ran(s, d)[0]),
         "stored_stats": stats,
+        # Weekly bars stored in buckets by symbol: gold over them has no exchange on the symbol.
+        "gold_bucketed": lambda s, d: ind.weekly_technical_analysis(
+            storage.replace_table(_weekly(s, d), staging_path(s), buckets=8)),
         "stg_view": view,
         "master_from_csv": from_csv,
         "landing_exchange_day": lambda s, d: normalize_landing(

@@ -402,6 +402,7 @@ def _stored() -> dict[str, str]:
         "bronze_stored_run": same["incremental_run"],
         "control_stored": same["control_upsert"],
         "stg_view": same["stg_daily_prices"],
+        "gold_bucketed": same["weekly_technical_analysis"],
         "stored_stats": with_("upserted", """
             SELECT COUNT(DISTINCT strftime(date, '%Y%m')) AS file_count, COUNT(*) AS row_count,
                    COUNT(DISTINCT symbol) AS symbol_count, MIN(date) AS min_date, MAX(date) AS max_date

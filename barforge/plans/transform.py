@@ -36,6 +36,8 @@ from barforge.sources.landing import read_bronze
 class TransformPaths:
     silver: str
     gold: str
+    #: Buckets by symbol of the weekly table (0: none). With them gold's windows need no exchange.
+    buckets: int = 0
 
     @property
     def weekly(self) -> str:
@@ -109,11 +111,11 @@ def refresh_silver(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     lo = both.agg(F.min("start")).first()[0]
     stg, weekly, monthly = build_silver(_rows_of(read_bronze(spark, bronze_path, since=lo), both))
     out = []
-    for fresh, column, path in ((weekly, "week", paths.weekly), (monthly, "month", paths.monthly)):
+    for fresh, column, path, n in ((weekly, "week", paths.weekly, paths.buckets), (monthly, "month", paths.monthly, 0)):
         bounds = both.select("symbol", F.col(column).alias("start"))
         # A period that began before its symbol's start is complete in the table already.
         rows = fresh.join(bounds, "symbol").where(F.col("date") >= F.col("start")).select(*fresh.columns)
-        out.append(storage.replace_changed(spark, path, rows, bounds, silver_partition()))
+        out.append(storage.replace_changed(spark, path, rows, bounds, silver_partition(), buckets=n))
     return stg, out[0], out[1]
 
 
@@ -191,7 +193,7 @@ def run_transform(spark: SparkSession, bronze_path: str, paths: TransformPaths,
     have_layers = all(storage.table_exists(spark, p) for p in (paths.weekly, paths.monthly, paths.technical))
     if full or not have_layers or change is None:
         stg, weekly_rows, monthly_rows = build_silver(read_bronze(spark, bronze_path))
-        weekly = storage.write_version(weekly_rows, paths.weekly, silver_partition())
+        weekly = storage.write_version(weekly_rows, paths.weekly, silver_partition(), buckets=paths.buckets)
         monthly = storage.write_version(monthly_rows, paths.monthly, silver_partition())
         gold = storage.write_version(indicators.weekly_technical_analysis(conform(weekly.rows(spark), BARS)),
                                      paths.technical, silver_partition())

@@ -158,9 +158,13 @@ class Version:
     values: list[tuple]            # partitions that hold rows
     replaces: list[tuple] | None   # partitions that the version stands for; None: the whole table
     figures: dict[str, int]        # rows, and NULLs per column, counted while they were written
+    buckets: int = 0               # by symbol; 0: none
+    written: str | None = None     # catalog name of a bucketed version until it is published
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """The rows of this version alone."""
+        if self.written:
+            return spark.table(self.written)
         return spark.read.schema(self.schema).parquet(self.folder)
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -174,9 +178,14 @@ class Version:
 
 def write_version(df: DataFrame, path: str, partitions: dict[str, Column] | None = None,
                   sort_by: Sequence[str] = ("symbol", "date"),
-                  replaces: list[tuple] | None = None) -> Version:
+                  replaces: list[tuple] | None = None, buckets: int = 0) -> Version:
     """Write ``df`` as a new, unpublished version of the table at ``path``.
 
+    With ``buckets`` the files are bucketed by symbol and sorted by
+    ``sort_by``, one file per bucket and partition: a window or join by
+    symbol over the table then needs no exchange (its tasks are the buckets,
+    so their number is to be chosen by the table's size).
+
     Rows are range-partitioned (sampled bounds split hot keys) and sorted by
     partition and ``sort_by``. The row count and the NULLs of every column
     are observed in the pass that writes, after the exchange, so nothing is
@@ -185,19 +194,29 @@ def write_version(df: DataFrame, path: str, partitions: dict[str, Column] | None
     pcols = list(partitions)
     out = _with_partitions(df, {k: v for k, v in partitions.items() if k not in df.columns})
     order = [*pcols, *[c for c in sort_by if c in out.columns]]
-    if order:
+    if buckets:
+        out = out.repartition(buckets, "symbol").sortWithinPartitions(*order)
+    elif order:
         out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     seen = Observation(f"version {uuid.uuid4().hex}")
     names = [c for c in out.columns if c not in pcols]
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"),
                       *(F.count_if(F.col(f"`{c}`").isNull()).alias(f"null {c}") for c in names))
     folder = f"{path.rstrip('/')}/{VERSION}{uuid.uuid4().hex}"
-    (out.write.partitionBy(*pcols) if pcols else out.write).parquet(folder)
+    w = out.write.partitionBy(*pcols) if pcols else out.write
+    written = None
+    if buckets:
+        # Bucketed files can only be written through the catalog.
+        written = f"{NAMESPACE}.version_{uuid.uuid4().hex}"
+        ensure_namespaces(spark, [NAMESPACE])
+        w.bucketBy(buckets, "symbol").sortBy(*sort_by).option("path", folder).format("parquet").saveAsTable(written)
+    else:
+        w.parquet(folder)
     figures = {k: int(v) for k, v in seen.get.items()}
     types = {f.name: f for f in out.schema.fields}
     schema = StructType([types[c] for c in names + pcols])
     values = partition_values(spark.read.schema(schema).parquet(folder), pcols) if figures["rows"] else []
-    return Version(path, folder, schema, pcols, values, replaces, figures)
+    return Version(path, folder, schema, pcols, values, replaces, figures, buckets, written)
 
 
 def _spec(columns: Sequence[str], value: tuple) -> str:
@@ -215,14 +234,18 @@ def publish(spark: SparkSession, version: Version) -> DataFrame:
     name, pcols = table_name(spark, version.path), version.columns
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {NAMESPACE}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.schema.fields)
+    layout = f"PARTITIONED BY ({', '.join(pcols)})" if pcols else ""
+    if version.buckets:
+        layout += f" CLUSTERED BY (symbol) SORTED BY (symbol, date) INTO {version.buckets} BUCKETS"
+    if is_published(spark, version.path) and _buckets(spark, name) != version.buckets:
+        raise ValueError(f"{version.path} is stored in {_buckets(spark, name)} buckets, not {version.buckets}")
     if not pcols:
         if is_published(spark, version.path):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.folder}'")
         else:
-            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{version.folder}'")
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{version.folder}'")
     else:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-                  f"PARTITIONED BY ({', '.join(pcols)}) LOCATION '{version.path.rstrip('/')}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} LOCATION '{version.path.rstrip('/')}'")
         kinds = {f.name: f.dataType for f in version.schema.fields}
 
         def parsed(text: str) -> tuple:
@@ -240,13 +263,22 @@ def publish(spark: SparkSession, version: Version) -> DataFrame:
         if gone:
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({_spec(pcols, v)})" for v in sorted(gone)))
     spark.catalog.refreshTable(name)
+    if version.written:
+        spark.sql(f"DROP TABLE IF EXISTS {version.written}")   # external: the files stay
+        version.written = None
     return spark.table(name)
 
 
+def _buckets(spark: SparkSession, name: str) -> int:
+    """In how many buckets a catalog table is stored."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    return int(found["data_type"]) if found else 0
+
+
 def replace_table(df: DataFrame, path: str, partitions: dict[str, Column] | None = None,
-                  sort_by: Sequence[str] = ("symbol", "date")) -> DataFrame:
+                  sort_by: Sequence[str] = ("symbol", "date"), buckets: int = 0) -> DataFrame:
     """Write and publish the whole table at ``path``."""
-    return publish(df.sparkSession, write_version(df, path, partitions, sort_by))
+    return publish(df.sparkSession, write_version(df, path, partitions, sort_by, buckets=buckets))
 
 
 def remove_unused(spark: SparkSession, path: str, older_than: dt.timedelta = dt.timedelta(days=7)) -> list[str]:
@@ -395,7 +427,8 @@ def read_range(spark: SparkSession, path: str, since: dt.date | None = None,
 
 
 def replace_changed(spark: SparkSession, path: str, fresh: DataFrame, bounds: DataFrame,
-                    partitions: dict[str, Column], sort_by: Sequence[str] = ("symbol", "date")) -> Version:
+                    partitions: dict[str, Column], sort_by: Sequence[str] = ("symbol", "date"),
+                    buckets: int = 0) -> Version:
     """A version in which the rows of every symbol of ``bounds`` from its
     ``start`` on are ``fresh`` (which holds only such rows); all other rows
     of the partitions that hold a fresh or a replaced row are copied as they
@@ -410,7 +443,7 @@ def replace_changed(spark: SparkSession, path: str, fresh: DataFrame, bounds: Da
     stale = (met.where(floor) if floor is not None else met).where(replaced)
     touched = sorted({*partition_values(fresh, pcols), *partition_values(stale, pcols)})
     kept = met.where(partition_filter(pcols, touched)).where(~replaced).drop("start")
-    return write_version(kept.unionByName(fresh), path, partitions, sort_by, touched)
+    return write_version(kept.unionByName(fresh), path, partitions, sort_by, touched, buckets)
 
 
 def layer_name(custom: str | None, default: str) -> str:
