@@ -53,7 +53,7 @@ def test_nothing_fetched_leaves_tables_untouched(spark, scratch):
     ctl_path, bronze_path = f"{scratch}/control", f"{scratch}/bronze"
     spark.createDataFrame([control_row("A", D("2024-03-01"))], CONTROL).write.parquet(ctl_path)
     before = sorted(read_control(spark, ctl_path).collect())
-    empty = normalize_landing(landing(spark, [("2024-01-01 00:00:00", "Z", 1.0, 1.0)]))
+    empty = normalize_landing(landing(spark, [("2024-01-01 00:00:00", "Z", 1.0, 1.0)]), "UTC")
     assert run_incremental(spark, master(spark, "A"), empty, ctl_path, bronze_path, RUN, TS, "r1") is None
     assert not storage.table_exists(spark, bronze_path)
     assert sorted(read_control(spark, ctl_path).collect()) == before
@@ -63,7 +63,7 @@ def test_run_then_rerun_is_idempotent(spark, scratch):
     ctl_path, bronze_path = f"{scratch}/control", f"{scratch}/bronze"
     land = normalize_landing(landing(spark, [
         ("2024-03-07 00:00:00", "A", 1.0, 5.0), ("2024-03-07 00:00:00", "A", 1.1, 9.0),
-        ("2024-03-08 00:00:00", "A", 1.2, 5.0), ("2024-03-08 00:00:00", "B", 7.0, 1.0)]))
+        ("2024-03-08 00:00:00", "A", 1.2, 5.0), ("2024-03-08 00:00:00", "B", 7.0, 1.0)]), "UTC")
     s1 = run_incremental(spark, master(spark, "A", "B", "C"), land, ctl_path, bronze_path,
                          RUN, TS, "r1").first()
     assert (s1["new_symbols"], s1["symbols_ok"], s1["symbols_failed"], s1["total_rows"]) == (3, 2, 1, 4)
@@ -106,13 +106,13 @@ def test_partition_scoped_upsert_leaves_other_months(spark, scratch):
             (D("2024-02-05"), 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, "A")]
     storage.upsert_table(spark, spark.createDataFrame(rows, BRONZE), path,
                          partitions=storage.month_partition())
-    jan = sorted(p for p in spark.read.parquet(path).where("month = 202401")
+    jan = sorted(p for p in storage.read_table(spark, path).where("month = 202401")
                  .select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
     new = [(D("2024-02-05"), 2.0, 2.0, 2.0, 2.0, 7, 0.0, 0.0, "A"),
            (D("2024-02-06"), 2.0, 2.0, 2.0, 2.0, 7, 0.0, 0.0, "A")]
     storage.upsert_table(spark, spark.createDataFrame(new, BRONZE), path,
                          partitions=storage.month_partition())
-    jan2 = sorted(p for p in spark.read.parquet(path).where("month = 202401")
+    jan2 = sorted(p for p in storage.read_table(spark, path).where("month = 202401")
                   .select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
     assert jan == jan2  # January files untouched
     got = {r["date"]: r["volume"] for r in read_bronze(spark, path).collect()}

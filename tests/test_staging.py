@@ -29,7 +29,7 @@ def test_null_and_nan_close_dropped(spark):
          (D("2024-03-05"), 1.0, 2.0, 0.5, 1.5, 10.0, 0.0, 0.0, "A")],
         "Date date, Open double, High double, Low double, Close double, Volume double, "
         "Dividends double, `Stock Splits` double, Symbol string")
-    bronze = normalize_landing(land)
+    bronze = normalize_landing(land, "UTC")
     assert bronze.where(F.isnan("close")).count() == 0
     out = stage_daily(bronze).collect()
     assert [r["date"] for r in out] == [D("2024-03-05")]
