@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,7 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder would be wrong, so a missing setting is an error there."""
     d = checkpoint_dir(spark)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster[...]" has executors of its own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(HDFS or an object store); it holds intermediate results")
         d = tempfile.mkdtemp(prefix="barforge-ckpt-")
