@@ -6,8 +6,9 @@ Where both have a token end and the next tokens begin with a space mark, the
 text is cut (the anchors); between anchors lie windows, mostly one word.  A
 window's alignment depends on its token ids only, so it is worked out, and its
 bytes of A and B compared, once for every pair of id tuples and kept in a
-bounded memo; the bytes of A are compared with the whole text.  In a window, A and B tokens are cut into
-groups where both end, and a link is a pair of tokens whose bytes overlap.
+bounded memo, where a block looks each of its distinct windows up once.  In a
+window, A and B tokens are cut into groups where both end, and a link is a
+pair of tokens whose bytes overlap.
 
 Corpus counts of linked id pairs: tasks write their documents in blocks of
 about ``BLOCK_CHARS`` characters, each with a table of its distinct pairs and
@@ -31,9 +32,11 @@ import gc
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,14 +72,20 @@ class ByteTokenizer:
         special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens = {i: bytes(byte_of[c] for c in t) for t, i in data["model"]["vocab"].items() if t not in special}
         ranks = {token: i for i, token in self.tokens.items()}
+        self.sizes = np.zeros(max(self.tokens) + 1, np.int64)
+        self.sizes[list(self.tokens)] = [len(token) for token in self.tokens.values()]
         self.encoding = tiktoken.Encoding("from-file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def token_ids(self, texts: list[str]) -> list[np.ndarray | None]:
-        """The ids of a space and each text; None if they do not spell it out."""
+        """The ids of a space and each text; None if they do not spell it out.
+
+        Tokens spell the pattern's matches in their order, so nothing is
+        missing if they have as many bytes as the text.
+        """
         out = []
         for t in texts:
-            ids = self.encoding.encode_ordinary(" " + t)
-            out.append(np.array(ids, np.uint32) if self.encoding.decode_bytes(ids) == (" " + t).encode() else None)
+            ids = np.array(self.encoding.encode_ordinary(" " + t), np.uint32)
+            out.append(ids if self.sizes[ids].sum() == len(t.encode()) + 1 else None)
         return out
 
 
@@ -117,12 +126,14 @@ class PieceTokenizer(Encoder):
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         spaced = [p for p in pieces if p[0] == " "]
         bare = [p for p in pieces if p[0] != " "]
-        out = dict(zip(spaced, self.model.encode([p[1:] for p in spaced], num_threads=1)))
+        found = self.model.encode([p[1:] for p in spaced], num_threads=1)
         # After a line break a word has no space mark before it.
         after = len(self.line_break)
         for p, ids in zip(bare, self.model.encode(["\n" + p for p in bare], num_threads=1)):
-            out[p] = self.line_break[1:] if p == "\n" else ids[after:]
-        return {p: np.array(ids, np.uint32).tobytes() for p, ids in out.items()}
+            found.append(self.line_break[1:] if p == "\n" else ids[after:])
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) * 4).tolist()
+        raw = np.fromiter(chain.from_iterable(found), np.uint32).tobytes()
+        return {p: raw[i:j] for p, i, j in zip(spaced + bare, [0, *ends], ends)}
 
     def token_ids(self, texts: list[str]) -> list[np.ndarray]:
         # The word before keeps the text's first space; its one id is cut off again.
@@ -202,10 +213,10 @@ class Aligner:
             self.new[key] = ("".join(names[upto[k]:upto[k + 1]]), groups[k], raw[links[k]:links[k + 1]])
 
     def _look_up(self, keys: list[bytes]) -> list[tuple[str, int, bytes] | None]:
-        """What the memo holds for the windows, in their order; unseen ones are learnt first."""
+        """What the memo holds for distinct windows, in their order; unseen ones are learnt first."""
         if len(self.new) > MEMO_WINDOWS:
             self.old, self.new = self.new, {}
-        lacking = [k for k in dict.fromkeys(keys) if k not in self.new]
+        lacking = [k for k in keys if k not in self.new]
         self.new.update((k, self.old[k]) for k in lacking if k in self.old)
         if unseen := [k for k in lacking if k not in self.old]:
             self._learn(unseen)
@@ -225,26 +236,44 @@ class Aligner:
             before[:-1] = self.a_space[a[1:]]
             before[np.cumsum(n_a)[n_a > 0] - 1] = True
             anchors = shared[before[shared]]
-            raw_a, raw_b = a.tobytes(), (b | _B_FLAG).tobytes()
-            x, y = ((anchors + 1) * 4).tolist(), ((at[anchors] + 1) * 4).tolist()
-            found = self._look_up([raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip([0, *x], x, [0, *y], y)])
+            windows = _windows(a, b, anchors + 1, at[anchors] + 1).dictionary_encode()
+            index = windows.indices.to_numpy()
+            found = self._look_up(windows.dictionary.to_numpy(zero_copy_only=False).tolist())
             # Windows up to the end of every text.
             upto = np.concatenate([[0], np.searchsorted(anchors, np.cumsum(n_a) - 1, "right")])
-            cuts = upto.tolist()
             if None not in found:
                 break
-            for k, (p, q) in enumerate(zip(cuts, cuts[1:])):
-                if None in found[p:q]:
-                    a_rows[k], b_rows[k] = a_rows[k][:0], b_rows[k][:0]
+            unlike = np.fromiter((f is None for f in found), bool, len(found))[index]
+            for k in np.flatnonzero(_sums(unlike, upto)).tolist():
+                a_rows[k], b_rows[k] = a_rows[k][:0], b_rows[k][:0]
         names, groups, links = zip(*found) if found else ((), (), ())
-        sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
+        named = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(names, pa.large_string()).take(windows.indices))
+        linked, offsets = _gathered(links, index)
         return {
-            "n_a": n_a, "n_b": n_b, "n_groups": _sums(np.array(groups, np.int64), upto),
-            "groups": [";".join(names[p:q]) for p, q in zip(cuts, cuts[1:])],
-            "links": np.frombuffer(b"".join(links), np.int64), "offsets": np.concatenate([[0], np.cumsum(sizes)])[upto],
+            "n_a": n_a, "n_b": n_b, "n_groups": _sums(np.array(groups, np.int64)[index], upto),
+            "groups": pc.binary_join(named, pa.scalar(";", pa.large_string())).to_pylist(), "links": linked, "offsets": offsets[upto],
         }
 
 
+def _windows(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The ids of A, then the marked ids of B, of every window (in tokens of A and B up to its end)."""
+    a_sizes, b_sizes = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+    ids = np.empty(len(a) + len(b), np.uint32)
+    ids[np.arange(len(a)) + np.repeat(b_ends - b_sizes, a_sizes)] = a
+    ids[np.arange(len(b)) + np.repeat(a_ends, b_sizes)] = b | _B_FLAG
+    offsets = np.concatenate([[0], (a_ends + b_ends) * 4]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(a_ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _gathered(links: tuple[bytes, ...], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links of the windows that ``index`` names, one after the other, and where each window's begin."""
+    sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
+    table, first = np.frombuffer(b"".join(links), np.int64), np.cumsum(sizes) - sizes
+    n = sizes[index]
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    return table[np.arange(offsets[-1]) + np.repeat(first[index] - offsets[:-1], n)], offsets
+
+
 def aligner(a_path: str, b_path: str) -> Aligner:
     """The process's aligner for two tokenizer files."""
     if (a_path, b_path) not in _ALIGNERS:

@@ -173,7 +173,7 @@ class Encoder:
         words = pc.split_pattern(pa.array([flat], pa.large_string()), "\x00").flatten()
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         bases, tails = self._bases(distinct)
         wanted = {*bases, *tails.values()} - {"\x01"}
         found = self._look_up(list(wanted))
