@@ -37,11 +37,6 @@ MIN_CHARS = 20
 COUNTED = "entairos"
 
 
-def index_places(edits: int = MAX_EDITS) -> list[tuple[int, int, int]]:
-    """(0, segment, 0) of every segment that a line is indexed by."""
-    return [(0, i, 0) for i in range(1, edits + 2)]
-
-
 def probe_places(edits: int = MAX_EDITS) -> list[tuple[int, int, int]]:
     """(characters less, segment, shift) of all substrings by which a line meets one as long or shorter."""
     k, out = edits + 1, []
@@ -58,18 +53,18 @@ def edit_budget(n: Column, edits: int = MAX_EDITS) -> Column:
 
 
 def segment_keys(line: Column, n: Column, edits: int = MAX_EDITS) -> Column:
-    """Key and role (1 indexed, 2 probing) of every place: hash of the length, the segment's number (from 1) and its text.
+    """Key and role (2 probing, 3 indexed as well) of every place: hash of the length, the segment's number (from 1) and its text.
 
+    A line's own segments stand among the places that it probes, unshifted.
     Only places whose indexed length has the budget they were made for; the
     last segments of a line take the remainder of its length.  One lambda over
     the places keeps the compiled code small.
     """
     names = ("less", "i", "shift", "budget", "role")
     places = [
-        (*p, budget, role)
+        (less, i, shift, budget, 3 if less == shift == 0 else 2)
         for budget in range(1, edits + 1)
-        for role, some in ((1, index_places(budget)), (2, probe_places(budget)))
-        for p in some
+        for less, i, shift in probe_places(budget)
     ]
 
     def array(some: list[tuple[int, ...]]) -> Column:
@@ -91,13 +86,11 @@ def segment_keys(line: Column, n: Column, edits: int = MAX_EDITS) -> Column:
 
 def _letters(line: Column) -> Column:
     """Counts of the letters, at most 255 each, one per byte of a number."""
-    n = F.length(line)
-
-    def add(acc: Column, c: Column) -> Column:
-        count = F.least(F.lit(255), n - F.length(F.replace(line, c, F.lit(""))))
-        return F.shiftleft(acc, 8).bitwiseOR(count.cast("long"))
-
-    return F.aggregate(F.array(*(F.lit(c) for c in COUNTED)), F.lit(0).cast("long"), add)
+    out = F.lit(0).cast("long")
+    for c in COUNTED:
+        count = F.least(F.lit(255), F.size(F.split(line, c, -1)) - 1)
+        out = F.shiftleft(out, 8).bitwiseOR(count.cast("long"))
+    return out
 
 
 def _letter_distance(a: Column, b: Column) -> Column:
