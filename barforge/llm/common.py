@@ -24,6 +24,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with signs added to it if a column of ``df`` is called so (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for one intermediate table in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

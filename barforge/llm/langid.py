@@ -11,11 +11,15 @@ shortest code wins (ties: first by name); the score is its share of
 2 ** -length over all languages.
 
 The trees are fitted on a bounded sample: per language at most ``DOCS`` texts
-(smallest id hashes) of at most ``CHARS`` characters together, whole texts.
+(smallest id hashes, one text for each id) of at most ``CHARS`` characters
+together, whole texts.  More than ``MAX_LANGUAGES`` languages are an error.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 rows with a null lang or ``doc_id`` are not learned from; without any language
-every text is ``und``; repeated rows are predicted alike.
+every text is ``und``; repeated rows are predicted alike; an id that is
+repeated within a language is learned from once, by its text with the least
+hash; very long texts are scored whole; columns other than ``doc_id``, ``text``
+and ``lang`` are not read and may have any names.
 """
 
 from __future__ import annotations
@@ -153,28 +157,32 @@ def learn_fold(doc_id: Column) -> Column:
 def fit(docs: DataFrame, per_language: int = DOCS, chars: int = CHARS, order: int = ORDER) -> Model:
     """Fit on a bounded sample of the learnable rows (see the module's docstring)."""
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    rows = docs.select(ids, F.col("lang"), F.length("text").alias("n")).where(
-        "lang is not null and doc_id is not null and n > 0"
-    ).where(learn_fold(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    known = docs.select(ids, F.col("lang"), F.col("text")).where("lang is not null and doc_id is not null and text <> ''")
+    known = known.where(learn_fold(F.col("doc_id")))
+    rows = known.select("doc_id", "lang", F.struct(F.xxhash64("text").alias("sig"), F.length("text").alias("n")).alias("one"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in lang")
     if not counts:
         return build({}, order)
     # Only ids whose hash lies in a share that holds about four times the wanted
     # number are ranked, so a language with a third of all rows is one small group.
-    shares = [(r["lang"], min(1.0, 4 * per_language / r["count"])) for r in counts]
+    shares = [(r["lang"], min(1.0, 4 * per_language / r["ids"])) for r in counts]
     shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     near = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # An id that is repeated within a language stands for its text with the least hash.
+    near = near.groupBy("lang", "doc_id").agg(F.min("one").alias("one")).select("lang", "doc_id", "one.sig", "one.n")
     first = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
     ranked = near.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
     upto = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     picks = ranked.withColumn("upto", F.sum("n").over(upto)).where((F.col("upto") <= chars) | (F.col("k") == 1))
     # per_language rows for each language at most: small by the parameters.
-    texts = docs.select(ids, "text").join(F.broadcast(picks.select("doc_id", F.col("lang").alias("name"))), "doc_id")
+    signed = known.withColumn("sig", F.xxhash64("text"))
+    texts = signed.join(F.broadcast(picks.select("lang", "doc_id", "sig")), ["lang", "doc_id", "sig"])
+    texts = texts.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
-    for row in texts.select("name", "text").collect():
-        samples.setdefault(row["name"], []).append(row["text"] or "")
+    for row in sorted(texts.collect(), key=lambda r: (r["lang"], r["doc_id"])):
+        samples.setdefault(row["lang"], []).append(row["text"])
     return build(samples, order)
 
 

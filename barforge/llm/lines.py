@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barforge.llm.common import materialise
+from barforge.llm.common import free_name, materialise
 
 MAX_EDITS = 2
 #: Characters from which a line has all its edits.
@@ -169,23 +169,24 @@ def drop_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
 
     A document of which only blank text is left goes.
     """
-    gone = line_classes(docs, edits).where("not kept").groupBy("doc_id", "tsig").agg(F.collect_set("line_no").alias("__gone"))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("tsig").alias("__sig"), "__gone")
-    same = (F.xxhash64(docs["text"]) == gone["__sig"]) & docs["doc_id"].cast("long").eqNullSafe(gone["__id"])
+    missing, id_, sig, cut_text = (free_name(docs, name) for name in ("__gone", "__id", "__sig", "__text"))
+    gone = line_classes(docs, edits).where("not kept").groupBy("doc_id", "tsig").agg(F.collect_set("line_no").alias(missing))
+    gone = gone.select(F.col("doc_id").alias(id_), F.col("tsig").alias(sig), missing)
+    same = (F.xxhash64(docs["text"]) == gone[sig]) & docs["doc_id"].cast("long").eqNullSafe(gone[id_])
     joined = docs.join(gone, same, "left")
     # Sections between kept lines are joined again by line breaks.
     rest = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col("__gone"), k)), "\n"
+        F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col(missing), k)), "\n"
     )
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest)
-    cut = joined.withColumn("__text", text).where(F.col("__gone").isNull() | F.col("__text").rlike(r"\S"))
+    text = F.when(F.col(missing).isNull(), F.col("text")).otherwise(rest)
+    cut = joined.withColumn(cut_text, text).where(F.col(missing).isNull() | F.col(cut_text).rlike(r"\S"))
     columns = []
     for name in docs.columns:
         if name == "text":
-            columns.append(F.col("__text").alias("text"))
+            columns.append(F.col(cut_text).alias("text"))
         elif name == "n_chars":
-            length = F.length("__text").cast(docs.schema["n_chars"].dataType)
-            columns.append(F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(length).alias("n_chars"))
+            length = F.length(cut_text).cast(docs.schema["n_chars"].dataType)
+            columns.append(F.when(F.col(missing).isNull(), F.col("n_chars")).otherwise(length).alias("n_chars"))
         else:
             columns.append(F.col(name))
     return cut.select(*columns)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.llm.align import edit_distance
-from barforge.llm.common import NEAR, SHINGLE_WORDS, materialise
+from barforge.llm.common import NEAR, SHINGLE_WORDS, free_name, materialise
 from barforge.llm.components import connected_components
 
 FUNCTIONS = 48
@@ -45,6 +45,8 @@ PICKS, SHORT_PICKS = 6, 2
 SHORT, LONG = 40, 32
 #: Leaders a bucket names in the first round, and by how much more in each further one.
 FIRST_LEADERS, MORE_LEADERS = 1, 4
+#: Leaders of a round at most, so that Spark cuts a bucket to them before the shuffle.
+MOST_LEADERS = 512
 _ODD = np.random.default_rng(20240501).integers(1, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -225,7 +227,7 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         placed = materialise(
             members.join(parts, "node", "left").select("node", "key", "n", F.coalesce("part", "node").alias("part")), "placed"
         )
-        count *= MORE_LEADERS
+        count = min(count * MORE_LEADERS, MOST_LEADERS)
     if links is None:
         return docs.sparkSession.createDataFrame([], "sig_a string, sig_b string, distance int")
     return links.select("sig_a", "sig_b", "distance").distinct()
@@ -260,15 +262,20 @@ def near_groups(docs: DataFrame, near: float = NEAR, whole: bool = True) -> Data
 def drop_near(docs: DataFrame, near: float = NEAR) -> DataFrame:
     """One document of each group, with all its columns: that of the least ``doc_id`` (then digest).
 
-    Documents without a word all stay.
+    Of rows that share that id and the words, the one with the least hash of
+    its text (then of its other columns) stays.  Documents without a word all
+    stay.
     """
     groups = near_groups(docs, near, whole=False).where("sig is not null")
     # The least (doc_id, digest) of a group: null ids count as the largest.
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("sig").alias("digest"))
     kept = groups.groupBy("component").agg(F.min(order).alias("least"))
-    kept = kept.select(F.col("least.id").alias("__id"), F.col("least.digest").alias("__sig"))
+    of, id_, sig, place = (free_name(docs, name) for name in ("__of", "__id", "__sig", "__place"))
+    kept = kept.select(F.col("least.id").alias(id_), F.col("least.digest").alias(sig))
     has_word = F.coalesce(F.col("text").rlike(r"[\p{L}\p{N}]"), F.lit(False))
-    marked = docs.where(has_word).withColumn("__of", signature(words(F.col("text"))))
-    same = (F.col("__of") == F.col("__sig")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    chosen = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__of"]).drop("__of")
-    return chosen.unionByName(docs.where(~has_word))
+    marked = docs.where(has_word).withColumn(of, signature(words(F.col("text"))))
+    same = (F.col(of) == F.col(sig)) & F.col("doc_id").eqNullSafe(F.col(id_))
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    first = Window.partitionBy("doc_id", of).orderBy(F.xxhash64("text"), F.xxhash64(*hashed))
+    chosen = marked.join(kept, same, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return chosen.drop(of, place).unionByName(docs.where(~has_word))

@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
         return Model(np.zeros(FEATURES, np.float32), 0.0)
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     trusted = known.where("high = 1").select("doc_id").orderBy(*order).limit(positives)
-    others = docs.select(ids).where(learn_fold(F.col("doc_id"))).orderBy(*order).limit(unlabelled)
+    others = docs.select(ids).where(learn_fold(F.col("doc_id"))).distinct().orderBy(*order).limit(unlabelled)
     picks = trusted.withColumn("trusted", F.lit(True)).union(others.withColumn("trusted", F.lit(False)))
     texts = docs.select(ids, F.coalesce("text", F.lit("")).alias("text"))
 
@@ -164,9 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
             rows = features(batch["text"].tolist())
             yield pd.DataFrame({"trusted": batch["trusted"], "x": [row.tobytes() for row in rows]})
 
-    # At most positives + unlabelled ids: a fixed bound.
-    sample = texts.join(F.broadcast(picks), "doc_id").select("trusted", "text")
-    rows = sample.mapInPandas(describe, "trusted boolean, x binary").limit(2 * (positives + unlabelled)).collect()
+    # At most positives + unlabelled ids, and one text for each (the least): a fixed bound.
+    sample = texts.join(F.broadcast(picks), "doc_id").groupBy("doc_id", "trusted").agg(F.min("text").alias("text"))
+    rows = sample.select("trusted", "text").mapInPandas(describe, "trusted boolean, x binary").collect()
     x = {kind: [np.frombuffer(r["x"], np.float32) for r in rows if r["trusted"] is kind] for kind in (True, False)}
     if not x[True] or not x[False]:
         return Model(np.zeros(FEATURES, np.float32), 0.0)
