@@ -23,7 +23,7 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_groups(_documents(spark, sf_dir)).select("doc_id", "class_id", "group_id", "links")
+    return order_minhash.near_groups(_documents(spark, sf_dir), whole=False).select("doc_id", "class_id", "group_id")
 
 
 def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,20 +134,34 @@ def _sketched(docs: DataFrame) -> DataFrame:
     return materialise(out.withColumn("node", F.conv(F.substring("sig", 1, 15), 16, 10).cast("long")), "sketches")
 
 
+def _may_be_near(x: np.ndarray, y: np.ndarray, most: int) -> bool:
+    """False if two word sequences are more than ``most`` edits apart by the q-gram lemma: an edit touches two pairs of neighbours."""
+
+    def neighbours(w: np.ndarray) -> np.ndarray:
+        w = w.astype(np.int64)
+        return np.unique((w[:-1] << 32) ^ (w[1:] & 0xFFFFFFFF))
+
+    a, b = neighbours(x), neighbours(y)
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return max(len(a), len(b)) - common <= 2 * most
+
+
 def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
-    """The pairs (a, b) with ``linked``: whether their word sequences are near."""
+    """The pairs (a, b) whose word sequences are near, with their distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok, far = [], []
             for k in range(batch.num_rows):  # one pair at a time as Python numbers
-                x, y = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
-                most = max(len(x), len(y))
-                d = edit_distance(x, y, int((1 - near) * most + 1e-9))
-                ok.append(d is not None)
-                far.append(d)
-            columns = [batch.column(k) for k in range(4)] + [pa.array(ok), pa.array(far, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sig_a", "sig_b", "linked", "distance"])
+                x, y = (batch.column(c)[k].values.to_numpy() for c in (4, 5))
+                most = int((1 - near) * max(len(x), len(y)) + 1e-9)
+                d = edit_distance(x.tolist(), y.tolist(), most) if _may_be_near(x, y, most) else None
+                if d is not None:
+                    ok.append(k)
+                    far.append(d)
+            rows = pa.array(ok, pa.int64())
+            columns = [batch.column(k).take(rows) for k in range(4)] + [pa.array(far, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sig_a", "sig_b", "distance"])
 
     side = {k: texts.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"), F.col("words").alias(f"w{k}")) for k in "ab"}
     both = pairs.join(side["a"], "a").join(side["b"], "b")
@@ -156,7 +170,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
     most = F.floor(F.greatest(F.size("wa"), F.size("wb")) * (1 - near) + 1e-9)
     near_words = (F.size(F.array_except("wa", "wb")) <= most) & (F.size(F.array_except("wb", "wa")) <= most)
     out = both.where(near_length).where(near_words).select("a", "b", "sig_a", "sig_b", "wa", "wb").mapInArrow(
-        run, "a long, b long, sig_a string, sig_b string, linked boolean, distance int"
+        run, "a long, b long, sig_a string, sig_b string, distance int"
     )
     return materialise(out, "alignments")
 
@@ -191,26 +205,23 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
     texts = materialise(texts, "class-words")
 
     if whole:
-        found = _aligned(_candidates(members, near), texts, near).where("linked")
+        found = _aligned(_candidates(members, near), texts, near)
         return found.select("sig_a", "sig_b", "distance").distinct()
 
-    links, done, led, count = None, None, None, FIRST_LEADERS
-    placed = members.withColumn("part", F.col("node"))
+    links, done, count = None, None, FIRST_LEADERS
+    placed = members.select("key", "node", "n", F.col("node").alias("part"), F.lit(False).alias("led"))
     while True:
-        # Buckets with more than one component; there, members outside the
-        # least component that have not led the bucket yet may lead it.
+        # Buckets with more than one component; a bucket that has become one stays one and is not read again.
         bounds = placed.groupBy("key").agg(F.min("part").alias("base"), F.max("part").alias("top")).where("base <> top")
-        mixed = placed.join(bounds.select("key", "base"), "key")
-        free = mixed.where("part <> base") if led is not None else mixed
-        if led is not None:
-            free = free.join(led, ["key", "node"], "left_anti")
+        mixed = materialise(placed.join(bounds.select("key", "base"), "key"), "mixed")
+        # There, members outside the least component that have not led the bucket yet may lead it.
+        free = mixed.where("part <> base and not led") if links is not None else mixed
         first = Window.partitionBy("key").orderBy("node")
         # Cut to the leaders before the shuffle (window group limit), also in a very large bucket.
         leaders = free.withColumn("k", F.row_number().over(first)).where(F.col("k") <= count).select("key", "node", "part", "n")
         leaders = materialise(leaders, "leaders")
         if leaders.isEmpty():
             break
-        led = leaders.select("key", "node") if led is None else led.unionByName(leaders.select("key", "node"))
         other = leaders.select(F.col("key").alias("at"), F.col("node").alias("leader"), F.col("part").alias("leads"), F.col("n").alias("m"))
         # Texts whose lengths are too far apart never meet.
         near_length = F.least("n", "m") >= F.greatest("n", "m") * near
@@ -219,14 +230,15 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        found = _aligned(pairs, texts, near).where("linked").select("a", "b", "sig_a", "sig_b", "distance")
+        found = _aligned(pairs, texts, near)
         links = found if links is None else links.unionByName(found)
         done = pairs if done is None else done.unionByName(pairs)
         # Members that are connected by now need no further comparison.
         parts = connected_components(links.select("a", "b")).select("node", F.col("component").alias("part"))
-        placed = materialise(
-            members.join(parts, "node", "left").select("node", "key", "n", F.coalesce("part", "node").alias("part")), "placed"
-        )
+        marks = leaders.select("key", "node", "n", F.lit(True).alias("led"))
+        rows = mixed.select("key", "node", "n", "led").unionByName(marks).groupBy("key", "node", "n").agg(F.max("led").alias("led"))
+        placed = rows.join(parts, "node", "left").select("key", "node", "n", F.coalesce("part", "node").alias("part"), "led")
+        placed = materialise(placed, "placed")
         count = min(count * MORE_LEADERS, MOST_LEADERS)
     if links is None:
         return docs.sparkSession.createDataFrame([], "sig_a string, sig_b string, distance int")
