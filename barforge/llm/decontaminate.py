@@ -9,13 +9,16 @@ characters on the band's diagonals.  The texts are scanned where they lie
 ``BLOCK_CHARS`` characters, one scan of the documents per block.
 
 Texts are compared in lower case, all white space as spaces.  The edit budget
-is ``EDITS`` of the item's length, lowered for short items until the bound is
-at least 1.
-
-Defined cases: null and empty texts hold nothing; items that are null or
-shorter than ``Q`` characters are no passages and never match; equal items
-match alike; a null ``doc_id`` or ``item_id`` is carried through; empty tables
-give empty results.
+is ``EDITS`` of the item's length, rounded down.  An item is indexed by the
+longest q-grams of ``QS`` whose bound is at least 1 at that budget, so that an
+item of any length is found; below 10 characters that is its exact text.
+
+Defined cases: null and empty texts hold nothing; null and empty items never
+match; very long texts are scanned whole; equal items and repeated rows match
+alike, each for itself; of equally good occurrences the first is reported; a
+null ``doc_id`` or ``item_id`` is carried through; empty tables give empty
+results; other columns are not read, or are kept as they are by
+``drop_leaking``.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 from barforge.llm.align import find_within
 from barforge.llm.common import materialise
 
-Q = 8
+#: Lengths of q-grams, powers of two.
+QS = (8, 4, 2, 1)
 EDITS = 0.1
 BLOCK_CHARS = 1_000_000
 _CHUNK_CHARS = 1_000_000
@@ -56,40 +60,38 @@ def _codes(text: str) -> np.ndarray:
     return out
 
 
-def _hashes(codes: np.ndarray) -> np.ndarray:
-    """A hash of the Q characters that start at each place (Q = 8: three doublings)."""
+def _hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """A hash of the q characters that start at each place, by doublings."""
     h = codes.astype(np.uint64)
     width, factor = 1, _BASE
     with np.errstate(over="ignore"):
-        while width < Q:
+        while width < q:
             h = h[: len(h) - width] * factor + h[width:]
             width, factor = 2 * width, factor * factor
         return h * _BASE ^ (h >> np.uint64(29))
 
 
-class Index:
-    """q-grams of a block of items, with a bit map that passes few other q-grams."""
+def gram_bound(m: int, q: int, edits: float = EDITS) -> int:
+    """q-grams that an item of m characters shares at least with an occurrence within its budget."""
+    return m + 1 - q * (int(edits * m) + 1)
 
-    def __init__(self, items: list[tuple[int, str]], edits: float = EDITS):
+
+class Grams:
+    """q-grams of some items, with a bit map that passes few other q-grams."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int, edits: float = EDITS):
+        self.q = q
         self.ids, self.codes, self.budgets, self.bounds = [], [], [], []
         grams, owners, places = [], [], []
-        for item_id, text in items:
-            codes = _codes(text or "")
-            m = len(codes)
-            if m < Q:
-                continue
-            e = min(int(edits * m), (m - Q) // Q)
-            h = _hashes(codes)
+        for item_id, codes in items:
+            h = _hashes(codes, q)
             grams.append(h)
             owners.append(np.full(len(h), len(self.ids), np.int64))
             places.append(np.arange(len(h), dtype=np.int64))
             self.ids.append(item_id)
             self.codes.append(codes)
-            self.budgets.append(e)
-            self.bounds.append(m + 1 - Q * (e + 1))
-        self.empty = not self.ids
-        if self.empty:
-            return
+            self.budgets.append(int(edits * len(codes)))
+            self.bounds.append(gram_bound(len(codes), q, edits))
         all_grams = np.concatenate(grams)
         order = np.argsort(all_grams, kind="stable")
         self.grams, self.first, self.times = np.unique(all_grams[order], return_index=True, return_counts=True)
@@ -98,27 +100,13 @@ class Index:
         self.map[(self.grams >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         self.budgets, self.bounds = np.array(self.budgets), np.array(self.bounds)
 
-    def scan(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
+    def scan(self, codes: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item id, edits, start, end): the best occurrence of each item in each text."""
-        out: list[tuple[int, int, int, int, int]] = []
-        if self.empty:
-            return out
-        k = 0
-        while k < len(texts):
-            some, size, end = [], 0, k
-            while end < len(texts) and size < _CHUNK_CHARS:
-                some.append(_codes(texts[end] or ""))
-                size += len(some[-1])
-                end += 1
-            out += [(k + row, *rest) for row, *rest in self._scan(some)]
-            k = end
-        return out
-
-    def _scan(self, codes: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+        q = self.q
         flat = np.concatenate(codes)
-        if len(flat) < Q:
+        if len(flat) < q:
             return []
-        h = _hashes(flat)
+        h = _hashes(flat, q)
         at = np.flatnonzero(self.map[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
         gram = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         hit = self.grams[gram] == h[at]
@@ -126,7 +114,7 @@ class Index:
         n = np.fromiter(map(len, codes), np.int64, len(codes))
         ends = np.cumsum(n)
         row = np.searchsorted(ends, at, "right")
-        inside = at + Q <= ends[row]
+        inside = at + q <= ends[row]
         at, gram, row = at[inside], gram[inside], row[inside]
         # One entry per shared q-gram and place in an item.
         times = self.times[gram]
@@ -157,6 +145,34 @@ class Index:
         return [(r, self.ids[i], *found) for (r, i), found in best.items()]
 
 
+class Index:
+    """A block of items, each in the ``Grams`` of its q."""
+
+    def __init__(self, items: list[tuple[int, str]], edits: float = EDITS):
+        by_q: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for item_id, text in items:
+            codes = _codes(text or "")
+            # An empty item has no q.
+            q = next((q for q in QS if gram_bound(len(codes), q, edits) >= 1), None)
+            if q:
+                by_q.setdefault(q, []).append((item_id, codes))
+        self.parts = [Grams(some, q, edits) for q, some in by_q.items()]
+
+    def scan(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
+        """(text number, item id, edits, start, end): the best occurrence of each item in each text."""
+        out: list[tuple[int, int, int, int, int]] = []
+        k = 0
+        while self.parts and k < len(texts):
+            some, size, end = [], 0, k
+            while end < len(texts) and size < _CHUNK_CHARS:
+                some.append(_codes(texts[end] or ""))
+                size += len(some[-1])
+                end += 1
+            out += [(k + row, *rest) for part in self.parts for row, *rest in part.scan(some)]
+            k = end
+        return out
+
+
 def _count(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct columns in order, and how often each occurs."""
     order = np.lexsort(keys[::-1])
@@ -170,7 +186,7 @@ def _count(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(benchmark: DataFrame, edits: float) -> Iterator[tuple[bool, object]]:
     """The benchmark's blocks as broadcast indexes; True with the last one."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length("text") >= Q)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length("text") > 0)
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-chars // BLOCK_CHARS))
     for k in range(n):
