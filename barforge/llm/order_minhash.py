@@ -10,18 +10,21 @@ sampled both ways.
 
 Equal word sequences form one class before anything else.  For the links of
 a class every pair of classes that share a sample is aligned once; copies are
-not expanded.  Where only groups are asked for (``drop_near``), a bucket of
-equal samples is not expanded into its pairs either: its members are aligned
+not expanded.  Where only classes and groups are asked for (``drop_near`` and
+the registered query), a bucket of equal samples is not expanded into its pairs either: its members are aligned
 with one leader.  While a bucket holds more than one connected component, members
 outside its least component lead in turn and are aligned with the members of
-the other components, so no connection inside a bucket is lost.  Two classes
+the other components, so no connection inside a bucket is lost; a bucket that
+has become one component is not read again.  Before a pair is aligned, its
+common pairs of neighbouring words are counted: an edit touches two of them at
+most, so a pair that lacks more is not near.  Two classes
 are linked if their word-level edit distance is at most (1 - NEAR) of the longer;
 groups are the connected components.
 
 Defined cases: documents without a word (null and empty texts too) are never
 near anything; equal rows are one document of one class; a null ``doc_id`` is
 kept in the result, and the id of a class or group is the least that is not
-null; tables may be empty; other columns are not read, or are kept as they are
+null; very long texts are read whole; tables may be empty; other columns are not read, or are kept as they are
 by ``drop_near``.
 """
 
