@@ -6,10 +6,15 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words of a shingle and the least similarity of a near copy.
 SHINGLE_WORDS = 5
 NEAR = 0.8
+#: Bits of one bitmap of Spark's bitmap functions, and how many bits ``probably_in`` gives each id.
+BITMAP_BITS, BITS_PER_ID = 32_768, 32
+#: Bitmaps that are broadcast at most (64 MB); beyond that more rows pass by chance.
+MOST_BITMAPS = 16_384
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -46,3 +51,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def probably_in(df: DataFrame, id_: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id (a 64-bit hash) is in ``wanted``, a stored table of its name, and a few others.
+
+    One bit per id in broadcast bitmaps decides, so rows are left out before
+    a shuffle; an exact semi-join has to follow.
+    """
+    n_bitmaps = min(MOST_BITMAPS, 1 + wanted.count() * BITS_PER_ID // BITMAP_BITS)
+    place = F.pmod(F.col(id_), F.lit(n_bitmaps * BITMAP_BITS))
+    bitmap, bits, at = (free_name(df, name) for name in ("__bitmap", "__bits", "__at"))
+    of, bit = (place / BITMAP_BITS).cast("int"), (place % BITMAP_BITS).cast("long")
+    bitmaps = wanted.select(of.alias(bitmap), bit.alias(at)).groupBy(bitmap).agg(F.bitmap_construct_agg(at).alias(bits))
+    byte = F.conv(F.hex(F.substring(bits, 1 + F.floor(bit / 8).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = df.join(F.broadcast(bitmaps), of == bitmaps[bitmap])
+    return marked.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*(df[c] for c in df.columns))
