@@ -186,6 +186,13 @@ def _candidates(members: DataFrame, near: float) -> DataFrame:
     return materialise(met.select(F.col("node").alias("a"), "b").distinct(), "pairs")
 
 
+def _mixed_buckets(members: DataFrame, of: str) -> DataFrame:
+    """The members of buckets in which ``of`` has more than one value, and its least (``base``)."""
+    bucket = Window.partitionBy("key")
+    bounded = members.withColumn("base", F.min(of).over(bucket)).withColumn("top", F.max(of).over(bucket))
+    return bounded.where("base <> top").drop("top")
+
+
 def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole: bool = True) -> DataFrame:
     """Verified links (sig_a, sig_b, distance) between classes of equal word sequences.
 
@@ -193,10 +200,8 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
     """
     nodes = sketches.where("sig is not null").groupBy("sig").agg(F.first("node").alias("node"), F.min("doc_id").alias("doc_id"))
     keyed = sketches.where("sig is not null").select("node", "n", F.explode("keys").alias("key")).distinct()
-    keyed = materialise(keyed, "keys")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     # Members of the buckets that hold more than one class.
-    members = materialise(keyed.join(shared.select("key"), "key"), "members")
+    members = materialise(_mixed_buckets(keyed, "node").select("key", "node", "n"), "members")
     wanted = members.select("node").distinct().join(nodes, "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     # Words cross the network as numbers.
@@ -212,11 +217,9 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         return found.select("sig_a", "sig_b", "distance").distinct()
 
     links, done, count = None, None, FIRST_LEADERS
-    placed = members.select("key", "node", "n", F.col("node").alias("part"), F.lit(False).alias("led"))
+    # At first every member is a component of its own, and all these buckets are mixed.
+    mixed = members.select("key", "node", "n", F.col("node").alias("part"), F.lit(False).alias("led"))
     while True:
-        # Buckets with more than one component; a bucket that has become one stays one and is not read again.
-        bounds = placed.groupBy("key").agg(F.min("part").alias("base"), F.max("part").alias("top")).where("base <> top")
-        mixed = materialise(placed.join(bounds.select("key", "base"), "key"), "mixed")
         # There, members outside the least component that have not led the bucket yet may lead it.
         free = mixed.where("part <> base and not led") if links is not None else mixed
         first = Window.partitionBy("key").orderBy("node")
@@ -241,7 +244,8 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         marks = leaders.select("key", "node", "n", F.lit(True).alias("led"))
         rows = mixed.select("key", "node", "n", "led").unionByName(marks).groupBy("key", "node", "n").agg(F.max("led").alias("led"))
         placed = rows.join(parts, "node", "left").select("key", "node", "n", F.coalesce("part", "node").alias("part"), "led")
-        placed = materialise(placed, "placed")
+        # Buckets with more than one component; a bucket that has become one stays one and is not read again.
+        mixed = materialise(_mixed_buckets(placed, "part"), "mixed")
         count = min(count * MORE_LEADERS, MOST_LEADERS)
     if links is None:
         return docs.sparkSession.createDataFrame([], "sig_a string, sig_b string, distance int")

@@ -49,3 +49,28 @@ def test_probably_in_keeps_all_wanted_and_few_others(spark, tmp_path):
     assert some.where("n % 100 = 7").count() == 400
     assert some.count() < 6_000
     assert probably_in(ids, "id", wanted.where("false")).count() == 0
+
+
+def test_each_bucket_is_written_once_before_the_first_round(frame, monkeypatch):
+    from barforge.llm import order_minhash
+    from tests.llm.conftest import prose
+
+    written, write = [], order_minhash.materialise
+
+    def noted(df, name):
+        written.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(order_minhash, "materialise", noted)
+    text = prose(5, 120)
+    docs = frame([(1, text), (2, text + " end"), (3, text), (4, prose(6, 120))])
+    groups = {r.doc_id: r.group_id for r in order_minhash.near_groups(docs, whole=False).collect()}
+    assert groups == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert "keys" not in written and written[: written.index("leaders")] == ["sketches", "members", "class-words"]
+
+
+def test_mixed_buckets_hold_more_than_one_value(spark):
+    from barforge.llm.order_minhash import _mixed_buckets
+
+    rows = spark.createDataFrame([(1, 5, 5), (1, 6, 5), (2, 7, 7), (2, 8, 9), (3, 4, 4)], "key long, node long, part long")
+    assert sorted(map(tuple, _mixed_buckets(rows, "part").collect())) == [(2, 7, 7, 7), (2, 8, 9, 7)]
