@@ -12,6 +12,7 @@ whole.  ``tests/llm`` compares both ways on arbitrary texts.
 from __future__ import annotations
 
 import os
+from array import array
 from string import punctuation
 from unicodedata import is_normalized, normalize
 
@@ -60,6 +61,7 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.drops_space = np.array_equal(self._plain(" a"), self._plain("a"))
         self.lowers = np.array_equal(self._plain("Ab"), self._plain("ab"))
+        self.space = _BYTE_SYMBOLS[ord(" ")]
         #: " \x01" before a piece marks where its ids begin.
         self.mark = self._plain(" \x01")
 
@@ -111,13 +113,20 @@ class Encoder:
 
     def _word(self, piece: str) -> bytes | None:
         """The ids of a space and Latin letters, or of letters alone: one word for the BPE model."""
-        word = piece[1:] if piece[0] == " " else piece
-        if not word.isalpha() or max(word) >= "\u0250":
+        spaced = piece[0] == " "
+        word = piece[1:] if spaced else piece
+        if not word.isalpha():
             return None
-        if self.lowers and (word != word.lower() or not is_normalized("NFC", word)):
+        plain = word.isascii()
+        if not plain and max(word) >= "\u0250":
             return None
-        symbols = (word if self.drops_space else piece).encode().decode("latin-1").translate(_BYTE_SYMBOLS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], np.uint32).tobytes()
+        if self.lowers and (word != word.lower() or not plain and not is_normalized("NFC", word)):
+            return None
+        if plain:  # ASCII letters name themselves
+            symbols = self.space + word if spaced and not self.drops_space else word
+        else:
+            symbols = (word if self.drops_space else piece).encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of unseen pieces: plain words by the model, others as a few long texts.
