@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """At the end of a task: hands what it has freed back to the system, as its Python worker stays for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def probably_in(df: DataFrame, id_: str, wanted: DataFrame) -> DataFrame:
     """The rows of ``df`` whose id (a 64-bit hash) is in ``wanted``, a stored table of its name, and a few others.
 

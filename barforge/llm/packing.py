@@ -24,12 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.llm.common import materialise
+from barforge.llm.common import materialise, release_memory
 from barforge.llm.word_cache import encoder
 
 WINDOW = 4096
 END_ID = 2
-_ROWS = 512
+#: Documents encoded and handed on at a time: a worker holds the ids of so many.
+_ENCODED, _ROWS = 4096, 512
 
 _TOKENS = "part int, first long, doc_id long, ids binary, n long"
 PIECES = (
@@ -43,7 +44,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        for batch in batches:
+        for batch in (whole.slice(k, _ENCODED) for whole in batches for k in range(0, whole.num_rows, _ENCODED)):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             end = np.array([end_id], np.uint32)
             found = [np.concatenate([x, end]) for x in enc.encode([t or "" for t in texts])]
@@ -62,6 +63,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
                     ],
                     names=["part", "first", "doc_id", "ids", "n"],
                 )
+        release_memory()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     return materialise(source.mapInArrow(encode, _TOKENS), "packing-tokens")

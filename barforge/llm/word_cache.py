@@ -177,10 +177,12 @@ class Encoder:
 
     def _encode_safe(self, texts, rows, out) -> None:
         # One flat column of pieces; a piece keeps its leading space.
-        flat = "\x00\x01\x00".join([texts[i] for i in rows])
-        flat = flat.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
-        words = pc.split_pattern(pa.array([flat], pa.large_string()), "\x00").flatten()
-        coded = words.dictionary_encode()
+        flat = "\x00\x01\x00".join([texts[i] for i in rows]).encode()
+        flat = flat.replace(b" ", b"\x00 ").replace(b"\n", b"\x00\n\x00")
+        bounds = pa.py_buffer(np.array([0, len(flat)], np.int64))
+        whole = pa.LargeStringArray.from_buffers(1, bounds, pa.py_buffer(flat))
+        coded = pc.split_pattern(whole, "\x00").flatten().dictionary_encode()
+        del flat, whole
         index = coded.indices.to_numpy(zero_copy_only=False)
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         bases, tails = self._bases(distinct)
@@ -195,7 +197,12 @@ class Encoder:
         first = np.cumsum(lens) - lens
         n = lens[index]
         ends = np.cumsum(n)
-        ids = table[np.repeat(first[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        shift = first[index]
+        shift -= ends
+        shift += n
+        at = np.repeat(shift, n)
+        at += np.arange(len(at))
+        ids = table[at]
         if "\x01" in distinct:
             cuts = ends[index == distinct.index("\x01")]
         else:
