@@ -15,7 +15,10 @@ the registered query), a bucket of equal samples is not expanded into its pairs
 with one leader.  While a bucket holds more than one connected component, members
 outside its least component lead in turn and are aligned with the members of
 the other components, so no connection inside a bucket is lost; a bucket that
-has become one component is not read again.  Before a pair is aligned, its
+has become one component is not read again.  From the second round on a member
+meets a leader only if bitmaps of their words differ in at most two bits for
+each edit allowed (an edit takes one word out and puts one in), less the
+difference of their lengths, which no near pair fails.  Before a pair is aligned, its
 common pairs of neighbouring words are counted: an edit touches two of them at
 most, so a pair that lacks more is not near.  Two classes
 are linked if their word-level edit distance is at most (1 - NEAR) of the longer;
@@ -38,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.llm.align import edit_distance
-from barforge.llm.common import NEAR, SHINGLE_WORDS, free_name, materialise
+from barforge.llm.common import NEAR, SHINGLE_WORDS, free_name, materialise, release_memory
 from barforge.llm.components import connected_components
 
 FUNCTIONS = 48
@@ -50,6 +53,8 @@ SHORT, LONG = 40, 32
 FIRST_LEADERS, MORE_LEADERS = 1, 4
 #: Leaders of a round at most, so that Spark cuts a bucket to them before the shuffle.
 MOST_LEADERS = 512
+#: Bits of a word bitmap for each word, at least.
+WORD_BITS = 8
 _ODD = np.random.default_rng(20240501).integers(1, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -130,6 +135,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
             sizes = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([*keys, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array((ends - starts).astype(np.int32))], names=["doc_id", "sig", "keys", "n"])
+        release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     hashed = rows.select("doc_id", signature(F.col("words")).alias("sig"), F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
@@ -165,6 +171,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
             rows = pa.array(ok, pa.int64())
             columns = [batch.column(k).take(rows) for k in range(4)] + [pa.array(far, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sig_a", "sig_b", "distance"])
+        release_memory()
 
     side = {k: texts.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"), F.col("words").alias(f"w{k}")) for k in "ab"}
     both = pairs.join(side["a"], "a").join(side["b"], "b")
@@ -186,6 +193,49 @@ def _candidates(members: DataFrame, near: float) -> DataFrame:
     return materialise(met.select(F.col("node").alias("a"), "b").distinct(), "pairs")
 
 
+def word_bits(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap (64-bit words, their number a power of two) of a text's words, the parity of those that fall on one bit.
+
+    An edit changes at most two bits of it, and so of its folded halves.
+    """
+    longs = 1 << max(0, (max(1, len(hashes)) * WORD_BITS - 1) // 64).bit_length()
+    with np.errstate(over="ignore"):
+        labelled = labelled_kmers(hashes, 1) if len(hashes) else np.empty(0, np.uint64)
+    at = (labelled >> np.uint64(32)).astype(np.int64) & (64 * longs - 1)
+    odd = (np.bincount(at, minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _word_bitmaps(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, its word bitmap (``bits``) and that folded to half its size (``folded``; written)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = [word_bits(words.values.to_numpy()) for words in batch.column(1)]
+            half = [x[: len(x) // 2] ^ x[len(x) // 2:] if len(x) > 1 else x for x in whole]
+            lists = (pa.array(x, pa.list_(pa.int64())) for x in (whole, half))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["node", "bits", "folded"])
+
+    wanted = texts.join(nodes, "node", "left_semi").select("node", "words")
+    return materialise(wanted.mapInArrow(run, "node long, bits array<long>, folded array<long>"), "word-bits")
+
+
+def _bits_near(near: float) -> Column:
+    """Whether the bitmaps (bits, folded) and (bits2, folded2) of texts of n and m words allow a near pair."""
+
+    def apart(x: str, y: str) -> Column:
+        counts = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        return F.aggregate(counts, F.lit(0), lambda total, one: total + one)
+
+    # Two bits an edit, but one where it makes the lengths differ.
+    most = 2 * F.floor(F.greatest("n", "m") * (1 - near) + 1e-9) - F.abs(F.col("n") - F.col("m"))
+    size, size2 = F.size("bits"), F.size("bits2")
+    return (
+        F.when(size == size2, apart("bits", "bits2")).when(size == 2 * size2, apart("folded", "bits2"))
+        .when(size2 == 2 * size, apart("bits", "folded2")).otherwise(0) <= most
+    )
+
+
 def _mixed_buckets(members: DataFrame, of: str) -> DataFrame:
     """The members of buckets in which ``of`` has more than one value, and its least (``base``)."""
     bucket = Window.partitionBy("key")
@@ -216,7 +266,7 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         found = _aligned(_candidates(members, near), texts, near)
         return found.select("sig_a", "sig_b", "distance").distinct()
 
-    links, done, count = None, None, FIRST_LEADERS
+    links, done, count, bitmaps = None, None, FIRST_LEADERS, None
     # At first every member is a component of its own, and all these buckets are mixed.
     mixed = members.select("key", "node", "n", F.col("node").alias("part"), F.lit(False).alias("led"))
     while True:
@@ -230,8 +280,13 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
             break
         other = leaders.select(F.col("key").alias("at"), F.col("node").alias("leader"), F.col("part").alias("leads"), F.col("n").alias("m"))
         # Texts whose lengths are too far apart never meet.
-        near_length = F.least("n", "m") >= F.greatest("n", "m") * near
-        met = mixed.join(other, (F.col("key") == F.col("at")) & (F.col("part") != F.col("leads")) & near_length)
+        may_meet = (F.col("part") != F.col("leads")) & (F.least("n", "m") >= F.greatest("n", "m") * near)
+        met = mixed
+        if bitmaps is not None:  # what the first round has not connected is mostly not near
+            met = mixed.join(bitmaps, "node")
+            other = other.join(bitmaps.toDF("leader", "bits2", "folded2"), "leader")
+            may_meet = may_meet & _bits_near(near)
+        met = met.join(other, (F.col("key") == F.col("at")) & may_meet)
         pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
@@ -246,6 +301,7 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
         placed = rows.join(parts, "node", "left").select("key", "node", "n", F.coalesce("part", "node").alias("part"), "led")
         # Buckets with more than one component; a bucket that has become one stays one and is not read again.
         mixed = materialise(_mixed_buckets(placed, "part"), "mixed")
+        bitmaps = _word_bitmaps(texts, mixed.select("node").distinct()) if bitmaps is None else bitmaps
         count = min(count * MORE_LEADERS, MOST_LEADERS)
     if links is None:
         return docs.sparkSession.createDataFrame([], "sig_a string, sig_b string, distance int")
