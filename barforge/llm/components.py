@@ -11,6 +11,23 @@ from barforge.llm.common import materialise
 def connected_components(links: DataFrame) -> DataFrame:
     """``node``, ``component`` (the least node of the component) for links (a, b).
 
+    First each node is replaced by the least of itself and its neighbours.
+    That keeps components and their least nodes, and leaves few distinct links
+    of a dense group, so that the rounds read few rows.
+    """
+    links = materialise(links.select("a", "b").where("a <> b").distinct(), "links")
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = materialise(ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("least")), "least")
+    met = links
+    for end in "ab":
+        met = met.join(near.toDF(end, "least"), end).drop(end).withColumnRenamed("least", end)
+    found = _propagated(met).toDF("least", "component")
+    return near.join(found, "least", "left").select("node", F.coalesce("component", "least").alias("component"))
+
+
+def _propagated(links: DataFrame) -> DataFrame:
+    """The components of contracted links.
+
     Every round hands each node the least label among its neighbours, then
     that label's own label (a jump).  Rounds end when no label changes; each
     is written to the shared folder.  A node with very many links is handled

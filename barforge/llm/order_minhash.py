@@ -292,13 +292,18 @@ def near_links(docs: DataFrame, sketches: DataFrame, near: float = NEAR, whole:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         found = _aligned(pairs, texts, near)
+        # Members that are connected by now need no further comparison: new links join components found before.
+        joints = found.select("a", "b")
+        if links is not None:
+            for end in "ab":
+                at = mixed.select(F.col("node").alias(end), F.col("part").alias("of")).distinct()
+                joints = joints.join(at, end).drop(end).withColumnRenamed("of", end)
+        parts = connected_components(joints).toDF("part", "component")
         links = found if links is None else links.unionByName(found)
         done = pairs if done is None else done.unionByName(pairs)
-        # Members that are connected by now need no further comparison.
-        parts = connected_components(links.select("a", "b")).select("node", F.col("component").alias("part"))
-        marks = leaders.select("key", "node", "n", F.lit(True).alias("led"))
-        rows = mixed.select("key", "node", "n", "led").unionByName(marks).groupBy("key", "node", "n").agg(F.max("led").alias("led"))
-        placed = rows.join(parts, "node", "left").select("key", "node", "n", F.coalesce("part", "node").alias("part"), "led")
+        marks = leaders.select("key", "node", "n", "part", F.lit(True).alias("led"))
+        rows = mixed.select(marks.columns).unionByName(marks).groupBy("key", "node", "n", "part").agg(F.max("led").alias("led"))
+        placed = rows.join(parts, "part", "left").select("key", "node", "n", F.coalesce("component", "part").alias("part"), "led")
         # Buckets with more than one component; a bucket that has become one stays one and is not read again.
         mixed = materialise(_mixed_buckets(placed, "part"), "mixed")
         bitmaps = _word_bitmaps(texts, mixed.select("node").distinct()) if bitmaps is None else bitmaps
