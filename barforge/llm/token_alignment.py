@@ -97,12 +97,13 @@ class PieceTokenizer(Encoder):
     those of its words; other texts are encoded whole.
     """
 
+    parts_signs = False
+
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.new, self.old = {}, {}
-        self.lowers = False
+        self._empty_cache()
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) or "\n" in p for p in pieces):
             raise ValueError("pieces across words: this model needs whole texts")
@@ -120,6 +121,9 @@ class PieceTokenizer(Encoder):
         # Texts come with "a " before them (see token_ids).
         return np.array([*self.model.encode("a"), *self.model.encode(text[2:])], np.uint32)
 
+    def _are_words(self, pieces: pa.Array) -> np.ndarray:
+        return np.zeros(len(pieces), bool)
+
     def _bases(self, pieces: list[str]) -> tuple[list[str], dict[int, str]]:
         return pieces, {}
 

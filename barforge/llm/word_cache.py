@@ -7,25 +7,28 @@ looked up in a bounded per-process cache, and only unseen pieces go through
 the tokenizers library.  Ids equal ``encode(text)`` exactly; a text whose
 white space is not single (or that holds a NUL or SOH character) is encoded
 whole.  ``tests/llm`` compares both ways on arbitrary texts.
+
+The cache is an Arrow column of pieces, beside one array with the ids of all
+of them: one dictionary encoding of the cache and the pieces of a batch finds
+what is known and what is not, so Python meets unseen pieces only.
 """
 
 from __future__ import annotations
 
 import os
-from array import array
-from string import punctuation
+from string import ascii_letters, punctuation
 from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces held by each of the two generations of a worker's cache.
+#: Pieces that stay when a worker's cache holds over twice as many: those used last.
 CACHE_PIECES = 300_000
-#: Characters of text that are cut and looked up at a time.
-CHUNK_CHARS = 8_000_000
-#: Unseen pieces that are joined to one text.
-MISS_PIECES = 500
+#: Characters of text that are cut and looked up at a time (a text is never divided).
+CHUNK_CHARS = 9_000_000
+#: Unseen pieces that are joined to one text, and plain words.
+MISS_PIECES, MISS_WORDS = 500, 5000
 
 #: White space that is not one space or line break between other characters,
 #: and the two characters used as marks (RE2, in Arrow).
@@ -33,7 +36,10 @@ _UNSAFE = (
     r"[\x00\x01\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 )
+#: Latin letters below U+0250, after a space or not.
+_WORD = r"^ ?[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+$"
 _SIGNS = frozenset(punctuation)
+_IS_SIGN, _IS_LETTER = (np.isin(np.arange(256), list(map(ord, some))) for some in (punctuation, ascii_letters))
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -46,24 +52,67 @@ def _byte_symbols() -> dict[int, str]:
 
 
 _BYTE_SYMBOLS = _byte_symbols()
+#: The same as code points; a line break, which parts words here, stays.
+_CODES = np.array([10 if b == 10 else ord(_BYTE_SYMBOLS[b]) for b in range(256)], "<u4")
+#: Stands between texts.
+_PART = "\x01"
+
+
+def _cut(flat: bytes, signs: bool) -> pa.Array:
+    """The pieces of texts with ``_PART`` between: a space begins one; line breaks, parts and (if ``signs``) a sign that ends a word are one each."""
+    raw = np.frombuffer(flat, np.uint8)
+    alone = (raw == 10) | (raw == ord(_PART))
+    cut = np.ones(len(raw) + 1, bool)
+    cut[:-1] = alone | (raw == 32)
+    cut[1:-1] |= alone[:-1]
+    cut[0] = True
+    if signs:  # one after an ASCII letter, at the end of a piece (for longer runs and other letters see Encoder._bases)
+        cut[1:-1] |= _IS_SIGN[raw[1:]] & _IS_LETTER[raw[:-1]] & cut[2:]
+    bounds = np.flatnonzero(cut)
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(flat))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+
+
+def _places(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first``, one run after the other."""
+    at = np.repeat(first - np.cumsum(counts) + counts, counts)
+    at += np.arange(len(at))
+    return at
 
 
 class Encoder:
     """Encodes batches of texts to arrays of ids."""
 
+    #: Whether a sign at the end of a word has ids of its own.
+    parts_signs = True
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.drops_space = np.array_equal(self._plain(" a"), self._plain("a"))
         self.lowers = np.array_equal(self._plain("Ab"), self._plain("ab"))
-        self.space = _BYTE_SYMBOLS[ord(" ")]
         #: " \x01" before a piece marks where its ids begin.
         self.mark = self._plain(" \x01")
+        #: The model alone, on lines of symbols, and the symbols that each id stands for.
+        self.lines = Tokenizer(self.tokenizer.model)
+        self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.symbols = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.symbols[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.suffix = len(getattr(self.tokenizer.model, "end_of_word_suffix", None) or "")
+        self._empty_cache()
+
+    def _empty_cache(self) -> None:
+        # Pieces, where the ids of each begin and how many they are, all ids, and the chunk that used the piece last.
+        self.pieces = pa.array([_PART], pa.large_string())
+        self.first, self.counts, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32)
+        self.chunk, self.used = 0, np.zeros(1, np.int64)
 
     def _plain(self, text: str) -> np.ndarray:
         one = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -98,35 +147,38 @@ class Encoder:
             bases = [p.lower() if p.isascii() else p for p in bases]
         return bases, tails
 
-    def _look_up(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of all these pieces; what the cache lacks is encoded."""
-        found = dict(zip(pieces, map(self.new.get, pieces)))
-        lacking = [p for p, ids in found.items() if ids is None]
-        older = dict(zip(lacking, map(self.old.get, lacking)))
-        found |= older
-        found |= (fresh := self._learn([p for p, ids in older.items() if ids is None]))
-        for p in lacking:
-            if len(self.new) >= CACHE_PIECES:
-                self.old, self.new = self.new, {}
-            self.new[p] = found[p]
+    def _are_words(self, pieces: pa.Array) -> np.ndarray:
+        """Which pieces are a space and Latin letters, or letters alone: one word for the BPE model."""
+        found = pc.match_substring_regex(pieces, _WORD).to_numpy(zero_copy_only=False)
+        if self.lowers:
+            words = _strings(pieces.filter(pa.array(found)))
+            found[found] = [p == p.lower() and (p.isascii() or is_normalized("NFC", p)) for p in words]
         return found
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of such words, by the model alone, and how many each has."""
+        ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for k in range(0, len(words), MISS_WORDS):
+            group = words[k: k + MISS_WORDS]
+            raw = np.frombuffer("\n".join([p.lstrip(" ") for p in group] if self.drops_space else group).encode(), np.uint8)
+            text = _CODES[raw].tobytes().decode("utf-32-le")
+            some = np.array(self.lines.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            # A word ends where as many symbols are read as it has.
+            ends = np.append(np.flatnonzero(raw == 10), len(raw)) + (self.suffix - 1) * np.arange(len(group)) + self.suffix
+            read = np.cumsum(self.symbols[some])
+            at = np.searchsorted(read, ends)
+            if len(read) and read[-1] == ends[-1] and (read[at] == ends).all():
+                ids.append(some)
+                counts.append(np.diff(at, prepend=-1))
+            else:  # some symbol has no id
+                singly = [self._plain(p) for p in group]
+                ids += singly
+                counts.append(np.fromiter(map(len, singly), np.int64, len(group)))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def _word(self, piece: str) -> bytes | None:
-        """The ids of a space and Latin letters, or of letters alone: one word for the BPE model."""
-        spaced = piece[0] == " "
-        word = piece[1:] if spaced else piece
-        if not word.isalpha():
-            return None
-        plain = word.isascii()
-        if not plain and max(word) >= "\u0250":
-            return None
-        if self.lowers and (word != word.lower() or not plain and not is_normalized("NFC", word)):
-            return None
-        if plain:  # ASCII letters name themselves
-            symbols = self.space + word if spaced and not self.drops_space else word
-        else:
-            symbols = (word if self.drops_space else piece).encode().decode("latin-1").translate(_BYTE_SYMBOLS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
+        """The ids of a piece, if it is a plain word."""
+        return self._words([piece])[0].tobytes() if self._are_words(pa.array([piece], pa.large_string()))[0] else None
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of unseen pieces: plain words by the model, others as a few long texts.
@@ -134,8 +186,12 @@ class Encoder:
         Before a piece with a leading space stands the mark; the ids are cut
         apart there.  Other pieces (first of a line) are encoded singly.
         """
-        out = {p: ids for p in pieces if (ids := self._word(p)) is not None}
-        pieces = [p for p in pieces if p not in out]
+        out, plain = {}, self._are_words(pa.array(pieces, pa.large_string())).tolist()
+        words = [p for p, is_plain in zip(pieces, plain) if is_plain]
+        ids, counts = self._words(words)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        out.update((p, raw[a:b]) for p, a, b in zip(words, [0, *ends], ends))
+        pieces = [p for p, is_plain in zip(pieces, plain) if not is_plain]
         spaced = [p for p in pieces if p[0] == " "]
         bare = [p for p in pieces if p[0] != " "]
         for k in range(0, len(spaced), MISS_PIECES):
@@ -160,6 +216,8 @@ class Encoder:
         out: list[np.ndarray | None] = [None] * len(texts)
         safe, size = [], 0
         unsafe = pc.match_substring_regex(pa.array(texts, pa.large_string()), _UNSAFE).to_pylist()
+        total = sum(map(len, texts))
+        most = total / max(1, -(-total // CHUNK_CHARS))  # even chunks: each meets the whole cache
         for i, t in enumerate(texts):
             if not t:
                 out[i] = np.empty(0, np.uint32)
@@ -168,7 +226,7 @@ class Encoder:
             else:
                 safe.append(i)
                 size += len(t)
-                if size >= CHUNK_CHARS:
+                if size >= most:
                     self._encode_safe(texts, safe, out)
                     safe, size = [], 0
         if safe:
@@ -176,39 +234,48 @@ class Encoder:
         return out
 
     def _encode_safe(self, texts, rows, out) -> None:
-        # One flat column of pieces; a piece keeps its leading space.
-        flat = "\x00\x01\x00".join([texts[i] for i in rows]).encode()
-        flat = flat.replace(b" ", b"\x00 ").replace(b"\n", b"\x00\n\x00")
-        bounds = pa.py_buffer(np.array([0, len(flat)], np.int64))
-        whole = pa.LargeStringArray.from_buffers(1, bounds, pa.py_buffer(flat))
-        coded = pc.split_pattern(whole, "\x00").flatten().dictionary_encode()
-        del flat, whole
+        column = _cut(_PART.join([texts[i] for i in rows]).encode(), self.parts_signs)
+        # Cached pieces keep their places in the dictionary, unseen ones follow.
+        coded = pa.chunked_array([self.pieces, column]).dictionary_encode().chunk(1)
+        del column
         index = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        bases, tails = self._bases(distinct)
-        wanted = {*bases, *tails.values()} - {"\x01"}
-        found = self._look_up(list(wanted))
-        found["\x01"] = b""
+        self._remember(coded.dictionary, index)
+        n = self.counts[index]
+        ids = self.ids[_places(self.first[index], n)]
+        for i, one in zip(rows, np.split(ids, np.cumsum(n)[index == 0])):
+            out[i] = one
+        if len(self.pieces) > 2 * CACHE_PIECES:
+            self._forget()
+
+    def _remember(self, pieces: pa.Array, index: np.ndarray) -> None:
+        """The cache takes this dictionary, which begins with its own pieces; ``index`` is what is used of it."""
+        unseen = pieces.slice(len(self.pieces))
+        plain = self._are_words(unseen)
+        ids, n = self._words(_strings(unseen.filter(pa.array(plain))))
+        bases, tails = self._bases(_strings(unseen.filter(pa.array(~plain))))
+        found = self._learn(list({*bases, *tails.values()}))
         parts = list(map(found.__getitem__, bases))
         for k, tail in tails.items():
             parts[k] += found[tail]
-        lens = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        table = np.frombuffer(b"".join(parts), np.uint32)
-        first = np.cumsum(lens) - lens
-        n = lens[index]
-        ends = np.cumsum(n)
-        shift = first[index]
-        shift -= ends
-        shift += n
-        at = np.repeat(shift, n)
-        at += np.arange(len(at))
-        ids = table[at]
-        if "\x01" in distinct:
-            cuts = ends[index == distinct.index("\x01")]
-        else:
-            cuts = np.empty(0, np.int64)
-        for i, one in zip(rows, np.split(ids, cuts)):
-            out[i] = one
+        counts = np.empty(len(unseen), np.int64)
+        counts[plain], counts[~plain] = n, np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        # The ids of the words come before those of the others.
+        order = np.argsort(~plain, kind="stable")
+        first = np.empty(len(unseen), np.int64)
+        first[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.pieces, self.ids = pieces, np.concatenate([self.ids, ids, np.frombuffer(b"".join(parts), np.uint32)])
+        self.first, self.counts = np.append(self.first, first), np.append(self.counts, counts)
+        self.chunk += 1
+        self.used = np.append(self.used, np.zeros(len(unseen), np.int64))
+        self.used[index] = self.chunk
+
+    def _forget(self) -> None:
+        """Only the pieces used last stay in the cache, and the part between texts."""
+        self.used[0] = self.chunk + 1
+        kept = np.sort(np.argsort(-self.used, kind="stable")[:CACHE_PIECES])
+        self.pieces, self.used, self.counts = self.pieces.take(pa.array(kept)), self.used[kept], self.counts[kept]
+        self.ids = self.ids[_places(self.first[kept], self.counts)]
+        self.first = np.cumsum(self.counts) - self.counts
 
 
 def encoder(path: str) -> Encoder:
